@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablecrate.functions.names import backtick_path
+from tablecrate.functions.names import backtick_path, spark_literal
 
 _PART = r"(`(?:[^`]|``)+`|[^`.\s,()]+)"
 _BRANCH = re.compile(r"[ :]*[+:]- ")
@@ -40,7 +41,15 @@ def view_edges(spark: SparkSession, schema: str, name: str) -> DataFrame:
             open_views.append((depth, (_plain(view[2]), _plain(view[3]))))
         elif relation and open_views:
             edges.add((*open_views[-1][1], _plain(relation[2]), _plain(relation[3])))
-    return spark.createDataFrame(sorted(edges), EDGE_SCHEMA)
+    return edge_rows(spark, sorted(edges))
+
+
+def edge_rows(spark: SparkSession, edges: Sequence[tuple[str, str, str, str]]) -> DataFrame:
+    """Edges as an inline table: the planner then joins them without a shuffle."""
+    if not edges:
+        return spark.createDataFrame([], EDGE_SCHEMA)
+    values = ", ".join(f"({', '.join(spark_literal(part) for part in edge)})" for edge in edges)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS edge(view_schema, view_name, schema, name)")
 
 
 def dependency_order(spark: SparkSession, edges: DataFrame, schema: str, name: str) -> DataFrame:
