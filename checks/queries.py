@@ -184,7 +184,7 @@ def view_dependency_order(tables: Tables) -> DataFrame:
 @_query
 def manifest_objects(tables: Tables) -> DataFrame:
     """The manifests of two snapshots as one table."""
-    first = _export(tables, *[f"select * from @{name}" for name in TABLES])
+    first = _export(tables, *[f"select * from @{name}" for name in TABLES], concurrency=8)
     second = _export(
         tables, "select * except (l_tax) from @lineitem where l_quantity > 25 order by l_orderkey",
         data_format="csv",
