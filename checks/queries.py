@@ -6,10 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from checks.sources import TABLES, Tables, open_tables
-from tablecrate.config import Constraint, JobConfig, ObjectConfig, select_objects
+from tablecrate.config import Constraint, General, JobConfig, ObjectConfig, select_objects
 from tablecrate.errors import CrateError
 from tablecrate.operators import keys, loading, profile, quality
 from tablecrate.operators.reconcile import reconcile
@@ -171,7 +170,8 @@ def view_dependency_order(tables: Tables) -> DataFrame:
     """A view kept as a view brings its dependencies as tables, in creation order."""
     item = ObjectConfig(parse(tables.text("select * from @segment_report")), export_as="view")
     path = scratch_dir(tables.spark, "snapshot")
-    export_snapshot(tables.spark, JobConfig(objects=(item,)), path)
+    config = JobConfig(objects=(item,), general=General(concurrency=4))
+    export_snapshot(tables.spark, config, path)
     return manifests.manifest_objects(tables.spark, path).select(
         (F.col("position") + 1).alias("position"),
         F.col("source_name").alias("relation"),

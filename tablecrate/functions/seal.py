@@ -7,7 +7,7 @@ import hashlib
 import os
 
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,31 +38,47 @@ def password_from(argument: str | None, environment: dict[str, str]) -> str | No
     return environment.get("PASSWORD") or None
 
 
-def seal_column(column: Column, data_type: T.DataType, key: bytes) -> Column:
-    """Encrypted binary; NULL stays NULL."""
-    if isinstance(data_type, T.BinaryType):
-        plain = column
-    else:
-        plain = textform.to_text(column, data_type).cast("binary")
-    return F.aes_encrypt(plain, F.lit(bytearray(key)), F.lit("GCM"))
+def seal(plain: Column, key: bytes) -> Column:
+    """Text to encrypted binary. A fresh random IV per value: equal texts look different."""
+    return F.aes_encrypt(plain.cast("binary"), F.lit(bytearray(key)), F.lit("GCM"))
 
 
-def open_column(column: Column, data_type: T.DataType, key: bytes) -> Column:
-    plain = F.aes_decrypt(column, F.lit(bytearray(key)), F.lit("GCM"))
-    if isinstance(data_type, T.BinaryType):
-        return plain
-    return textform.from_text(plain.cast("string"), data_type)
+def unseal(sealed: Column, key: bytes) -> Column:
+    return F.aes_decrypt(sealed, F.lit(bytearray(key)), F.lit("GCM")).cast("string")
+
+
+def seal_row(df: DataFrame, key: bytes) -> Column:
+    """A whole row as one encrypted value. Setting up the cipher costs far more than the
+    bytes, and one value also hides which columns are NULL and how long each one is."""
+    texts = [
+        textform.to_text(df[f"`{field.name}`"], field.dataType).alias(f"c{i}")
+        for i, field in enumerate(df.schema)
+    ]
+    return seal(F.to_json(F.struct(*texts)), key)
+
+
+def open_rows(sealed: DataFrame, column: Column, schema: T.StructType, key: bytes) -> DataFrame:
+    texts = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(schema))])
+    opened = sealed.select(
+        F.from_json(unseal(column, key), texts, {"mode": "FAILFAST"}).alias("row")
+    )
+    return opened.select(
+        *[
+            textform.from_text(F.col(f"row.c{i}"), field.dataType).alias(field.name)
+            for i, field in enumerate(schema)
+        ]
+    )
 
 
 def seal_text(spark: SparkSession, text: str, key: bytes) -> str:
     """Encrypt one small metadata text (manifest, DDL)."""
-    sealed = spark.range(1).select(seal_column(F.lit(text), T.StringType(), key)).first()[0]
+    sealed = spark.range(1).select(seal(F.lit(text), key)).first()[0]
     return base64.b64encode(bytes(sealed)).decode()
 
 
 def open_text(spark: SparkSession, sealed: str, key: bytes) -> str:
     column = F.lit(bytearray(base64.b64decode(sealed)))
     try:
-        return spark.range(1).select(open_column(column, T.StringType(), key)).first()[0]
+        return spark.range(1).select(unseal(column, key)).first()[0]
     except PySparkException as error:
         raise CrateError("wrong password, or the snapshot is damaged") from error

@@ -26,9 +26,14 @@ def is_nested(data_type: T.DataType) -> bool:
     return isinstance(data_type, (T.ArrayType, T.MapType, T.StructType, T.VariantType))
 
 
+def one_line_base64(column: Column) -> Column:
+    """Spark breaks base64 text into lines of 76 characters; CSV records must not break."""
+    return F.translate(F.base64(column), "\r\n", "")
+
+
 def to_text(column: Column, data_type: T.DataType) -> Column:
     if isinstance(data_type, T.BinaryType):
-        return F.base64(column)
+        return one_line_base64(column)
     if isinstance(data_type, T.TimestampType):
         return F.date_format(column, _INSTANT)
     if is_nested(data_type):

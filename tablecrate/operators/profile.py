@@ -120,6 +120,7 @@ def profile_approximate(
     shuffled, however many distinct values there are."""
     names = _chosen(df, columns)
     measures = [F.count(F.lit(1)).alias("rows")]
+    widths: dict[int, Column] = {}
     for i, name in enumerate(names):
         data_type = df.schema[name].dataType
         column = df[f"`{name}`"]
@@ -128,14 +129,15 @@ def profile_approximate(
         )
         sketch = F.hll_sketch_agg(F.when(column.isNotNull(), hashed), log2_registers)
         fixed = _fixed_width(data_type)
-        width = F.max(F.when(column.isNotNull(), F.lit(float(fixed)))) if fixed is not None else (
-            F.avg(_width(column, data_type))
-        )
         measures += [
             F.count(column).alias(f"present_{i}"),
             F.hll_sketch_estimate(sketch).alias(f"distinct_{i}"),
-            width.alias(f"width_{i}"),
         ]
+        if fixed is None:
+            widths[i] = F.col(f"width_{i}")
+            measures.append(F.avg(_width(column, data_type)).alias(f"width_{i}"))
+        else:
+            widths[i] = F.when(F.col(f"present_{i}") > 0, F.lit(float(fixed)))
     measured = df.agg(*measures)
     rows_of = [
         F.struct(
@@ -144,7 +146,7 @@ def profile_approximate(
             F.col("rows"),
             F.try_divide(F.col("rows") - F.col(f"present_{i}"), F.col("rows")).alias("null_fraction"),
             F.col(f"distinct_{i}").cast("double").alias("distinct_values"),
-            F.col(f"width_{i}").alias("average_width_bytes"),
+            widths[i].alias("average_width_bytes"),
         )
         for i, name in enumerate(names)
     ]

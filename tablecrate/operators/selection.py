@@ -37,7 +37,7 @@ _RELATION = re.compile(
 _COLUMN = re.compile(rf"{_NAME}[a-z_]\w*", _FLAGS)
 _EXCEPT = re.compile(r"\*\s*except\s*\((?P<list>.*)\)", _FLAGS)
 _SORT_ITEM = re.compile(
-    r"(?P<key>.*?)(?:(?<!\w)(?P<direction>asc|desc))?"
+    r"(?P<key>.*?)(?:(?<!\w)(?P<direction>asc|desc)(?!\w)\s*)?"
     r"(?:(?<!\w)nulls\s+(?P<nulls>first|last))?\s*",
     _FLAGS,
 )
@@ -56,7 +56,8 @@ class SortItem:
                 raise CrateError(f"ORDER BY position {self.key} is not in the select list")
             value = df[backtick(outputs[position - 1])]
         else:
-            value = F.expr(spark_text(self.key))
+            # In parentheses, so that a stray word is an error and not an alias.
+            value = F.expr(f"({spark_text(self.key)})")
         if self.descending:
             return value.desc_nulls_first() if self.nulls_first else value.desc_nulls_last()
         return value.asc_nulls_first() if self.nulls_first else value.asc_nulls_last()

@@ -15,7 +15,7 @@ JOB_CONF = {
     "spark.sql.parser.escapedStringLiterals": "false",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.ansi.doubleQuotedIdentifiers": "true",
-    "spark.sql.redaction.string.regex": "(?i)0x[0-9a-f]{64}",
+    "spark.sql.redaction.string.regex": "(?i)(0x|X')[0-9a-f]{64}'?",
     # INT96 would lose the time-zone-less meaning of timestamps.
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }

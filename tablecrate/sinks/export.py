@@ -81,7 +81,9 @@ def export_snapshot(
 
         return _with_attempts(spark, attempt, general, ".".join(planned[position - 1].source))
 
-    objects = _in_parallel(export_one, range(1, len(planned) + 1), general.workers())
+    objects = _in_parallel(
+        spark, export_one, range(1, len(planned) + 1), general.workers()
+    )
     if before is not None:
         require_unchanged(spark, inputs, before)
     manifest = Manifest(
@@ -226,12 +228,14 @@ def _with_attempts(
     raise AssertionError("unreachable")
 
 
-def _in_parallel(job: Callable, inputs: Sequence, workers: int) -> list:
+def _in_parallel(
+    spark: SparkSession, job: Callable, inputs: Sequence, workers: int
+) -> list:
     """Run the Spark jobs of several objects at once; the first failure cancels the rest."""
     if workers == 1 or len(inputs) == 1:
         return [job(value) for value in inputs]
     with ThreadPoolExecutor(workers) as pool:
-        futures = [pool.submit(inheritable_thread_target(job), value) for value in inputs]
+        futures = [pool.submit(inheritable_thread_target(spark)(job), value) for value in inputs]
         try:
             return [future.result() for future in futures]
         except BaseException:

@@ -1,4 +1,4 @@
-"""Payload files of one object: Parquet or CSV, plain or encrypted column by column."""
+"""Payload files of one object: Parquet or CSV, plain or encrypted row by row."""
 
 from __future__ import annotations
 
@@ -9,9 +9,8 @@ from pyspark.sql import types as T
 from tablecrate.functions import seal, textform
 
 COMPRESSION = "zstd"
-# Spark's text writers have no zstd without a native library. A gzip file is read by one
-# task, so its size is that of one write task's share.
-CSV_COMPRESSION = "gzip"
+
+_SEALED = "sealed"
 
 _CSV_OPTIONS = {
     "sep": ",",
@@ -23,23 +22,25 @@ _CSV_OPTIONS = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
+# Spark's text writers have no zstd without a native library. A gzip file is read by one
+# task, so its size is that of one write task's share.
+_CSV_WRITE_OPTIONS = {**_CSV_OPTIONS, "compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
 
 
 def write(df: DataFrame, path: str, data_format: str, key: bytes | None = None) -> None:
-    types = {field.name: field.dataType for field in df.schema}
-    columns = []
-    for name, data_type in types.items():
-        column = df[f"`{name}`"]
-        if key is not None:
-            column = seal.seal_column(column, data_type, key)
-            if data_format == "csv":
-                column = F.base64(column)
-        elif data_format == "csv":
-            column = textform.to_field(column, data_type)
-        columns.append(column.alias(name))
-    writer = df.select(*columns).write.mode("errorifexists")
+    if key is not None:
+        sealed = seal.seal_row(df, key)
+        df = df.select((textform.one_line_base64(sealed) if data_format == "csv" else sealed).alias(_SEALED))
+    elif data_format == "csv":
+        df = df.select(
+            *[
+                textform.to_field(df[f"`{field.name}`"], field.dataType).alias(field.name)
+                for field in df.schema
+            ]
+        )
+    writer = df.write.mode("errorifexists")
     if data_format == "csv":
-        writer.options(compression=CSV_COMPRESSION, **_CSV_OPTIONS).csv(path)
+        writer.options(**_CSV_WRITE_OPTIONS).csv(path)
     else:
         writer.option("compression", COMPRESSION).parquet(path)
 
@@ -48,27 +49,25 @@ def read(
     spark: SparkSession, path: str, schema: T.StructType, data_format: str, key: bytes | None = None
 ) -> DataFrame:
     """Rows with the manifest's schema; text or bytes that do not fit fail the job."""
-    stored_type = None
-    if data_format == "csv":
-        stored_type = T.StringType()
-    elif key is not None:
-        stored_type = T.BinaryType()
-    stored = T.StructType([T.StructField(f.name, stored_type or f.dataType) for f in schema])
-    reader = spark.read.schema(stored)
-    if data_format == "csv":
-        source = reader.options(**_CSV_OPTIONS).option("mode", "FAILFAST").csv(path)
+    is_csv = data_format == "csv"
+    if key is not None:
+        stored = T.StructType([T.StructField(_SEALED, T.StringType() if is_csv else T.BinaryType())])
+    elif is_csv:
+        stored = T.StructType([T.StructField(field.name, T.StringType()) for field in schema])
     else:
-        source = reader.parquet(path)
-    if stored_type is None:
+        stored = schema
+    reader = spark.read.schema(stored)
+    source = (
+        reader.options(mode="FAILFAST", **_CSV_OPTIONS).csv(path) if is_csv else reader.parquet(path)
+    )
+    if key is not None:
+        sealed = F.col(_SEALED)
+        return seal.open_rows(source, F.unbase64(sealed) if is_csv else sealed, schema, key)
+    if not is_csv:
         return source
-    columns = []
-    for item in schema:
-        column = source[f"`{item.name}`"]
-        if key is not None:
-            if data_format == "csv":
-                column = F.unbase64(column)
-            column = seal.open_column(column, item.dataType, key)
-        else:
-            column = textform.from_field(column, item.dataType)
-        columns.append(column.alias(item.name))
-    return source.select(*columns)
+    return source.select(
+        *[
+            textform.from_field(source[f"`{field.name}`"], field.dataType).alias(field.name)
+            for field in schema
+        ]
+    )
