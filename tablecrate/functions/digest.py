@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _holds_map(data_type: T.DataType) -> bool:
+def holds_map(data_type: T.DataType) -> bool:
+    """Whether values need `comparable` before they can be hashed or grouped."""
     if isinstance(data_type, T.ArrayType):
-        return _holds_map(data_type.elementType)
+        return holds_map(data_type.elementType)
     if isinstance(data_type, T.StructType):
-        return any(_holds_map(field.dataType) for field in data_type)
-    return isinstance(data_type, T.MapType)
+        return any(holds_map(field.dataType) for field in data_type)
+    return isinstance(data_type, (T.MapType, T.VariantType))
 
 
 def comparable(df: DataFrame, name: str) -> Column:
@@ -22,12 +23,12 @@ def comparable(df: DataFrame, name: str) -> Column:
     sorted entries or JSON.
     """
     data_type = df.schema[name].dataType
-    column = df[name]
+    column = df[f"`{name}`"]
     if isinstance(data_type, T.VariantType):
         return F.to_json(column)
-    if isinstance(data_type, T.MapType) and not _holds_map(data_type.valueType):
+    if isinstance(data_type, T.MapType) and not holds_map(data_type.valueType):
         return F.array_sort(F.map_entries(column))
-    if _holds_map(data_type):
+    if holds_map(data_type):
         return F.to_json(column, {"ignoreNullFields": "false"})
     return column
 
@@ -40,7 +41,7 @@ def row_hash(df: DataFrame) -> Column:
     """
     return F.xxhash64(
         *[comparable(df, name) for name in df.columns],
-        *[df[name].isNull() for name in df.columns],
+        *[df[f"`{name}`"].isNull() for name in df.columns],
     )
 
 

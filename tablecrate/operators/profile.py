@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablecrate.functions import textform
+from tablecrate.operators.numbering import with_positions
 
 # 2^14 registers: about 0.8 % standard error, 16 KB per column and task.
 SKETCH_LOG2_REGISTERS = 14
-# Spark trims ranks before the shuffle only up to this many per group
-# (spark.sql.optimizer.windowGroupLimitThreshold); above, groups are split first.
+# Spark trims ranks before the shuffle only up to this many per group (its default for
+# spark.sql.optimizer.windowGroupLimitThreshold).
 RANK_PUSHDOWN_LIMIT = 1_000
-RANK_BUCKETS = 1_024
 
 # Bytes of one value, by type.
 _FIXED_WIDTHS: dict[type[T.DataType], int] = {
@@ -156,20 +156,23 @@ def profile_approximate(
 def _ranked(counts: DataFrame, order: Sequence[Column], top: int) -> DataFrame:
     """The first `top` rows of every ordinal, with `rank`.
 
-    Up to `RANK_PUSHDOWN_LIMIT` Spark keeps only `top` rows per task before the shuffle.
-    For more, each ordinal is ranked in hash buckets first, so that a column with billions
-    of values never meets in one task.
+    Up to `RANK_PUSHDOWN_LIMIT` Spark keeps only `top` rows per task before the shuffle,
+    so a column with billions of values never meets in one task. For more, all rows are
+    sorted across the cluster and ranked by their distance from the ordinal's first row.
     """
-    if top > RANK_PUSHDOWN_LIMIT:
-        bucket = F.pmod(F.xxhash64("value"), F.lit(RANK_BUCKETS))
-        within = Window.partitionBy("ordinal", bucket).orderBy(*order)
-        counts = (
-            counts.withColumn("__rank", F.row_number().over(within))
-            .where(F.col("__rank") <= top)
-            .drop("__rank")
-        )
-    whole = Window.partitionBy("ordinal").orderBy(*order)
-    return counts.withColumn("rank", F.row_number().over(whole)).where(F.col("rank") <= top)
+    if top <= RANK_PUSHDOWN_LIMIT:
+        within = Window.partitionBy("ordinal").orderBy(*order)
+        return counts.withColumn("rank", F.row_number().over(within)).where(F.col("rank") <= top)
+    placed = with_positions(counts, "__position", [F.col("ordinal"), *order])
+    # One row per profiled column.
+    starts = placed.groupBy("ordinal").agg(F.min("__position").alias("__start"))
+    rank = (F.col("__position") - F.col("__start") + 1).cast("int")
+    return (
+        placed.join(F.broadcast(starts), "ordinal")
+        .withColumn("rank", rank)
+        .where(F.col("rank") <= top)
+        .drop("__position", "__start")
+    )
 
 
 def common_values(

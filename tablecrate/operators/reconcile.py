@@ -6,14 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablecrate.errors import CrateError
-from tablecrate.functions.digest import comparable, row_hash
+from tablecrate.functions.digest import comparable, holds_map, row_hash
 
 BUCKETS = 4_096
 
 
 def _hashed(df: DataFrame) -> DataFrame:
-    bucket = F.pmod(row_hash(df), F.lit(BUCKETS)).alias("__bucket")
-    return df.select(*[comparable(df, name).alias(name) for name in df.columns], bucket)
+    # Plain columns stay as they are: the optimizer tracks every alias, and a hash over
+    # many aliased columns makes that very slow.
+    columns = [
+        comparable(df, field.name).alias(field.name)
+        if holds_map(field.dataType)
+        else df[f"`{field.name}`"]
+        for field in df.schema
+    ]
+    return df.select(*columns, F.pmod(row_hash(df), F.lit(BUCKETS)).alias("__bucket"))
 
 
 def _digests(df: DataFrame, side: str) -> DataFrame:
