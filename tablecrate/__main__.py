@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import os
 import sys
+from dataclasses import replace
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -17,6 +18,7 @@ from tablecrate.reports.describe import describe
 from tablecrate.reports.info import render_info
 from tablecrate.reports.render import render
 from tablecrate.session import job_session
+from tablecrate.sources.jdbc import Connection
 from tablecrate.sinks.export import export_snapshot
 from tablecrate.sinks.load import load_snapshot
 from tablecrate.sources.manifests import open_snapshot
@@ -37,6 +39,8 @@ def _arguments() -> argparse.ArgumentParser:
     export.add_argument("--retry-delay-ms", type=int)
     export.add_argument("--attempt-timeout-ms", type=int)
 
+    _add_connection(export)
+
     load = commands.add_parser("import", help="load a snapshot into the catalog")
     load.add_argument("--in", dest="snapshot", required=True)
     load.add_argument("--mode", choices=["replace", "append"], default="replace")
@@ -59,9 +63,34 @@ def _arguments() -> argparse.ArgumentParser:
     facts.add_argument("--statistics-source", choices=["catalog", "compute"], default="catalog")
     facts.add_argument("--exact", action="store_true", help="exact distinct counts")
     facts.add_argument("--no-comments", action="store_true")
+    _add_connection(facts)
     return parser
 
 
+def _add_connection(command: argparse.ArgumentParser) -> None:
+    group = command.add_argument_group("JDBC source, instead of the session catalog")
+    group.add_argument("--host")
+    group.add_argument("--port", type=int)
+    group.add_argument("--dbname")
+    group.add_argument("--username", "--user", dest="user")
+    group.add_argument("--pgpassword", dest="db_password")
+
+
+def _connection(options: argparse.Namespace, config: configs.JobConfig) -> dict[str, str] | None:
+    """Flags win over the config; without either the catalog is the source."""
+    given = {
+        "host": options.host,
+        "port": options.port,
+        "dbname": options.dbname,
+        "user": options.user,
+        "password": options.db_password,
+    }
+    given = {name: value for name, value in given.items() if value is not None}
+    if not given and config.connection is None:
+        return None
+    return replace(config.connection or Connection(), **given).options(dict(os.environ))
+
+
 def _statistics(text: str | None) -> str | int | None:
     if text is None or text == "basic":
         return text
@@ -97,13 +126,12 @@ def _export(spark: SparkSession, options: argparse.Namespace) -> str:
     config = configs.JobConfig(config.objects, general, config.connection, config.constraints)
     if options.dry_run:
         return _lines(describe_plan(spark, config.objects).orderBy("position"))
-    connection = config.connection.options(dict(os.environ)) if config.connection else None
     manifest = export_snapshot(
         spark,
         config,
         options.out,
         password=password_from(options.password, dict(os.environ)),
-        connection_options=connection,
+        connection_options=_connection(options, config),
     )
     rows = sum(item.row_count or 0 for item in manifest.objects)
     return f"exported {len(manifest.objects)} objects, {rows} rows to {options.out}\n"
@@ -136,6 +164,7 @@ def _describe(spark: SparkSession, options: argparse.Namespace) -> str:
         source=options.statistics_source,
         exact=options.exact,
         include_comments=not options.no_comments,
+        connection_options=_connection(options, config),
     )
     text = render(description, options.format)
     if options.out is None:

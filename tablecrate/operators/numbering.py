@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,3 +46,30 @@ def with_positions(df: DataFrame, name: str, order: list[Column] | None = None)
 def first_rows(df: DataFrame, count: int) -> DataFrame:
     """The first `count` rows in the present order of `df`, cut by position."""
     return with_positions(df, "__position").where(F.col("__position") < count).drop("__position")
+
+
+def any_rows(df: DataFrame, count: int) -> DataFrame:
+    """Any `count` rows of `df`, without moving them to one task.
+
+    Over files: count the rows of each file, take whole files in path order and only of
+    the last one a part. The path condition prunes files before they are opened.
+    """
+    try:
+        paths = df.select(F.col("_metadata.file_path").alias("path"))
+    except AnalysisException:  # not read from files directly: a view, a join, a JDBC table
+        return first_rows(df, count)
+    sizes = paths.groupBy("path").agg(F.count(F.lit(1)).alias("rows"))
+    # One row per source file.
+    running = Window.orderBy("path").rowsBetween(Window.unboundedPreceding, 0)
+    edge = (
+        sizes.withColumn("total", F.sum("rows").over(running))
+        .where(F.col("total") > count)
+        .orderBy("path")
+        .first()
+    )
+    if edge is None:
+        return df
+    path = F.col("_metadata.file_path")
+    whole = df.where(path < edge["path"])
+    part = df.where(path == edge["path"]).limit(count - (edge["total"] - edge["rows"]))
+    return whole.unionAll(part)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tablecrate.errors import CrateError
 from tablecrate.functions.digest import row_hash
 from tablecrate.functions.names import backtick, double_quoted, double_quoted_path
-from tablecrate.operators.numbering import first_rows
+from tablecrate.operators.numbering import any_rows, first_rows
 
 # Spark's limit and top-k finish in one task. That is right for reports; a larger limit
 # is cut by position instead, which keeps every partition where it is.
@@ -136,13 +136,12 @@ class Selection:
         if self.limit is not None and self.limit <= one_task_limit:
             ordered = kept.orderBy(*keys) if keys else kept
             return ordered.limit(self.limit).select(*projected)
-        if keys:
-            # Equal keys would all land in one range partition; the hash spreads them.
-            ordered = kept.orderBy(*keys, row_hash(kept.select(*projected)))
-        else:
-            ordered = kept
-        selected = ordered.select(*projected)
-        return selected if self.limit is None else first_rows(selected, self.limit)
+        if not keys:
+            some = kept if self.limit is None else any_rows(kept, self.limit)
+            return some.select(*[some[backtick(column)] for column in outputs])
+        # Equal keys would all land in one range partition; the hash spreads them.
+        ordered = kept.orderBy(*keys, row_hash(kept.select(*projected))).select(*projected)
+        return ordered if self.limit is None else first_rows(ordered, self.limit)
 
 
 def parse(text: str) -> Selection:

@@ -22,6 +22,7 @@ from tablecrate.operators.profile import (
 )
 from tablecrate.operators.quality import foreign_keys_outside
 from tablecrate.sources import relations
+from tablecrate.sources.lookup import find_source
 from tablecrate.sources.relations import Relation
 
 COLUMN_SCHEMA = """
@@ -112,6 +113,7 @@ def describe(
     source: str = "catalog",
     exact: bool = False,
     include_comments: bool = True,
+    connection_options: dict[str, str] | None = None,
 ) -> Description:
     """Describe each relation the config names, once.
 
@@ -124,14 +126,14 @@ def describe(
         raise CrateError(f"statistics come from catalog or compute, not {source!r}")
     described = []
     for schema, name in config.unique_sources():
-        relation = relations.get(spark, schema, name)
+        relation, relation_rows = find_source(spark, schema, name, connection_options)
         declared = [c for c in config.constraints if c.relation == (schema, name)]
         declared.sort(key=lambda c: (CONSTRAINT_KINDS.index(c.kind), c.name))
         rows, found = relation.row_estimate, None
         if statistics is not None and source == "catalog":
             found = _catalog_statistics(spark, relation)
         elif statistics is not None:
-            rows, found = _computed_statistics(spark, relation, top, exact)
+            rows, found = _computed_statistics(relation, relation_rows, top, exact)
         described.append(
             RelationDescription(relation, declared, rows if statistics is not None else None, found)
         )
@@ -173,9 +175,8 @@ def _catalog_statistics(spark: SparkSession, relation: Relation) -> dict[str, Co
 
 
 def _computed_statistics(
-    spark: SparkSession, relation: Relation, top: int, exact: bool
+    relation: Relation, rows: DataFrame, top: int, exact: bool
 ) -> tuple[int, dict[str, ColumnStatistics]]:
-    rows = relations.rows(spark, relation.schema, relation.name)
     profile = profile_exact(rows) if exact else profile_approximate(rows)
     profiled = {row["column"]: row for row in profile.collect()}
     total = next((row["rows"] for row in profiled.values()), 0)

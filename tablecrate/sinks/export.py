@@ -24,11 +24,12 @@ from tablecrate.config import General, JobConfig, ObjectConfig
 from tablecrate.errors import CrateError
 from tablecrate.functions import seal
 from tablecrate.functions.digest import row_hash_sum
-from tablecrate.functions.names import backtick, backtick_path, spark_literal
+from tablecrate.functions.names import backtick_path, spark_literal
 from tablecrate.plans.export_plan import expand
 from tablecrate.plans.pins import pin, require_unchanged
-from tablecrate.sources import jdbc, manifests, payload, relations
+from tablecrate.sources import manifests, payload, relations
 from tablecrate.sources.files import MetadataFiles
+from tablecrate.sources.lookup import find_source
 from tablecrate.sources.manifests import Manifest, ManifestObject
 from tablecrate.sources.relations import Column, Relation
 
@@ -105,14 +106,10 @@ def export_snapshot(
 def _resolve(
     spark: SparkSession, item: ObjectConfig, connection: dict[str, str] | None
 ) -> _Source:
-    if connection is not None:
-        if item.export_as == "view":
-            raise CrateError("a view definition cannot be exported over JDBC")
-        rows = jdbc.read_relation(spark, connection, *item.source, item.key_range)
-        columns = tuple(Column(f.name, f.dataType, not_null=not f.nullable) for f in rows.schema)
-        return _Source(item, Relation(*item.source, "table", columns), rows)
-    relation = relations.get(spark, *item.source)
-    return _Source(item, relation, relations.rows(spark, *item.source))
+    if connection is not None and item.export_as == "view":
+        raise CrateError("a view definition cannot be exported over JDBC")
+    relation, rows = find_source(spark, *item.source, connection, item.key_range)
+    return _Source(item, relation, rows)
 
 
 def _write_object(
@@ -189,7 +186,7 @@ def _view_body(relation: Relation) -> str:
 def table_ddl(schema: str, name: str, columns: Sequence[Column]) -> str:
     lines = []
     for column in columns:
-        line = f"{backtick(column.name)} {column.data_type.simpleString()}"
+        line = relations.column_ddl(column.name, column.data_type)
         if column.not_null:
             line += " NOT NULL"
         if column.default is not None:

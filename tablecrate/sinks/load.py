@@ -300,8 +300,7 @@ def _create_table(
 ) -> None:
     lines = []
     for column, type_text in zip(item.effective_columns, item.effective_column_types):
-        data_type = relations.type_from_text(type_text)
-        line = f"{backtick(column)} {data_type.simpleString()}"
+        line = relations.column_ddl(column, relations.type_from_text(type_text))
         if column in item.defaults:
             line += f" DEFAULT {item.defaults[column]}"
         if column in item.comments:

@@ -138,5 +138,10 @@ def type_from_text(text: str) -> T.DataType:
     return T.DataType.fromDDL(text)
 
 
+def column_ddl(name: str, data_type: T.DataType) -> str:
+    """`name` TYPE, with every nested field name quoted where it must be."""
+    return T.StructType([T.StructField(name, data_type)]).toDDL()
+
+
 def safe_file_name(text: str) -> str:
     return re.sub(r"[^A-Za-z0-9_.-]", "_", text)

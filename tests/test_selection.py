@@ -186,6 +186,19 @@ def test_limit_by_position(spark, limit):
     assert unordered.distinct().count() == min(limit, 100)
 
 
+@pytest.mark.parametrize("limit", [0, 1, 40, 120, 999, 1_000, 5_000])
+def test_large_limit_takes_whole_files(spark, tmp_path, limit):
+    spark.range(0, 1_000, 1, 8).selectExpr("id", "id % 2 AS k").write.parquet(str(tmp_path / "t"))
+    source = spark.read.parquet(str(tmp_path / "t"))
+    some = parse(f"select id from a.b where k = 0 limit {limit}").rows(source, one_task_limit=-1)
+    ids = [row["id"] for row in some.collect()]
+    assert len(ids) == len(set(ids)) == min(limit, 500)
+    assert all(i % 2 == 0 for i in ids)
+    if limit == 120:
+        plan = some._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: []" not in plan.split("FileScan")[1] or "file_path" in plan
+
+
 def test_hot_sort_key_is_spread(spark):
     """A sort on one constant key must not end in one partition."""
     source = spark.range(0, 20_000, 1, 4).selectExpr("id", "'same' AS k", "repeat('x', 50) AS pad")
