@@ -44,6 +44,7 @@ def _arguments() -> argparse.ArgumentParser:
     load = commands.add_parser("import", help="load a snapshot into the catalog")
     load.add_argument("--in", dest="snapshot", required=True)
     load.add_argument("--mode", choices=["replace", "append"], default="replace")
+    load.add_argument("--concurrency", type=int, default=1)
     load.add_argument("--ddl-only", action="store_true")
     load.add_argument("--password")
     load.add_argument("--warehouse", help="folder for new tables; default: the schema's own")
@@ -102,6 +103,8 @@ def _statistics(text: str | None) -> str | int | None:
 def run(arguments: list[str], spark: SparkSession | None = None) -> str:
     """Run one command; returns what it prints."""
     options = _arguments().parse_args(arguments)
+    if options.command in ("export", "import") and (options.concurrency or 1) < 1:
+        raise CrateError("--concurrency must be at least 1")
     spark = job_session(spark or SparkSession.builder.appName("tablecrate").getOrCreate())
     if options.command == "export":
         return _export(spark, options)
@@ -149,6 +152,7 @@ def _import(spark: SparkSession, options: argparse.Namespace) -> str:
         password=password,
         warehouse=options.warehouse,
         batch_id=options.batch_id,
+        workers=options.concurrency,
     )
     return _lines(loaded)
 

@@ -16,9 +16,9 @@ from tablecrate.functions.digest import row_hash
 from tablecrate.functions.names import backtick, double_quoted, double_quoted_path
 from tablecrate.operators.numbering import any_rows, first_rows
 
-# Spark's limit and top-k finish in one task. That is right for reports; a larger limit
-# is cut by position instead, which keeps every partition where it is.
-ONE_TASK_LIMIT = 1_000_000
+# Spark's limit and top-k send that many rows of every task to one last task. That is
+# right for reports; a larger limit is cut by position or by file instead.
+ONE_TASK_LIMIT = 10_000
 
 _FLAGS = re.IGNORECASE | re.ASCII | re.DOTALL
 _QUOTED = re.compile(r"""'(?:[^']|'')*'|"(?:[^"]|"")*\"""", re.DOTALL)

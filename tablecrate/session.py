@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
 from tablecrate.errors import CrateError
+from tablecrate.sources.files import MetadataFiles
 
 # Fixed values. In selection text "name" is an identifier, not a string. The redaction
 # pattern keeps 256-bit keys out of EXPLAIN output.
@@ -21,6 +25,14 @@ JOB_CONF = {
 }
 
 
+# Compressed source bytes per shuffle partition: a few times as much in memory, and sorts
+# spill. The ceiling keeps the number of shuffle blocks in hand.
+BYTES_PER_SHUFFLE_PARTITION = 256 * 1024 * 1024
+MOST_SHUFFLE_PARTITIONS = 50_000
+
+_SCOPE: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
+
+
 def job_session(spark: SparkSession, *, case_sensitive: bool = False) -> SparkSession:
     """A sibling session with the settings of `spark` plus `JOB_CONF`.
 
@@ -45,4 +57,35 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise CrateError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.gettempdir()
-    return f"{root.rstrip('/')}/tablecrate/{label}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/tablecrate/{label}-{uuid.uuid4().hex}"
+    made = _SCOPE.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the scratch folders made inside, for work that is finished when it ends."""
+    made: list[str] = []
+    token = _SCOPE.set(made)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        for path in made:
+            MetadataFiles(spark).delete_tree(path)
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, source_bytes: int) -> Iterator[None]:
+    """Enough shuffle partitions for this much input. Adaptive execution joins partitions
+    that turn out small, but it cannot split those of a sort or an aggregate."""
+    key = "spark.sql.shuffle.partitions"
+    usual = int(spark.conf.get(key))
+    wanted = min(-(-source_bytes // BYTES_PER_SHUFFLE_PARTITION), MOST_SHUFFLE_PARTITIONS)
+    spark.conf.set(key, str(max(usual, wanted)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, str(usual))

@@ -12,11 +12,9 @@ import time
 import uuid
 import warnings
 from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +25,8 @@ from tablecrate.functions.digest import row_hash_sum
 from tablecrate.functions.names import backtick_path, spark_literal
 from tablecrate.plans.export_plan import expand
 from tablecrate.plans.pins import pin, require_unchanged
+from tablecrate.session import scratch_scope, sized_shuffles
+from tablecrate.sinks.parallel import in_parallel
 from tablecrate.sources import manifests, payload, relations
 from tablecrate.sources.files import MetadataFiles
 from tablecrate.sources.lookup import find_source
@@ -73,6 +73,7 @@ def export_snapshot(
     inputs = [source.rows for source in sources if source.item.export_as == "table"]
     before = pin(spark, inputs) if pinned else None
     run_id = uuid.uuid4().hex
+    read_bytes = 0 if before is None else before.bytes
 
     def export_one(position: int) -> ManifestObject:
         def attempt(number: int) -> ManifestObject:
@@ -82,11 +83,15 @@ def export_snapshot(
 
         return _with_attempts(spark, attempt, general, ".".join(planned[position - 1].source))
 
-    objects = _in_parallel(
-        spark, export_one, range(1, len(planned) + 1), general.workers()
-    )
-    if before is not None:
-        require_unchanged(spark, inputs, before)
+    try:
+        with sized_shuffles(spark, read_bytes):
+            positions = range(1, len(planned) + 1)
+            objects = in_parallel(spark, export_one, positions, general.workers())
+        if before is not None:
+            require_unchanged(spark, inputs, before)
+    except BaseException:
+        MetadataFiles(spark).delete_tree(f"{out}/{run_id}")
+        raise
     manifest = Manifest(
         created_at=datetime.now(timezone.utc).isoformat(timespec="seconds"),
         source_fingerprint=f"catalog={spark.catalog.currentCatalog()}"
@@ -133,14 +138,15 @@ def _write_object(
 
     counts = {}
     if item.export_as == "table":
-        selected = item.selection.rows(source.rows)
-        # Counted and hashed in the write's own last stage: no second pass, and a task
-        # that runs twice is counted once.
-        seen = Observation()
-        observed = selected.observe(
-            seen, F.count(F.lit(1)).alias("rows"), row_hash_sum(selected).alias("checksum")
-        )
-        payload.write(observed, f"{out}/{data_path}", general.data_format, key)
+        with scratch_scope(spark):
+            selected = item.selection.rows(source.rows)
+            # Counted and hashed in the write's own last stage: no second pass, and a task
+            # that runs twice is counted once.
+            seen = Observation()
+            observed = selected.observe(
+                seen, F.count(F.lit(1)).alias("rows"), row_hash_sum(selected).alias("checksum")
+            )
+            payload.write(observed, f"{out}/{data_path}", general.data_format, key)
         counts = {"row_count": seen.get["rows"], "checksum": str(seen.get["checksum"])}
 
     is_view = item.export_as == "view"
@@ -225,16 +231,13 @@ def _with_attempts(
     raise AssertionError("unreachable")
 
 
-def _in_parallel(
-    spark: SparkSession, job: Callable, inputs: Sequence, workers: int
-) -> list:
-    """Run the Spark jobs of several objects at once; the first failure cancels the rest."""
-    if workers == 1 or len(inputs) == 1:
-        return [job(value) for value in inputs]
-    with ThreadPoolExecutor(workers) as pool:
-        futures = [pool.submit(inheritable_thread_target(spark)(job), value) for value in inputs]
-        try:
-            return [future.result() for future in futures]
-        except BaseException:
-            pool.shutdown(cancel_futures=True)
-            raise
+def purge_runs(spark: SparkSession, snapshot: str) -> list[str]:
+    """Delete the data folders of earlier exports to the same place. Readers of the former
+    snapshot must have finished."""
+    opened = snapshot.rstrip("/")
+    current = manifests.run_folder(spark, opened)
+    files = MetadataFiles(spark)
+    old = [name for name in files.subfolders(opened) if name != current and len(name) == 32]
+    for name in old:
+        files.delete_tree(f"{opened}/{name}")
+    return old

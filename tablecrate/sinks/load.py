@@ -22,6 +22,7 @@ from tablecrate.functions.names import backtick, backtick_path, column_list, spa
 from tablecrate.operators.keys import key_watermark, next_value
 from tablecrate.operators.loading import compatibility, require_not_null
 from tablecrate.sinks.export import version_number
+from tablecrate.sinks.parallel import in_parallel
 from tablecrate.sources import manifests, payload, relations
 from tablecrate.sources.files import MetadataFiles
 from tablecrate.sources.manifests import ManifestObject, Snapshot
@@ -79,6 +80,7 @@ def load_snapshot(
     password: str | None = None,
     warehouse: str | None = None,
     batch_id: str | None = None,
+    workers: int = 1,
 ) -> DataFrame:
     """Load every object; returns one row per object. `spark` must come from `job_session`.
 
@@ -94,12 +96,13 @@ def load_snapshot(
         if mode == "append" and not item.has_data:
             raise CrateError(f"append mode does not support the view {'.'.join(item.target)}")
     _check_layout(spark, snapshot, schema_only)
-    # Views come last, in manifest order, so everything they name exists.
-    ordered = [o for o in objects if o.has_data] + [o for o in objects if not o.has_data]
-    done = [
-        _load_object(spark, snapshot, item, mode, schema_only, warehouse, batch_id)
-        for item in ordered
-    ]
+
+    def load_one(item: ManifestObject) -> Loaded:
+        return _load_object(spark, snapshot, item, mode, schema_only, warehouse, batch_id)
+
+    # Views come last and in manifest order, so everything they name exists.
+    done = in_parallel(spark, load_one, [item for item in objects if item.has_data], workers)
+    done += [load_one(item) for item in objects if not item.has_data]
     return spark.createDataFrame([(d.schema, d.name, d.export_as, d.rows) for d in done], RESULT_SCHEMA)
 
 
@@ -164,13 +167,16 @@ def _replace(
     schema, name = item.target
     version = uuid.uuid4().hex
     location = f"{_schema_location(spark, schema, warehouse)}/{name}/{version}"
-    if schema_only:
-        rows, next_values = 0, {key: 1 for key in item.keys}
-        spark.createDataFrame([], _schema(item)).write.parquet(location)
-    else:
-        rows, next_values = _write_version(spark, snapshot, item, location)
-
     staged = f"{name}__{version}"
+    try:
+        if schema_only:
+            rows, next_values = 0, {key: 1 for key in item.keys}
+            spark.createDataFrame([], _schema(item)).write.parquet(location)
+        else:
+            rows, next_values = _write_version(spark, snapshot, item, location)
+    except BaseException:
+        MetadataFiles(spark).delete_tree(location)
+        raise
     properties = {
         relations.NOT_NULL_PROPERTY: json.dumps(item.not_null),
         relations.KEYS_PROPERTY: json.dumps(item.keys),

@@ -126,6 +126,12 @@ def is_encrypted(spark: SparkSession, snapshot: str) -> bool:
     return bool(_envelope(spark, snapshot).get("encrypted"))
 
 
+def run_folder(spark: SparkSession, snapshot: str) -> str:
+    """The folder the published files are in; also known for encrypted snapshots."""
+    envelope = _envelope(spark, snapshot)
+    return envelope.get("run") or envelope["objects"][0]["ddl_path"].split("/")[0]
+
+
 def _envelope(spark: SparkSession, snapshot: str) -> dict:
     files = MetadataFiles(spark)
     if not files.exists(manifest_path(snapshot)):
@@ -158,6 +164,7 @@ def publish(
     if key is not None:
         content = {
             "encrypted": True,
+            "run": manifest.objects[0].ddl_path.split("/")[0],
             "kdf": "scrypt",
             "salt": base64.b64encode(salt).decode(),
             "manifest": seal.seal_text(spark, json.dumps(content), key),

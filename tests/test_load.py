@@ -32,7 +32,7 @@ def test_replace_append_and_schema_only(spark, src, target, tmp_path, data_forma
     out, warehouse = str(tmp_path / "snap"), str(tmp_path / "wh")
     export_snapshot(spark, config(src, target, data_format=data_format), out)
 
-    loaded = load_snapshot(spark, out, warehouse=warehouse)
+    loaded = load_snapshot(spark, out, warehouse=warehouse, workers=3)
     assert {row["name"]: row["rows"] for row in loaded.collect()} == {
         "items": 2, "filtered": 1, "excluded": 2, "empty": 0,
     }
@@ -93,6 +93,7 @@ def test_damaged_payload_leaves_the_old_table(spark, src, target, tmp_path):
             file.with_name(f".{file.name}.crc").unlink(missing_ok=True)
         with pytest.raises(Exception):
             load_snapshot(spark, out, warehouse=warehouse)
+        assert not list(Path(warehouse, target).glob("items/*/*"))
         assert [row["marker"] for row in spark.table(f"{target}.items").collect()] == ["preserved"]
 
 

@@ -14,6 +14,8 @@ from tablecrate.config import General, JobConfig, ObjectConfig, select_objects
 from tablecrate.operators.reconcile import reconcile
 from tablecrate.operators.selection import parse
 from tablecrate.reports.info import render_info
+from tablecrate.session import sized_shuffles
+from tablecrate.sinks.export import purge_runs
 from tablecrate.sinks.load import find_object, read_ddl
 from tablecrate.sources import manifests
 
@@ -174,9 +176,48 @@ def test_failed_export_leaves_the_former_snapshot(spark, schema, tmp_path):
     with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
         export_snapshot(spark, bad, out)
     assert Path(out, "manifest.json").read_text() == before
+    assert len([p for p in Path(out).iterdir() if p.is_dir()]) == 1
     assert read_object(spark, open_snapshot(spark, out), open_snapshot(spark, out).manifest.objects[0]).count() == 2
 
 
+def test_purge_keeps_the_published_run(spark, schema, tmp_path):
+    create(spark, schema)
+    out = str(tmp_path / "snap")
+    for password in (None, "p", "p"):
+        export_snapshot(spark, config(schema, "dst"), out, password=password)
+    assert len(purge_runs(spark, out)) == 2
+    snapshot = open_snapshot(spark, out, "p")
+    assert read_object(spark, snapshot, snapshot.manifest.objects[0]).count() == 2
+    assert purge_runs(spark, out) == []
+
+
+def test_large_limits_leave_no_scratch(spark, schema, tmp_path):
+    spark.range(0, 60_000, 1, 4).write.saveAsTable(f"{schema}.t")
+    spark.sql(f"CREATE VIEW {schema}.v AS SELECT id, id % 7 AS k FROM {schema}.t")
+    scratch = Path(spark.conf.get("spark.checkpoint.dir", "/tmp"), "tablecrate")
+
+    def numbered():
+        return {p.name for p in scratch.glob("numbered-*")}
+
+    before = numbered()
+    job = select_objects(
+        f"select * from {schema}.t limit 20000", f"select * from {schema}.v order by k, id limit 30000"
+    )
+    manifest = export_snapshot(spark, job, str(tmp_path / "snap"))
+    assert [item.row_count for item in manifest.objects] == [20_000, 30_000]
+    assert numbered() <= before
+
+
+def test_shuffles_grow_with_the_input(spark):
+    key = "spark.sql.shuffle.partitions"
+    usual = spark.conf.get(key)
+    with sized_shuffles(spark, 100 * 2**30):
+        assert spark.conf.get(key) == "400"
+    with sized_shuffles(spark, 0):
+        assert spark.conf.get(key) == usual
+    assert spark.conf.get(key) == usual
+
+
 def test_unfinished_folder_is_not_a_snapshot(spark, tmp_path):
     with pytest.raises(CrateError, match="no manifest"):
         open_snapshot(spark, str(tmp_path / "nothing"))
