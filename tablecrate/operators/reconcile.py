@@ -2,31 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablecrate.errors import CrateError
 from tablecrate.functions.digest import comparable, holds_map, row_hash
 
-BUCKETS = 4_096
+BUCKETS = 4_096  # a power of two
+
+
+def _bucket(row_hashes: Column) -> Column:
+    # A mask of a hash is never NULL. A modulo might be, and the optimizer would then push
+    # an "is not NULL" with the whole hash expression down and track it column by column.
+    return row_hashes.bitwiseAND(F.lit(BUCKETS - 1)).alias("__bucket")
 
 
 def _hashed(df: DataFrame) -> DataFrame:
-    # Plain columns stay as they are: the optimizer tracks every alias, and a hash over
-    # many aliased columns makes that very slow.
     columns = [
         comparable(df, field.name).alias(field.name)
         if holds_map(field.dataType)
         else df[f"`{field.name}`"]
         for field in df.schema
     ]
-    return df.select(*columns, F.pmod(row_hash(df), F.lit(BUCKETS)).alias("__bucket"))
+    return df.select(*columns, _bucket(row_hash(df)))
 
 
 def _digests(df: DataFrame, side: str) -> DataFrame:
-    digest = df.select(row_hash(df).alias("__hash"))
     return (
-        digest.groupBy(F.pmod("__hash", F.lit(BUCKETS)).alias("__bucket"))
+        df.select(row_hash(df).alias("__hash"))
+        .groupBy(_bucket(F.col("__hash")))
         .agg(
             F.count(F.lit(1)).alias(f"{side}_rows"),
             F.sum(F.col("__hash").cast("decimal(20,0)")).alias(f"{side}_sum"),
