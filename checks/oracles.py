@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from checks.queries import COMMON, FOREIGN_KEYS, LABELLED, PROFILED, SELECTED, SELECTIONS
-from checks.sources import TABLES, VIEWS, view_body
+from checks.sources import TABLES, view_body
 
 # The given tables' columns, in order, with their Spark types.
 COLUMNS = {

@@ -97,7 +97,8 @@ def view_body(name: str, qualify: str) -> str:
 def open_tables(spark: SparkSession, sf_dir: str) -> Tables:
     session = job_session(spark)
     sf_dir = sf_dir.rstrip("/")
-    schema = f"sf_{zlib.crc32(sf_dir.encode()):08x}"
+    # A catalog that outlives the session must not serve older view bodies.
+    schema = f"sf_{zlib.crc32(repr((sf_dir, VIEWS)).encode()):08x}"
     if not session.catalog.databaseExists(schema):
         files = {name: f"{sf_dir}/{name}.parquet" for name in TABLES}
         relations.register_files(session, schema, files, scratch_dir(session, schema))

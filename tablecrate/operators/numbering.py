@@ -43,6 +43,15 @@ def with_positions(df: DataFrame, name: str, order: list[Column] | None = None)
     )
 
 
+def reads_files(df: DataFrame) -> bool:
+    """Whether the rows come straight from files, not through a view, a join or JDBC."""
+    try:
+        df.select("_metadata.file_path")
+    except AnalysisException:
+        return False
+    return True
+
+
 def first_rows(df: DataFrame, count: int) -> DataFrame:
     """The first `count` rows in the present order of `df`, cut by position."""
     return with_positions(df, "__position").where(F.col("__position") < count).drop("__position")
@@ -54,10 +63,9 @@ def any_rows(df: DataFrame, count: int) -> DataFrame:
     Over files: count the rows of each file, take whole files in path order and only of
     the last one a part. The path condition prunes files before they are opened.
     """
-    try:
-        paths = df.select(F.col("_metadata.file_path").alias("path"))
-    except AnalysisException:  # not read from files directly: a view, a join, a JDBC table
+    if not reads_files(df):
         return first_rows(df, count)
+    paths = df.select(F.col("_metadata.file_path").alias("path"))
     sizes = paths.groupBy("path").agg(F.count(F.lit(1)).alias("rows"))
     # One row per source file.
     running = Window.orderBy("path").rowsBetween(Window.unboundedPreceding, 0)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tablecrate.errors import CrateError
 from tablecrate.functions.digest import row_hash
 from tablecrate.functions.names import backtick, double_quoted, double_quoted_path
-from tablecrate.operators.numbering import any_rows, first_rows
+from tablecrate.operators.numbering import any_rows, first_rows, reads_files
 
 # Spark's limit and top-k send that many rows of every task to one last task. That is
 # right for reports; a larger limit is cut by position or by file instead.
@@ -139,8 +139,13 @@ class Selection:
         if not keys:
             some = kept if self.limit is None else any_rows(kept, self.limit)
             return some.select(*[some[backtick(column)] for column in outputs])
-        # Equal keys would all land in one range partition; the hash spreads them.
-        ordered = kept.orderBy(*keys, row_hash(kept.select(*projected))).select(*projected)
+        # Equal keys would all land in one range partition; the hash spreads them. Copies
+        # of one row are told apart by a row number, which needs the fixed order of files:
+        # behind a shuffle, a repeated task could number them anew.
+        ties = [row_hash(kept.select(*projected))]
+        if reads_files(kept):
+            ties.append(F.monotonically_increasing_id())
+        ordered = kept.orderBy(*keys, *ties).select(*projected)
         return ordered if self.limit is None else first_rows(ordered, self.limit)
 
 
