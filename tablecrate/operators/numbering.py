@@ -9,6 +9,10 @@ from pyspark.sql import types as T
 
 from tablecrate.session import scratch_dir
 
+# Spark's limit and top-k send that many rows of every task to one last task. That is
+# right for reports; a larger limit is cut by position or by file instead.
+ONE_TASK_LIMIT = 10_000
+
 _MARK = "__partition_row"
 _ROW_BITS = 33  # layout of monotonically_increasing_id(): partition above, row below
 
@@ -79,5 +83,7 @@ def any_rows(df: DataFrame, count: int) -> DataFrame:
         return df
     path = F.col("_metadata.file_path")
     whole = df.where(path < edge["path"])
-    part = df.where(path == edge["path"]).limit(count - (edge["total"] - edge["rows"]))
+    last = df.where(path == edge["path"])
+    missing = count - (edge["total"] - edge["rows"])
+    part = last.limit(missing) if missing <= ONE_TASK_LIMIT else first_rows(last, missing)
     return whole.unionAll(part)

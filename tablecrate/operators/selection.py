@@ -14,11 +14,7 @@ from pyspark.sql import functions as F
 from tablecrate.errors import CrateError
 from tablecrate.functions.digest import row_hash
 from tablecrate.functions.names import backtick, double_quoted, double_quoted_path
-from tablecrate.operators.numbering import any_rows, first_rows, reads_files
-
-# Spark's limit and top-k send that many rows of every task to one last task. That is
-# right for reports; a larger limit is cut by position or by file instead.
-ONE_TASK_LIMIT = 10_000
+from tablecrate.operators.numbering import ONE_TASK_LIMIT, any_rows, first_rows, reads_files
 
 _FLAGS = re.IGNORECASE | re.ASCII | re.DOTALL
 _QUOTED = re.compile(r"""'(?:[^']|'')*'|"(?:[^"]|"")*\"""", re.DOTALL)

@@ -199,6 +199,12 @@ def test_large_limit_takes_whole_files(spark, tmp_path, limit):
         assert "PartitionFilters: []" not in plan.split("FileScan")[1] or "file_path" in plan
 
 
+def test_large_limit_inside_one_file(spark, tmp_path):
+    spark.range(0, 50_000, 1, 1).write.parquet(str(tmp_path / "t"))
+    some = parse("select id from a.b limit 30000").rows(spark.read.parquet(str(tmp_path / "t")))
+    assert some.distinct().count() == some.count() == 30_000
+
+
 @pytest.mark.parametrize("columns", ["id, k, pad", "k, pad"])
 def test_hot_sort_key_is_spread(spark, tmp_path, columns):
     """A sort on one constant key must not end in one partition, not even if all rows
