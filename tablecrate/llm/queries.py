@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecrate.llm import bpe
+from tablecrate.llm import bpe, langid, licenses, quality
+from tablecrate.llm.common import fold, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,8 +30,48 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 4) == 2
+    model = langid.fit(docs.where(~held_out), F.col("doc_id"))
+    named = docs.select("doc_id", "text", held_out.alias("held_out"))
+    return langid.identify(named, model, keep=["doc_id", "held_out"])
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    measured = stored(quality.with_statistics(docs.select("doc_id", "text"), keep=["doc_id"]), "statistics")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    held_out = fold(F.col("doc_id"), 5) == 0
+    model = quality.fit(measured.where(~held_out).join(labels, "doc_id"))
+    return quality.scored(measured, model).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scanned = licenses.license_scan(docs, keep=["doc_id"])
+    base = F.col("base.label")
+    kept = F.col("found.weight")
+    return scanned.select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min("base.word").alias("first_word"),
+        F.array_max("base.word").alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct(base)), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union(base, F.col("found.label"))), ",").alias("labels"),
+        F.coalesce(F.array_max(kept), F.lit(0.0)).alias("score"),
+    )
+
+
 def llm_queries() -> dict[str, Query]:
-    return {"op1_bpe": op1_bpe}
+    named = (op1_bpe, op4_language, op7_quality, op10_licenses)
+    return {query.__name__: query for query in named}
 
 
 def llm_oracles() -> dict[str, str]:
