@@ -27,3 +27,17 @@ def unused(df: DataFrame, *wanted: str) -> list[str]:
     """Names like `wanted` that no column of `df` has, whatever the case."""
     taken = {c.lower() for c in df.columns}
     return [w if w.lower() not in taken else f"{w}_{uuid.uuid4().hex[:8]}" for w in wanted]
+
+# Fixed value: the white space between words, blank and the five controls from tab on.
+_WORD_SPACE = "\t\n\x0b\x0c\r"
+
+
+def words(text: Column) -> Column:
+    """The words of a text, in order: runs of anything but ASCII white space; null has none."""
+    blanked = F.translate(F.coalesce(text, F.lit("")), _WORD_SPACE, " " * len(_WORD_SPACE))
+    return F.array_remove(F.split(blanked, " "), "")
+
+
+def without_space(text: Column) -> Column:
+    """A text without the white space between words."""
+    return F.translate(F.coalesce(text, F.lit("")), " " + _WORD_SPACE, "")

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecrate.llm import bpe, langid, licenses, quality
-from tablecrate.llm.common import fold, stored
+from tablecrate.llm import bpe, langid, licenses, mixing, oracles, quality, rules
+from tablecrate.llm.common import fold, stored, words
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,6 +52,23 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return rules.judged(docs).drop("text")
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    sizes = docs.select(F.col("doc_id").alias("key"), "source", F.size(words(F.col("text"))).cast("long").alias("size"))
+    return mixing.mixed(stored(sizes, "sizes")).select(
+        F.col("key").alias("doc_id"),
+        "size",
+        "source_size",
+        "target",
+        (F.col("copies") * F.col("size")).alias("taken"),
+    )
+
+
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scanned = licenses.license_scan(docs, keep=["doc_id"])
@@ -70,9 +87,9 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Query]:
-    named = (op1_bpe, op4_language, op7_quality, op10_licenses)
+    named = (op1_bpe, op4_language, op7_quality, op8_rules, op9_mixing, op10_licenses)
     return {query.__name__: query for query in named}
 
 
 def llm_oracles() -> dict[str, str]:
-    return {}
+    return {"op8_rules": oracles.OP8_RULES, "op9_mixing": oracles.OP9_MIXING}
