@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tablecrate.llm.arrow import with_computed
 
 LANES = 128
-LANE_BYTES = 2
+HEX = 4  # hex digits of a lane
 
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15
@@ -145,9 +145,9 @@ def fingerprint(text: str | None) -> str:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """The share of equal lanes of two packed fingerprints; null without a second one."""
+    """The share of equal lanes of two fingerprints; null without a second one."""
     lanes = F.sequence(F.lit(0), F.lit(LANES - 1))
-    part = lambda c, i: F.substring(c, i * LANE_BYTES + 1, F.lit(LANE_BYTES))
+    part = lambda c, i: F.substring(c, i * HEX + 1, F.lit(HEX))
     same = F.size(F.filter(lanes, lambda i: part(a, i) == part(b, i)))
     return F.when(a.isNotNull() & b.isNotNull(), same / F.lit(float(LANES)))
 
@@ -238,16 +238,18 @@ def with_edited(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     )
     # From here on a row has no text: this second exchange is small.
     following = F.lead("fingerprint").over(Window.partitionBy("range").orderBy("turn"))
+    text_of = lambda name: F.lower(F.hex(name)).alias(name)
     mark, edited = F.col("fingerprint"), F.col("edited_fingerprint")
     return (
         rows.withColumn("next", following)
         .where(~F.col("ghost"))
+        .select("key", "n_chars", "edited_sha256", *map(text_of, ("fingerprint", "edited_fingerprint", "next")))
         .select(
             F.col("key").alias(key),
             "n_chars",
             "edited_sha256",
-            F.lower(F.hex(mark)).alias("fingerprint"),
-            F.lower(F.hex(edited)).alias("edited_fingerprint"),
+            "fingerprint",
+            "edited_fingerprint",
             likeness(mark, edited).alias("near_edited"),
             likeness(mark, F.col("next")).alias("near_next"),
         )
