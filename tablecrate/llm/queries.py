@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecrate.llm import bpe, langid, lempelziv, licenses, mixing, oracles, quality, rules
+from tablecrate.llm import bpe, extraction, langid, lempelziv, licenses, mixing, oracles, quality, rules
 from tablecrate.llm.common import fold, stored, words
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,12 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(named, model, keep=["doc_id", "held_out"])
 
 
+def op5_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = extraction.extracted(pages, keep=["page_id", "url"])
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     measured = stored(quality.with_statistics(docs.select("doc_id", "text"), keep=["doc_id"]), "statistics")
@@ -91,7 +97,7 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Query]:
-    named = (op1_bpe, op2_lempelziv, op4_language, op7_quality, op8_rules, op9_mixing, op10_licenses)
+    named = (op1_bpe, op2_lempelziv, op4_language, op5_extraction, op7_quality, op8_rules, op9_mixing, op10_licenses)
     return {query.__name__: query for query in named}
 
 
