@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecrate.llm import bpe, extraction, langid, lempelziv, licenses, mixing, oracles, quality, rules
+from tablecrate.llm import bpe, extraction, langid, lempelziv, licenses, mixing, oracles, quality, rules, simhash
 from tablecrate.llm.common import fold, stored, words
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,15 @@ def op2_lempelziv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lempelziv.with_edited(table(spark, sf_dir, "documents"))
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_duplicates(docs).select(
+        "doc_id",
+        F.lower(F.lpad(F.hex("simhash"), 16, "0")).alias("fingerprint"),
+        F.col("component").alias("component_id"),
+    )
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = fold(F.col("doc_id"), 4) == 2
@@ -97,7 +106,7 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Query]:
-    named = (op1_bpe, op2_lempelziv, op4_language, op5_extraction, op7_quality, op8_rules, op9_mixing, op10_licenses)
+    named = (op1_bpe, op2_lempelziv, op3_simhash, op4_language, op5_extraction, op7_quality, op8_rules, op9_mixing, op10_licenses)
     return {query.__name__: query for query in named}
 
 
