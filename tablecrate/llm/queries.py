@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecrate.llm import bpe, extraction, langid, lempelziv, licenses, mixing, oracles, quality, rules, simhash
+from tablecrate.llm import bpe, extraction, langid, lempelziv, licenses, linededup, mixing, oracles, quality, rules, simhash
 from tablecrate.llm.common import fold, stored, words
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,10 @@ def op5_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.line_classes(table(spark, sf_dir, "documents")).drop("body")
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     measured = stored(quality.with_statistics(docs.select("doc_id", "text"), keep=["doc_id"]), "statistics")
@@ -106,7 +110,7 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Query]:
-    named = (op1_bpe, op2_lempelziv, op3_simhash, op4_language, op5_extraction, op7_quality, op8_rules, op9_mixing, op10_licenses)
+    named = (op1_bpe, op2_lempelziv, op3_simhash, op4_language, op5_extraction, op6_lines, op7_quality, op8_rules, op9_mixing, op10_licenses)
     return {query.__name__: query for query in named}
 
 
