@@ -227,7 +227,7 @@ def _entry_batch(lines: dict[int, str], level: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (keys, ids, marks)], ["key", "line", "mark"])
 
 
-def _met(last: bool):
+def _met(last: bool, crowd: int):
     """Rows sorted by key in; pairs of an index entry and a probe out, (x, x) for each member
     of a crowded key. `last`: crowded keys are compared, too, in blocks."""
 
@@ -248,11 +248,11 @@ def _met(last: bool):
         def pairs(key: np.ndarray, line: np.ndarray, mark: np.ndarray) -> pa.RecordBatch:
             starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else none
             size = np.diff(np.concatenate((starts, [len(key)])))
-            big = np.repeat(size > CROWD, size)
+            big = np.repeat(size > crowd, size)
             left, right = [line[big]], [line[big]]
             key, line, mark = key[~big], line[~big], mark[~big]
             at = np.arange(len(key))
-            for step in range(1, CROWD):
+            for step in range(1, crowd):
                 at = at[at + step < len(key)]
                 at = at[key[at] == key[at + step]]
                 if not len(at):
@@ -284,30 +284,30 @@ def _met(last: bool):
             new[1:] = (held[0][1:] != held[0][:-1]) | (held[1][1:] != held[1][:-1])
             held = [x[new] for x in held]
             done = int(np.searchsorted(held[0], held[0][-1]))
-            if len(held[0]) - done > CROWD and not last:
+            if len(held[0]) - done > crowd and not last:
                 crowded, done = int(held[0][-1]), len(held[0])
             ready, held = [x[:done] for x in held], [x[done:] for x in held]
             if last:
-                yield from _blocks(ready, pairs, in_blocks)
+                yield from _blocks(ready, pairs, in_blocks, crowd)
             else:
                 yield pairs(*ready)
         if last:
-            yield from _blocks(held, pairs, in_blocks)
+            yield from _blocks(held, pairs, in_blocks, crowd)
         else:
             yield pairs(*held)
 
     return run
 
 
-def _blocks(ready: list[np.ndarray], pairs, in_blocks) -> Iterator[pa.RecordBatch]:
+def _blocks(ready: list[np.ndarray], pairs, in_blocks, crowd: int) -> Iterator[pa.RecordBatch]:
     key, line, mark = ready
     if not len(key):
         return
     starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
     size = np.diff(np.concatenate((starts, [len(key)])))
-    big = np.repeat(size > CROWD, size)
+    big = np.repeat(size > crowd, size)
     yield pairs(key[~big], line[~big], mark[~big])
-    for start, n in zip(starts[size > CROWD], size[size > CROWD]):
+    for start, n in zip(starts[size > crowd], size[size > crowd]):
         yield from in_blocks(line[start : start + n], mark[start : start + n])
 
 
@@ -338,19 +338,19 @@ def _distance(most: int):
     return distance
 
 
-def links(df: DataFrame, text: str = "text") -> DataFrame:
+def links(df: DataFrame, text: str = "text", crowd: int = CROWD) -> DataFrame:
     """a, b: the pairs of distinct lines within the threshold, stored, each once."""
     made = df.select(text).mapInArrow(_entries_of_texts, "key long, line long, mark long")
     pairs = None
     for level in range(1, LEVELS + 1):
         dealt = made.repartition("key").sortWithinPartitions("key", "line", F.col("mark").desc())
-        met = stored(dealt.mapInArrow(_met(level == LEVELS), "a long, b long"), "line_pairs")
+        met = stored(dealt.mapInArrow(_met(level == LEVELS, crowd), "a long, b long"), "line_pairs")
         named = met.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         pairs = named if pairs is None else pairs.unionAll(named)
-        crowd = met.where("a = b").select(F.col("a").alias("line")).distinct()
-        if level == LEVELS or crowd.isEmpty():
+        members = met.where("a = b").select(F.col("a").alias("line")).distinct()
+        if level == LEVELS or members.isEmpty():
             break
-        made = wanted(df, text, crowd).mapInArrow(_entries_of_lines(level + 1), "key long, line long, mark long")
+        made = wanted(df, text, members).mapInArrow(_entries_of_lines(level + 1), "key long, line long, mark long")
     pairs = stored(pairs.distinct(), "line_candidates")
     ids = pairs.select(F.col("a").alias("line")).unionAll(pairs.select(F.col("b").alias("line"))).distinct()
     contents = wanted(df, text, ids)
@@ -382,7 +382,7 @@ def _line_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def line_classes(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def line_classes(df: DataFrame, key: str = "doc_id", text: str = "text", crowd: int = CROWD) -> DataFrame:
     """One row a line of every text: key, body (a hash of the whole text), line_no (from 0),
     n_chars, class_key and class_line (the first line of its class), n_links (other distinct
     lines within the threshold), kept (it is that first line).
@@ -394,7 +394,7 @@ def line_classes(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     kind = df.schema[key].dataType.simpleString()
     schema = f"key {kind}, body long, line_no long, line long, n_chars long"
     places = stored(docs.mapInArrow(_line_ids, schema), "line_places")
-    near = links(df, text)
+    near = links(df, text, crowd)
     roots = components(near)
     ends = near.select(F.col("a").alias("line")).unionAll(near.select(F.col("b").alias("line")))
     degree = ends.groupBy("line").agg(F.count(F.lit(1)).alias("n_links"))

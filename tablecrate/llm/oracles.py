@@ -78,11 +78,13 @@ WITH sized AS (
     SELECT *, target - whole * source_size AS rest FROM goals
 ), placed AS (
     SELECT doc_id, d.source, size, u, source_size, target, whole, rest,
-           sum(size) OVER (PARTITION BY d.source ORDER BY (u / (1 - u)) / ((rest / source_size) / (1 - rest / source_size)), doc_id, size
-                           RANGE UNBOUNDED PRECEDING) AS reached
+           sum(size) OVER (PARTITION BY d.source ORDER BY (u / (1 - u)) / ((rest / source_size) / (1 - rest / source_size)), doc_id NULLS FIRST, size
+                           RANGE UNBOUNDED PRECEDING) AS reached,
+           -- rows of equal key, source and size go together
+           sum(size) OVER (PARTITION BY d.source, doc_id, size) AS own
     FROM sized d JOIN rests r ON d.source IS NOT DISTINCT FROM r.source
 )
 SELECT doc_id, size, source_size, target,
-       (size * (whole + CASE WHEN rest > 0 AND size > 0 AND reached - rest <= rest - (reached - size) THEN 1 ELSE 0 END))::BIGINT AS taken
+       (size * (whole + CASE WHEN rest > 0 AND size > 0 AND reached - rest <= rest - (reached - own) THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM placed
 """

@@ -173,7 +173,7 @@ def _replicated(blocks: tuple[tuple[int, int], ...]):
     return run
 
 
-def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _compared(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     """Rows sorted by anchor in, links out; (x, x) for each member x of a crowded anchor."""
     none = np.zeros(0, np.int64)
     anchor, prints, home = none, none, np.zeros(0, bool)
@@ -221,12 +221,12 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield links(anchor, prints, home)
 
 
-def links(nodes: DataFrame, blocks: tuple[tuple[int, int], ...]) -> DataFrame:
+def links(nodes: DataFrame, blocks: tuple[tuple[int, int], ...], most: int = CROWD) -> DataFrame:
     """a, b: pairs of the distinct fingerprints `simhash` of `nodes` that link, so many that
     linked fingerprints are connected."""
     met = nodes.select("simhash").mapInArrow(_replicated(blocks), "anchor long, simhash long, home boolean")
     dealt = met.repartition("anchor").sortWithinPartitions("anchor")
-    found = stored(dealt.mapInArrow(_compared, "a long, b long"), "simhash_links")
+    found = stored(dealt.mapInArrow(lambda batches: _compared(batches, most), "a long, b long"), "simhash_links")
     # Points between the members of crowded anchors: themselves and one bit changed.
     crowd = found.where("a = b").select(F.col("a").alias("x")).distinct()
     changed = F.array(F.col("x"), *(F.col("x").bitwiseXOR(F.lit((1 << b) - (1 << BITS if b == 63 else 0))) for b in range(BITS)))
