@@ -185,12 +185,12 @@ def _compared(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Recor
     def links(anchor: np.ndarray, prints: np.ndarray, home: np.ndarray) -> pa.RecordBatch:
         starts = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1]))) if len(anchor) else none
         size = np.diff(np.concatenate((starts, [len(anchor)])))
-        big = np.repeat(size > CROWD, size)
+        big = np.repeat(size > most, size)
         left, right = [prints[big]], [prints[big]]
         anchor, prints, home = anchor[~big], prints[~big], home[~big]
         bits = prints.view(np.uint64)
         at = np.arange(len(anchor))
-        for step in range(1, CROWD):
+        for step in range(1, most):
             at = at[at + step < len(anchor)]
             at = at[anchor[at] == anchor[at + step]]
             if not len(at):
@@ -214,7 +214,7 @@ def _compared(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Recor
             continue
         # The last anchor may go on in the next batch.
         done = int(np.searchsorted(anchor, anchor[-1]))
-        if len(anchor) - done > CROWD:
+        if len(anchor) - done > most:
             crowded, done = int(anchor[-1]), len(anchor)
         yield links(anchor[:done], prints[:done], home[:done])
         anchor, prints, home = anchor[done:], prints[done:], home[done:]
