@@ -64,7 +64,7 @@ def main(sf_dir: str, *names: str) -> None:
     oracles = driver.oracle_sql()
     failed = 0
     for name, query in driver.queries().items():
-        if names and name not in names:
+        if name not in (names or oracles):
             continue
         started = time.time()
         try:
