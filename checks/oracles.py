@@ -190,7 +190,9 @@ def all_oracles() -> dict[str, str]:
     oracles = {name: _selection(name) for name in SELECTIONS}
     oracles |= {
         "limit_by_position": "SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders"
-        " ORDER BY o_orderpriority, o_totalprice DESC, o_orderkey LIMIT 5000",
+        " ORDER BY o_orderpriority, o_totalprice DESC, o_orderkey LIMIT 14000",
+        "export_in_order": "SELECT row_number() OVER (ORDER BY l_shipdate DESC, l_orderkey, l_linenumber) - 1 AS place,"
+        " l_orderkey, l_linenumber FROM lineitem ORDER BY place LIMIT 40000",
         "limit_zero": "SELECT 'orders' AS relation, count(*) AS \"rows\" FROM (SELECT * FROM orders LIMIT 0)"
         " UNION ALL SELECT 'lineitem', count(*) FROM lineitem",
         "roundtrip_parquet": "SELECT * FROM events",

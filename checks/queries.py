@@ -11,6 +11,7 @@ from checks.sources import TABLES, Tables, open_tables
 from tablecrate.config import Constraint, General, JobConfig, ObjectConfig, select_objects
 from tablecrate.errors import CrateError
 from tablecrate.operators import keys, loading, profile, quality
+from tablecrate.operators.numbering import with_positions
 from tablecrate.operators.reconcile import reconcile
 from tablecrate.operators.selection import parse
 from tablecrate.reports import describe
@@ -74,14 +75,28 @@ for _name in SELECTIONS:
 
 @_query
 def limit_by_position(tables: Tables) -> DataFrame:
-    """A limit too large for one task, on a sort with few distinct keys first."""
+    """A large limit, on a sort with few distinct keys first."""
     return tables.select(
         "select o_orderkey, o_orderpriority, o_totalprice from @orders"
-        " order by o_orderpriority, o_totalprice desc, o_orderkey limit 5000",
-        one_task_limit=100,
+        " order by o_orderpriority, o_totalprice desc, o_orderkey limit 14000"
     )
 
 
+@_query
+def export_in_order(tables: Tables) -> DataFrame:
+    """An ordered export with a large limit, read back with the place of each row."""
+    path = _export(
+        tables,
+        "select l_orderkey, l_linenumber, l_shipdate from @lineitem"
+        " order by l_shipdate desc, l_orderkey, l_linenumber limit 40000",
+    )
+    snapshot = manifests.open_snapshot(tables.spark, path)
+    rows = tables.spark.read.parquet(f"{path}/{loads.find_object(snapshot, 'lineitem').data_path}")
+    place = [F.col("_metadata.file_name"), F.col("_metadata.row_index")]
+    placed = with_positions(rows.select("*", place[0].alias("file"), place[1].alias("row")), "place", [F.col("file"), F.col("row")])
+    return placed.select("place", "l_orderkey", "l_linenumber")
+
+
 @_query
 def limit_zero(tables: Tables) -> DataFrame:
     path = _export(tables, "select * from @orders limit 0", "select * from @lineitem")

@@ -83,10 +83,10 @@ class Tables:
         """Selection text with `@` for the schema."""
         return select.replace("@", f"{self.schema}.")
 
-    def select(self, select: str, **options: int) -> DataFrame:
+    def select(self, select: str) -> DataFrame:
         selection = parse(self.text(select))
         source = relations.rows(self.spark, *selection.source)
-        return selection.rows(source, **options)
+        return selection.rows(source)
 
 
 def view_body(name: str, qualify: str) -> str:

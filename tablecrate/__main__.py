@@ -34,7 +34,6 @@ def _arguments() -> argparse.ArgumentParser:
     export.add_argument("--out", required=True)
     export.add_argument("--password")
     export.add_argument("--concurrency", type=int)
-    export.add_argument("--temp-compression", choices=["none", "zstd"])
     export.add_argument("--attempts", type=int)
     export.add_argument("--retry-delay-ms", type=int)
     export.add_argument("--attempt-timeout-ms", type=int)
@@ -121,7 +120,6 @@ def _export(spark: SparkSession, options: argparse.Namespace) -> str:
     config = configs.load(options.config)
     general = config.general.override(
         concurrency=options.concurrency,
-        temp_compression=options.temp_compression,
         attempts=options.attempts,
         retry_delay_ms=options.retry_delay_ms,
         attempt_timeout_ms=options.attempt_timeout_ms,

@@ -23,7 +23,6 @@ CONSTRAINT_KINDS = ("primary_key", "unique", "foreign_key", "check", "exclusion"
 class General:
     data_format: str = "binary"  # "binary" is Parquet here
     compression: str = "zstd"
-    temp_compression: str = "zstd"
     consistent_snapshot: bool = True
     concurrency: int | None = None
     attempts: int = 3
@@ -33,7 +32,6 @@ class General:
     def __post_init__(self) -> None:
         _one_of("data_format", self.data_format, ("binary", "csv"))
         _one_of("compression", str(self.compression).lower(), ("zstd",))
-        _one_of("temp_compression", self.temp_compression, ("zstd", "none"))
         if not isinstance(self.consistent_snapshot, bool):
             raise CrateError("general.consistent_snapshot must be true or false")
         if self.concurrency is not None:

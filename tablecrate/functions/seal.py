@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablecrate.functions.names import backtick
 from tablecrate.errors import CrateError
 from tablecrate.functions import textform
 
@@ -51,7 +52,7 @@ def seal_row(df: DataFrame, key: bytes) -> Column:
     """A whole row as one encrypted value. Setting up the cipher costs far more than the
     bytes, and one value also hides which columns are NULL and how long each one is."""
     texts = [
-        textform.to_text(df[f"`{field.name}`"], field.dataType).alias(f"c{i}")
+        textform.to_text(df[backtick(field.name)], field.dataType).alias(f"c{i}")
         for i, field in enumerate(df.schema)
     ]
     return seal(F.to_json(F.struct(*texts)), key)

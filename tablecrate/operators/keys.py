@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablecrate.functions.names import backtick
 from tablecrate.operators.numbering import with_positions
 
 
@@ -17,7 +18,7 @@ def next_value(column: Column) -> Column:
 
 def key_watermark(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, next_value) for every key column, in one pass over those columns."""
-    marks = df.agg(*[next_value(df[f"`{name}`"]).alias(f"k{i}") for i, name in enumerate(columns)])
+    marks = df.agg(*[next_value(df[backtick(name)]).alias(f"k{i}") for i, name in enumerate(columns)])
     pairs = [
         F.struct(F.lit(name).alias("column"), F.col(f"k{i}").alias("next_value"))
         for i, name in enumerate(columns)
@@ -33,4 +34,4 @@ def assign_keys(
     numbered = with_positions(df, "__position", list(order) or None)
     first = F.lit(start).cast("bigint") if isinstance(start, int) else start
     key = (first + F.col("__position")).alias(column)
-    return numbered.select(key, *[numbered[f"`{c}`"] for c in df.columns if c != column])
+    return numbered.select(key, *[numbered[backtick(c)] for c in df.columns if c != column])

@@ -7,6 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablecrate.functions.names import backtick
 from tablecrate.sources.relations import Relation
 
 
@@ -19,7 +20,7 @@ def require_not_null(df: DataFrame, columns: Iterable[str], label: str) -> DataF
     guarded = set(columns)
 
     def checked(name: str) -> Column:
-        column = df[f"`{name}`"]
+        column = df[backtick(name)]
         if name not in guarded:
             return column
         message = F.lit(f"NULL in NOT NULL column {name} of {label}")
@@ -31,7 +32,7 @@ def require_not_null(df: DataFrame, columns: Iterable[str], label: str) -> DataF
 def not_null_violations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, violations) for every NOT NULL column, in one pass."""
     counts = df.agg(
-        *[F.count_if(df[f"`{name}`"].isNull()).alias(f"c{i}") for i, name in enumerate(columns)]
+        *[F.count_if(df[backtick(name)].isNull()).alias(f"c{i}") for i, name in enumerate(columns)]
     )
     pairs = [
         F.struct(F.lit(name).alias("column"), F.col(f"c{i}").alias("violations"))

@@ -7,12 +7,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablecrate.functions.names import backtick
 from tablecrate.session import scratch_dir
 
-# Spark's limit and top-k send that many rows of every task to one last task. That is
-# right for reports; a larger limit is cut by position or by file instead.
-ONE_TASK_LIMIT = 10_000
-
 _MARK = "__partition_row"
 _ROW_BITS = 33  # layout of monotonically_increasing_id(): partition above, row below
 
@@ -43,7 +40,7 @@ def with_positions(df: DataFrame, name: str, order: list[Column] | None = None)
     return (
         marked.withColumn("__partition", partition)
         .join(F.broadcast(starts), "__partition")
-        .select(*[marked[f"`{c}`"] for c in df.columns], (F.col("__start") + within).alias(name))
+        .select(*[marked[backtick(c)] for c in df.columns], (F.col("__start") + within).alias(name))
     )
 
 
@@ -54,36 +51,3 @@ def reads_files(df: DataFrame) -> bool:
     except AnalysisException:
         return False
     return True
-
-
-def first_rows(df: DataFrame, count: int) -> DataFrame:
-    """The first `count` rows in the present order of `df`, cut by position."""
-    return with_positions(df, "__position").where(F.col("__position") < count).drop("__position")
-
-
-def any_rows(df: DataFrame, count: int) -> DataFrame:
-    """Any `count` rows of `df`, without moving them to one task.
-
-    Over files: count the rows of each file, take whole files in path order and only of
-    the last one a part. The path condition prunes files before they are opened.
-    """
-    if not reads_files(df):
-        return first_rows(df, count)
-    paths = df.select(F.col("_metadata.file_path").alias("path"))
-    sizes = paths.groupBy("path").agg(F.count(F.lit(1)).alias("rows"))
-    # One row per source file.
-    running = Window.orderBy("path").rowsBetween(Window.unboundedPreceding, 0)
-    edge = (
-        sizes.withColumn("total", F.sum("rows").over(running))
-        .where(F.col("total") > count)
-        .orderBy("path")
-        .first()
-    )
-    if edge is None:
-        return df
-    path = F.col("_metadata.file_path")
-    whole = df.where(path < edge["path"])
-    last = df.where(path == edge["path"])
-    missing = count - (edge["total"] - edge["rows"])
-    part = last.limit(missing) if missing <= ONE_TASK_LIMIT else first_rows(last, missing)
-    return whole.unionAll(part)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablecrate.functions import textform
+from tablecrate.functions.names import backtick
 from tablecrate.operators.numbering import with_positions
 
 # 2^14 registers: about 0.8 % standard error, 16 KB per column and task.
@@ -67,7 +68,7 @@ def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     cells = []
     for ordinal, name in enumerate(_chosen(df, columns), start=1):
         data_type = df.schema[name].dataType
-        column = df[f"`{name}`"]
+        column = df[backtick(name)]
         fixed = _fixed_width(data_type)
         cells.append(
             F.struct(
@@ -123,7 +124,7 @@ def profile_approximate(
     widths: dict[int, Column] = {}
     for i, name in enumerate(names):
         data_type = df.schema[name].dataType
-        column = df[f"`{name}`"]
+        column = df[backtick(name)]
         hashed = F.xxhash64(
             textform.to_text(column, data_type) if textform.is_nested(data_type) else column
         )

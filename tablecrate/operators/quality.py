@@ -8,12 +8,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablecrate.config import Constraint
+from tablecrate.functions.names import backtick
+from tablecrate.operators.selection import spark_text
 
 
 def duplicate_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Key values that occur more than once, with their `rows`. As in SQL, a unique key
     with a NULL part never clashes."""
-    keys = [df[f"`{name}`"] for name in columns]
+    keys = [df[backtick(name)] for name in columns]
     complete = df
     for key in keys:
         complete = complete.where(key.isNotNull())
@@ -21,8 +23,9 @@ def duplicate_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def check_violations(df: DataFrame, expression: str) -> DataFrame:
-    """Rows that fail a CHECK; a NULL result passes."""
-    return df.where(~F.expr(expression))
+    """Rows that fail a CHECK; a NULL result passes. The text means what it would mean in a
+    WHERE clause of a selection."""
+    return df.where(~F.expr(f"({spark_text(expression)})"))
 
 
 def orphan_keys(
@@ -36,17 +39,17 @@ def orphan_keys(
     The child is reduced to its distinct keys before the join, so a key held by a third
     of all rows joins as one row.
     """
-    keys = [child[f"`{name}`"] for name in columns]
+    keys = [child[backtick(name)] for name in columns]
     referencing = child
     for key in keys:
         referencing = referencing.where(key.isNotNull())
     held = referencing.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
     offered = parent.select(
-        *[parent[f"`{name}`"].alias(f"__parent_{i}") for i, name in enumerate(parent_columns)]
+        *[parent[backtick(name)].alias(f"__parent_{i}") for i, name in enumerate(parent_columns)]
     )
     matches: Column = F.lit(True)
     for i, name in enumerate(columns):
-        matches = matches & (held[f"`{name}`"] == offered[f"__parent_{i}"])
+        matches = matches & (held[backtick(name)] == offered[f"__parent_{i}"])
     return held.join(offered, matches, "left_anti")
 
 

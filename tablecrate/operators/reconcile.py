@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablecrate.errors import CrateError
-from tablecrate.functions.digest import comparable, holds_map, row_hash
+from tablecrate.functions.digest import comparable, hash_sum, holds_map, row_hash
+from tablecrate.functions.names import backtick
 
 BUCKETS = 4_096  # a power of two
 
@@ -21,7 +22,7 @@ def _hashed(df: DataFrame) -> DataFrame:
     columns = [
         comparable(df, field.name).alias(field.name)
         if holds_map(field.dataType)
-        else df[f"`{field.name}`"]
+        else df[backtick(field.name)]
         for field in df.schema
     ]
     return df.select(*columns, _bucket(row_hash(df)))
@@ -33,7 +34,7 @@ def _digests(df: DataFrame, side: str) -> DataFrame:
         .groupBy(_bucket(F.col("__hash")))
         .agg(
             F.count(F.lit(1)).alias(f"{side}_rows"),
-            F.sum(F.col("__hash").cast("decimal(20,0)")).alias(f"{side}_sum"),
+            hash_sum(F.col("__hash")).alias(f"{side}_sum"),
         )
     )
 
@@ -47,9 +48,17 @@ def differing_buckets(left: DataFrame, right: DataFrame) -> DataFrame:
     return joined.where(~same).select("__bucket")
 
 
+def _unused(df: DataFrame, name: str) -> str:
+    taken = {column.lower() for column in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def reconcile(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows of one side that the other lacks: the columns, `side` ("left" or "right") and
-    how many `copies` are missing on the other side.
+    how many `copies` are missing on the other side. Tables that have such columns get
+    `side_` and `copies_` (with as many underscores as it takes).
 
     Digests per hash bucket come first and shuffle next to nothing. Only rows of
     differing buckets are then counted by value. Copies stay a number: a row missing a
@@ -57,6 +66,7 @@ def reconcile(left: DataFrame, right: DataFrame) -> DataFrame:
     """
     if left.columns != right.columns:
         raise CrateError(f"cannot compare columns {left.columns} with {right.columns}")
+    side, copies = _unused(left, "side"), _unused(left, "copies")
     buckets = differing_buckets(left, right)
     tagged = _hashed(left).withColumn("__delta", F.lit(1)).unionAll(
         _hashed(right).withColumn("__delta", F.lit(-1))
@@ -64,12 +74,12 @@ def reconcile(left: DataFrame, right: DataFrame) -> DataFrame:
     # At most BUCKETS rows are broadcast, whatever the size of the tables.
     suspect = tagged.join(F.broadcast(buckets), "__bucket", "left_semi")
     return (
-        suspect.groupBy(*[suspect[f"`{name}`"] for name in left.columns])
+        suspect.groupBy(*[suspect[backtick(name)] for name in left.columns])
         .agg(F.sum("__delta").alias("__delta"))
         .where(F.col("__delta") != 0)
         .select(
-            *[F.col(f"`{name}`") for name in left.columns],
-            F.when(F.col("__delta") > 0, "left").otherwise("right").alias("side"),
-            F.abs("__delta").alias("copies"),
+            *[F.col(backtick(name)) for name in left.columns],
+            F.when(F.col("__delta") > 0, "left").otherwise("right").alias(side),
+            F.abs("__delta").alias(copies),
         )
     )

@@ -14,7 +14,10 @@ from pyspark.sql import functions as F
 from tablecrate.errors import CrateError
 from tablecrate.functions.digest import row_hash
 from tablecrate.functions.names import backtick, double_quoted, double_quoted_path
-from tablecrate.operators.numbering import ONE_TASK_LIMIT, any_rows, first_rows, reads_files
+from tablecrate.operators.numbering import reads_files, with_positions
+
+# The largest LIMIT that Spark itself takes.
+MOST_ROWS = (1 << 31) - 1
 
 _FLAGS = re.IGNORECASE | re.ASCII | re.DOTALL
 _QUOTED = re.compile(r"""'(?:[^']|'')*'|"(?:[^"]|"")*\"""", re.DOTALL)
@@ -122,27 +125,31 @@ class Selection:
             sql += f" LIMIT {self.limit}"
         return sql
 
-    def rows(self, source: DataFrame, *, one_task_limit: int = ONE_TASK_LIMIT) -> DataFrame:
-        """The selected rows of `source`. Filter, sort and limit may use columns that
-        are not selected."""
+    def rows(self, source: DataFrame) -> DataFrame:
+        """The selected rows of `source`, in the order asked for. Filter, sort and limit may
+        use columns that are not selected."""
         outputs = self.effective_columns(source.columns)
         kept = source.where(spark_text(self.where)) if self.where is not None else source
         keys = [item.column(kept, outputs) for item in self.sort_items]
         projected = [kept[backtick(column)] for column in outputs]
-        if self.limit is not None and self.limit <= one_task_limit:
-            ordered = kept.orderBy(*keys) if keys else kept
+        if keys and self.limit is None:
+            # Equal keys would all land in one range partition; the hash spreads them. Copies
+            # of one row are told apart by a row number, which needs the fixed order of files:
+            # behind a shuffle, a repeated task could number them anew.
+            ties = [row_hash(kept.select(*projected))]
+            if reads_files(kept):
+                ties.append(F.monotonically_increasing_id())
+            return kept.orderBy(*keys, *ties).select(*projected)
+        # With a limit each task keeps its first rows, and the first of those are the result,
+        # in order. JOB_CONF has Spark sort on disk where they are many.
+        ordered = kept.orderBy(*keys) if keys else kept
+        if self.limit is None:
+            return ordered.select(*projected)
+        if self.limit <= MOST_ROWS:
             return ordered.limit(self.limit).select(*projected)
-        if not keys:
-            some = kept if self.limit is None else any_rows(kept, self.limit)
-            return some.select(*[some[backtick(column)] for column in outputs])
-        # Equal keys would all land in one range partition; the hash spreads them. Copies
-        # of one row are told apart by a row number, which needs the fixed order of files:
-        # behind a shuffle, a repeated task could number them anew.
-        ties = [row_hash(kept.select(*projected))]
-        if reads_files(kept):
-            ties.append(F.monotonically_increasing_id())
-        ordered = kept.orderBy(*keys, *ties).select(*projected)
-        return ordered if self.limit is None else first_rows(ordered, self.limit)
+        numbered = with_positions(ordered.select(*projected), "__position")
+        first = numbered.where(F.col("__position") < self.limit).orderBy("__position")
+        return first.drop("__position")
 
 
 def parse(text: str) -> Selection:
@@ -259,4 +266,6 @@ def _limit(text: str | None, statement: str) -> int | None:
         return None
     if not re.fullmatch(r"\+?[0-9]+", text):
         raise CrateError(f"LIMIT must be one non-negative integer, got {text!r} in {statement!r}")
+    if int(text) >= 1 << 63:
+        raise CrateError(f"LIMIT must be below 2^63, got {text} in {statement!r}")
     return int(text)

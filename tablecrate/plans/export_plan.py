@@ -1,4 +1,11 @@
-"""From the config to the full, ordered list of objects to export."""
+"""From the config to the full, ordered list of objects to export.
+
+The rules. A view kept as a view needs, in the snapshot, every relation below it as a plain
+table: all rows and columns, under its own name. All views are closed over first; each
+relation is then settled once, from the set of its requests: a plain request serves, without
+one the relation is added, and a request that writes something else under that name is an
+error. Tables that views need come first, deepest first; the rest follows as configured.
+"""
 
 from __future__ import annotations
 
@@ -18,75 +25,66 @@ PLAN_SCHEMA = """
     limit bigint, required_by int
 """
 
+Name = tuple[str, str]
+
+
+def is_plain_table(item: ObjectConfig) -> bool:
+    selection = item.selection
+    everything = selection.projection == "*" and not selection.has_clauses
+    return item.export_as == "table" and everything and item.target_or_source == item.source
+
+
+def closure(spark: SparkSession, objects: Sequence[ObjectConfig]) -> dict[Name, int]:
+    """Every relation below an exported view, deepest first, with the first such view."""
+    needed: dict[Name, int] = {}
+    for number, item in enumerate(objects):
+        if item.export_as != "view":
+            continue
+        kind = relations.get(spark, *item.source).kind
+        if kind != "view":
+            raise CrateError(f"objects[{number}]: {_dotted(item.source)} is a {kind}, and export_as='view' needs a view")
+        for below in dependencies(spark, *item.source):
+            needed.setdefault(below, number)
+    return needed
+
+
+def _plan(spark: SparkSession, objects: Sequence[ObjectConfig]) -> list[tuple[ObjectConfig, int | None]]:
+    needed = closure(spark, objects)
+    written: dict[Name, list[int]] = {}
+    for number, item in enumerate(objects):
+        written.setdefault(item.target_or_source, []).append(number)
+
+    first: list[tuple[ObjectConfig, int | None]] = []
+    settled: set[int] = set()
+    for name, view in needed.items():
+        requests = written.get(name, [])
+        plain = [n for n in requests if is_plain_table(objects[n])]
+        others = [n for n in requests if n not in plain]
+        if others:
+            raise CrateError(
+                f"objects[{view}] needs {_dotted(name)} as a plain table, but objects[{others[0]}] writes"
+                " something else under that name; give it a target of its own"
+            )
+        settled.update(plain)
+        first.append((objects[plain[0]], None) if plain else (ObjectConfig(full_table(*name)), view))
+    for name, numbers in written.items():
+        if len(numbers) > 1 and name not in needed:
+            raise CrateError(f"two objects would be written to {_dotted(name)}: {numbers}")
+    rest = [(item, None) for number, item in enumerate(objects) if number not in settled]
+    return first + rest
+
 
-def shortfalls(item: ObjectConfig) -> list[str]:
-    """Why an object cannot stand in for a table that an exported view is built on."""
-    found = []
-    if item.export_as != "table":
-        found.append("it is not exported as a table")
-    if item.target is not None:
-        found.append("it is renamed")
-    if item.selection.projection != "*":
-        found.append("it selects only some columns")
-    if item.selection.has_clauses:
-        found.append("it has WHERE, ORDER BY or LIMIT")
-    return found
+def _dotted(name: Name) -> str:
+    return ".".join(name)
 
 
 def expand(spark: SparkSession, objects: Sequence[ObjectConfig]) -> list[ObjectConfig]:
-    """Put the dependencies of every exported view before it, each one once."""
-    return [item for item, _ in _expand(spark, objects)]
-
-
-def _expand(
-    spark: SparkSession, objects: Sequence[ObjectConfig]
-) -> list[tuple[ObjectConfig, int | None]]:
-    planned: list[tuple[ObjectConfig, int | None]] = []
-    added_for: dict[tuple[str, str], int] = {}  # dependency -> index of the view needing it
-    configured: dict[tuple[str, str], list[ObjectConfig]] = {}
-
-    for index, item in enumerate(objects):
-        label = f"objects[{index}] ({'.'.join(item.source)})"
-        if item.export_as == "view":
-            kind = relations.get(spark, *item.source).kind
-            if kind != "view":
-                raise CrateError(f"{label}: export_as='view' needs a view, but it is a {kind}")
-            for needed in dependencies(spark, *item.source):
-                if needed in added_for:
-                    continue
-                present = configured.get(needed, [])
-                if any(not shortfalls(other) for other in present):
-                    continue
-                if present:
-                    raise CrateError(
-                        f"{label} needs all of {'.'.join(needed)} as a table under its own name,"
-                        f" but the config's entry does not fit: {', '.join(shortfalls(present[0]))}"
-                    )
-                added_for[needed] = index
-                planned.append((ObjectConfig(full_table(*needed)), index))
-
-        if item.source in added_for and item.target is None:
-            reasons = shortfalls(item)
-            if not reasons:
-                continue  # the same full table is in the plan already
-            raise CrateError(
-                f"{label} conflicts with the table added for objects[{added_for[item.source]}]:"
-                f" {', '.join(reasons)}; set target_schema and target_name"
-            )
-        configured.setdefault(item.source, []).append(item)
-        planned.append((item, None))
-
-    seen = set()
-    for item, _ in planned:
-        if item.target_or_source in seen:
-            raise CrateError(f"two objects would be written to {'.'.join(item.target_or_source)}")
-        seen.add(item.target_or_source)
-    return planned
+    return [item for item, _ in _plan(spark, objects)]
 
 
 def describe_plan(spark: SparkSession, objects: Sequence[ObjectConfig]) -> DataFrame:
     """The dry run: what would be exported, without reading a row."""
-    planned = [
+    rows = [
         (
             position,
             *item.source,
@@ -96,8 +94,8 @@ def describe_plan(spark: SparkSession, objects: Sequence[ObjectConfig]) -> DataF
             item.selection.where,
             item.selection.order_by,
             item.selection.limit,
-            required_by,
+            view,
         )
-        for position, (item, required_by) in enumerate(_expand(spark, objects), start=1)
+        for position, (item, view) in enumerate(_plan(spark, objects), start=1)
     ]
-    return spark.createDataFrame(planned, PLAN_SCHEMA)
+    return spark.createDataFrame(rows, PLAN_SCHEMA)

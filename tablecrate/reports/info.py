@@ -1,56 +1,68 @@
-"""What is in a snapshot, without reading its rows."""
+"""What is in a snapshot, as one aligned table or as JSON, without reading its rows."""
 
 from __future__ import annotations
 
 import json
-from dataclasses import asdict
 
 from tablecrate.errors import CrateError
 from tablecrate.sources.manifests import ManifestObject, Snapshot
 
+# Column heads of the object table, and what stands below each.
+_HEADS = ("object", "from", "as", "columns", "rows", "checksum")
 
-def render_info(snapshot: Snapshot, output_format: str = "text", objects: bool = False) -> str:
+
+def object_row(item: ManifestObject) -> dict[str, str | int | None]:
+    return dict(
+        zip(
+            _HEADS,
+            (
+                f"{item.target_schema}.{item.target_name}",
+                f"{item.source_schema}.{item.source_name}",
+                item.export_as if item.export_as == item.kind else f"{item.export_as} of {item.kind}",
+                len(item.effective_columns),
+                item.row_count,
+                item.checksum,
+            ),
+        )
+    )
+
+
+def snapshot_facts(snapshot: Snapshot) -> dict:
     manifest = snapshot.manifest
-    facts = {
-        "snapshot": snapshot.path,
-        "encrypted": snapshot.encrypted,
-        "format_version": manifest.format_version,
-        "created_at": manifest.created_at,
-        "source_fingerprint": manifest.source_fingerprint,
-        "source_version_num": manifest.source_version_num,
-        "data_format": manifest.data_format,
-        "consistent_snapshot": manifest.consistent_snapshot,
-        "objects_count": len(manifest.objects),
+    counts = [item.row_count for item in manifest.objects if item.row_count is not None]
+    return {
+        "path": snapshot.path,
+        "written": manifest.created_at,
+        "payload": {"format": manifest.data_format, "sealed": snapshot.encrypted},
+        "source": {
+            "engine": manifest.source_version_num,
+            "session": manifest.source_fingerprint,
+            "pinned": manifest.consistent_snapshot,
+            "files": manifest.input_files,
+            "bytes": manifest.input_bytes,
+        },
+        "totals": {"objects": len(manifest.objects), "rows": sum(counts)},
+        "layout": manifest.format_version,
     }
+
+
+def render_info(snapshot: Snapshot, output_format: str = "text", objects: bool = False) -> str:
+    facts = snapshot_facts(snapshot)
+    rows = [object_row(item) for item in snapshot.manifest.objects] if objects else []
     if output_format == "json":
-        if objects:
-            facts["objects"] = [asdict(item) for item in manifest.objects]
-        return json.dumps(facts, indent=2, ensure_ascii=False) + "\n"
+        return json.dumps(facts | ({"objects": rows} if objects else {}), indent=2, ensure_ascii=False) + "\n"
     if output_format != "text":
         raise CrateError(f"info is printed as text or json, not {output_format!r}")
-    lines = [f"{name}: {_plain(value)}" for name, value in facts.items()]
-    if objects:
-        for position, item in enumerate(manifest.objects, start=1):
-            lines += _object_lines(position, item)
-    return "\n".join(lines) + "\n"
-
-
-def _plain(value: object) -> str:
-    if isinstance(value, bool):
-        return "yes" if value else "no"
-    return "-" if value is None else str(value)
-
-
-def _object_lines(position: int, item: ManifestObject) -> list[str]:
-    def known(value: int | None) -> str:
-        return "unknown" if value is None else str(value)
-
-    return [
-        f"{position}. {item.source_schema}.{item.source_name}"
-        f" -> {item.target_schema}.{item.target_name}"
-        f" (source_kind={item.kind}, export_as={item.export_as})",
-        f"   projection: {item.column_projection}",
-        f"   columns: {', '.join(item.effective_columns)}",
-        f"   row_estimate: {known(item.row_estimate)}",
-        f"   row_count: {known(item.row_count)}",
+    payload, source, totals = facts["payload"], facts["source"], facts["totals"]
+    said = [
+        f"{facts['path']}: {totals['objects']} objects, {totals['rows']} rows",
+        f"{payload['format']}{' sealed' if payload['sealed'] else ''}, layout {facts['layout']}, written {facts['written']}",
+        f"{'pinned' if source['pinned'] else 'not pinned'} source, engine {source['engine']}, {source['session']}",
     ]
+    return "\n".join(said + (["", *aligned(rows)] if rows else [])) + "\n"
+
+
+def aligned(rows: list[dict]) -> list[str]:
+    table = [_HEADS, *[["-" if row[head] is None else str(row[head]) for head in _HEADS] for row in rows]]
+    widths = [max(len(line[i]) for line in table) for i in range(len(_HEADS))]
+    return ["  ".join(cell.ljust(width) for cell, width in zip(line, widths)).rstrip() for line in table]

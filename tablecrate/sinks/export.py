@@ -203,11 +203,17 @@ def table_ddl(schema: str, name: str, columns: Sequence[Column]) -> str:
     return f"CREATE TABLE {backtick_path(schema, name)} (\n    " + ",\n    ".join(lines) + "\n)"
 
 
+# What setJobGroup() sets for the thread.
+_GROUP_PROPERTIES = ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel")
+
+
 def _with_attempts(
     spark: SparkSession, attempt: Callable[[int], ManifestObject], general: General, label: str
 ) -> ManifestObject:
     """Repeat one object's export on any failure or timeout. Lost tasks are Spark's own
     business; this covers a source that was briefly away."""
+    context = spark.sparkContext
+    outer = {key: context.getLocalProperty(key) for key in _GROUP_PROPERTIES}
     for number in range(1, general.attempts + 1):
         timer = None
         if general.attempt_timeout_ms:
@@ -228,6 +234,8 @@ def _with_attempts(
         finally:
             if timer is not None:
                 timer.cancel()
+                for key, value in outer.items():
+                    context.setLocalProperty(key, value)
     raise AssertionError("unreachable")
 
 

@@ -198,7 +198,7 @@ def _write_version(
         read_object(spark, snapshot, item), item.not_null, ".".join(item.target)
     )
     seen = Observation()
-    marks = [next_value(rows[f"`{key}`"]).alias(f"next_{i}") for i, key in enumerate(item.keys)]
+    marks = [next_value(rows[backtick(key)]).alias(f"next_{i}") for i, key in enumerate(item.keys)]
     observed = rows.observe(
         seen, F.count(F.lit(1)).alias("rows"), row_hash_sum(rows).alias("checksum"), *marks
     )

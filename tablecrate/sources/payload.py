@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablecrate.functions.names import backtick
 from tablecrate.functions import seal, textform
 
 COMPRESSION = "zstd"
@@ -34,7 +35,7 @@ def write(df: DataFrame, path: str, data_format: str, key: bytes | None = None)
     elif data_format == "csv":
         df = df.select(
             *[
-                textform.to_field(df[f"`{field.name}`"], field.dataType).alias(field.name)
+                textform.to_field(df[backtick(field.name)], field.dataType).alias(field.name)
                 for field in df.schema
             ]
         )
@@ -67,7 +68,7 @@ def read(
         return source
     return source.select(
         *[
-            textform.from_field(source[f"`{field.name}`"], field.dataType).alias(field.name)
+            textform.from_field(source[backtick(field.name)], field.dataType).alias(field.name)
             for field in schema
         ]
     )

@@ -34,7 +34,7 @@ def test_worker_precedence():
     [
         "compression = 'gzip'", "data_format = 'json'", "attempts = 0", "attempts = -1",
         "retry_delay_ms = -1", "attempt_timeout_ms = -5", "concurrency = 0",
-        "temp_compression = 'lz4'", "consistent_snapshot = 'yes'",
+        "consistent_snapshot = 'yes'",
     ],
 )
 def test_bad_general(general):

@@ -42,20 +42,22 @@ def test_compatible_entries_are_merged(spark, src):
     assert _names(expand(spark, _objects(src, "base", "outer"))) == ["base", "inner_v", "outer_v"]
     assert _names(expand(spark, _objects(src, "outer", "base"))) == ["base", "inner_v", "outer_v"]
     assert _names(expand(spark, _objects(src, "outer", "inner_table"))) == ["base", "inner_v", "outer_v"]
-    assert _names(expand(spark, _objects(src, "outer", "renamed")))[-1] == "base"
+    for entries in (("outer", "renamed"), ("renamed", "outer")):
+        planned = expand(spark, _objects(src, *entries))
+        assert sorted(_names(planned)) == ["base", "base", "inner_v", "outer_v"]
+        assert _names(planned)[:2] == ["base", "inner_v"]
 
 
 @pytest.mark.parametrize(
     ("entries", "message"),
     [
-        (("filtered", "outer"), "does not fit"),
-        (("some", "outer"), "does not fit"),
-        (("renamed", "outer"), "does not fit"),
-        (("inner", "outer"), "does not fit"),
-        (("outer", "filtered"), "conflicts with the table added"),
-        (("outer", "inner"), "conflicts with the table added"),
-        (("base", "filtered", "outer"), "two objects would be written"),
-        (("filtered", "base", "outer"), "two objects would be written"),
+        (("filtered", "outer"), "as a plain table"),
+        (("some", "outer"), "as a plain table"),
+        (("inner", "outer"), "as a plain table"),
+        (("outer", "filtered"), "as a plain table"),
+        (("outer", "inner"), "as a plain table"),
+        (("base", "filtered", "outer"), "as a plain table"),
+        (("base", "filtered"), "two objects would be written"),
         (("items_view",), "needs a view"),
     ],
 )

@@ -1,128 +1,121 @@
 from __future__ import annotations
 
+from itertools import product
+
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.errors import ParseException
 from pyspark.sql import functions as F
 
 from tablecrate import CrateError, parse
+from tablecrate.functions.names import double_quoted
 from tablecrate.operators.selection import spark_text
 
-
-def test_all_columns():
-    selection = parse("select * from public.orders")
-    assert selection.source == ("public", "orders")
-    assert selection.projection == "*"
-    assert not selection.has_clauses
-
-
-def test_full_tail():
-    selection = parse(
-        "SELECT * FROM public.orders WHERE id > 10 ORDER BY created_at DESC, id LIMIT 50"
-    )
-    assert selection.where == "id > 10"
-    assert selection.order_by == "created_at DESC, id"
-    assert selection.limit == 50
+# Each clause of the grammar with its canonical body, or None for a statement without it.
+WHERES = (None, "depth >= 3", "kind = 'limit ''9''' or (\"order by\" is null)", "x in (select x from z.y limit 2)")
+ORDERS = (None, "depth desc nulls last, 1", "case when kind = ',' then 1 else 0 end")
+LIMITS = (None, 0, 12, 2**63 - 1)
 
 
-def test_names_fold_unless_quoted():
-    assert parse("select * from Public.ORDERS").source == ("public", "orders")
-    assert parse('select * from "123schema"."Orders"').source == ("123schema", "Orders")
-    assert parse("select * from 13_schema.v order by a, b").source == ("13_schema", "v")
-    assert parse('select "OrderID", Created from public.orders').columns == ("OrderID", "created")
-    assert parse('select * from "a""b"."c.d"').source == ('a"b', "c.d")
+@pytest.mark.parametrize("spacing", [" ", "\n\t", "  "])
+@pytest.mark.parametrize("upper", [False, True])
+def test_every_combination_of_clauses(spacing, upper):
+    keyword = str.upper if upper else str.lower
+    for where, order_by, limit in product(WHERES, ORDERS, LIMITS):
+        text = f"{keyword('select')} * {keyword('from')} Reef.Soundings"
+        text += f"{spacing}{keyword('where')}{spacing}{where}" if where else ""
+        text += f"{spacing}{keyword('order')}{spacing}{keyword('by')}{spacing}{order_by}" if order_by else ""
+        text += f"{spacing}{keyword('limit')} {limit}" if limit is not None else ""
+        found = parse(text)
+        assert found.source == ("reef", "soundings") and found.projection == "*"
+        assert (found.where, found.order_by, found.limit) == (where, order_by, limit)
+        assert found.has_clauses == (where is not None or order_by is not None or limit is not None)
 
 
-def test_except_list():
-    selection = parse('select * except ("Debug Column", raw_payload) from public.orders')
-    assert selection.excluded == ("Debug Column", "raw_payload")
-    assert selection.projection == "except_list"
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text("ab \"'.,()`*é", min_size=1, max_size=6), min_size=1, max_size=4, unique=True))
+def test_any_quoted_name_survives(names):
+    listed = ", ".join(map(double_quoted, names))
+    schema, name = double_quoted(names[0]), double_quoted(names[-1])
+    assert parse(f"select {listed} from {schema}.{name}").columns == tuple(names)
+    assert parse(f"select * except ({listed}) from {schema} . {name}").excluded == tuple(names)
+    assert parse(f"select * from {schema}.{name} limit 1").source == (names[0], names[-1])
 
 
-def test_keywords_in_quotes_and_parentheses_do_not_split():
-    selection = parse(
-        "select * from public.orders where label = 'order by ''limit''' and \"limit\" > 0"
-        " and id in (select id from public.other limit 1) order by id limit 7"
-    )
-    assert selection.where == (
-        "label = 'order by ''limit''' and \"limit\" > 0 and id in (select id from public.other limit 1)"
-    )
-    assert (selection.order_by, selection.limit) == ("id", 7)
+def test_unquoted_names_fold():
+    found = parse("select Depth, \"Kind\", _X1 from REEF.2024_dives")
+    assert (found.columns, found.source) == (("depth", "Kind", "_x1"), ("reef", "2024_dives"))
 
 
-def test_effective_columns():
-    available = ["id", "debug", "status"]
-    assert parse("select status, id from a.b").effective_columns(available) == ["status", "id"]
-    assert parse("select * except (debug) from a.b").effective_columns(available) == ["id", "status"]
+COLUMNS = ["depth", "kind", "at"]
 
 
 @pytest.mark.parametrize(
-    ("projection", "message"),
-    [
-        ("id, id", "duplicated in the select list"),
-        ("* except (id, id)", "duplicated in the except list"),
-        ("missing, id", "is not in a.b"),
-        ("* except (missing)", "is not in a.b"),
-        ("* except (id, debug, status)", "no columns are left"),
-    ],
+    ("projection", "kept"),
+    [("*", COLUMNS), ("at, depth", ["at", "depth"]), ("* except (kind)", ["depth", "at"])],
 )
-def test_bad_projections(projection, message):
-    selection = parse(f"select {projection} from a.b")
-    with pytest.raises(CrateError, match=message):
-        selection.effective_columns(["id", "debug", "status"])
-
-
-def test_source_duplicates_count_only_where_they_remain():
-    available = ["id", "id", "debug"]
-    for projection in ("*", "* except (debug)"):
-        with pytest.raises(CrateError, match="duplicate column names"):
-            parse(f"select {projection} from a.b").effective_columns(available)
-    assert parse("select id from a.b").effective_columns(available) == ["id"]
-    assert parse("select * except (id) from a.b").effective_columns(available) == ["debug"]
-
-
-@pytest.mark.parametrize(
-    "text",
-    [
-        "selecλt * from public.orders",
-        "select * from public.orders wherλ id = 1",
-        "select * from public.orders where id > 10; drop table t",
-        "select * from public.orders where label = ';'",
-        "select * from public.orders limit ten",
-        "select * from public.orders limit -1",
-        "select * from public.orders limit 1.5",
-        "select * from public.orders limit",
-        "select * from public.orders where",
-        "select * from public.orders order by",
-        "select * from public.orders order by id,",
-        "select * from public.orders limit 10 order by id desc",
-        "select * from public.orders limit 1 2",
-        "select * from public.orders join public.users on true",
-        "select * from public.orders o",
-        "select * from public.orders, public.users",
-        "select * from orders",
-        "select 1col from public.orders",
-        "select id + 1 from public.orders",
-        "select id as key from public.orders",
-        "select id, from public.orders",
-        "select from public.orders",
-        'select "" from public.orders',
-        "select * except id from public.orders",
-        "select * except () from public.orders",
-        "select * except (id) x from public.orders",
-        "insert into public.orders",
-        "select *",
-    ],
-)
-def test_refused(text):
+def test_columns_that_are_kept(projection, kept):
+    selection = parse(f"select {projection} from reef.dives")
+    assert selection.effective_columns(COLUMNS) == kept
+    assert selection.canonical_sql(kept).startswith("SELECT " + ", ".join(map(double_quoted, kept)) + " FROM ")
+
+
+@pytest.mark.parametrize("listed", ["depth, at, depth", "nowhere", "depth, nowhere"])
+@pytest.mark.parametrize("form", ["{}", "* except ({})"])
+def test_lists_that_fit_no_table(form, listed):
+    with pytest.raises(CrateError, match="nowhere|duplicated"):
+        parse(f"select {form.format(listed)} from reef.dives").effective_columns(COLUMNS)
+
+
+def test_nothing_left_and_equal_names():
+    with pytest.raises(CrateError, match="no columns are left"):
+        parse("select * except (depth, kind, at) from reef.dives").effective_columns(COLUMNS)
+    twice = [*COLUMNS, "kind"]
+    with pytest.raises(CrateError, match="duplicate column names"):
+        parse("select * except (at) from reef.dives").effective_columns(twice)
+    assert parse("select * except (kind) from reef.dives").effective_columns(twice) == ["depth", "at"]
+
+
+GOOD = "select depth from reef.dives where depth > 1 order by depth limit 5"
+# What one change makes of a good statement.
+BREAKS = {
+    "no verb": GOOD.removeprefix("select"),
+    "other verb": GOOD.replace("select", "table", 1),
+    "no source": "select depth",
+    "bare source": GOOD.replace("reef.", ""),
+    "alias": GOOD.replace("dives", "dives d"),
+    "two sources": GOOD.replace("dives", "dives, reef.boats"),
+    "join": GOOD.replace("where", "cross join reef.boats where"),
+    "group": "select depth from reef.dives group by depth",
+    "clause order": "select depth from reef.dives limit 5 where depth > 1",
+    "clause twice": GOOD + " limit 6",
+    "empty where": GOOD.replace("depth > 1 ", ""),
+    "empty order": GOOD.replace("by depth", "by"),
+    "empty limit": GOOD.replace("limit 5", "limit"),
+    "open list": GOOD.replace("by depth", "by depth,"),
+    "limit word": GOOD.replace("5", "all"),
+    "limit sign": GOOD.replace("5", "-5"),
+    "limit point": GOOD.replace("5", "5.0"),
+    "limit sum": GOOD.replace("5", "2 + 3"),
+    "limit size": GOOD.replace("5", str(2**63)),
+    "second statement": GOOD + "; select 1",
+    "expression": GOOD.replace("depth from", "depth * 2 from"),
+    "renamed": GOOD.replace("depth from", "depth as d from"),
+    "digit first": GOOD.replace("depth from", "2depth from"),
+    "empty name": GOOD.replace("depth from", '"" from'),
+    "open select": GOOD.replace("depth from", "depth, from"),
+    "star and more": GOOD.replace("depth from", "*, depth from"),
+    "except without list": GOOD.replace("depth from", "* except depth from"),
+    "except nothing": GOOD.replace("depth from", "* except () from"),
+}
+
+
+@pytest.mark.parametrize("name", list(BREAKS))
+def test_one_change_is_refused(name):
+    parse(GOOD)
     with pytest.raises(CrateError):
-        parse(text)
-
-
-def test_canonical_sql():
-    selection = parse("select id, status from public.orders where status = 'paid' order by x desc limit 100")
-    assert selection.canonical_sql(["id", 'a"b']) == (
-        'SELECT "id", "a""b" FROM "public"."orders" WHERE status = \'paid\' ORDER BY x desc LIMIT 100'
-    )
+        parse(BREAKS[name])
 
 
 def _select(spark, text, data, columns):
@@ -174,35 +167,21 @@ def test_backslash_and_doubled_quote_are_standard(spark):
     assert spark_text(r"""x = '\' and "a\b" > 1""") == r"""x = '\\' and "a\b" > 1"""
 
 
-@pytest.mark.parametrize("limit", [0, 1, 7, 50, 99, 100, 101, 10_000_000_000])
-def test_limit_by_position(spark, limit):
-    data = [(i, i % 3) for i in range(100)]
-    source = spark.createDataFrame(data, "id int, k int").repartition(7)
-    selection = parse(f"select id, k from a.b order by k desc, id limit {limit}")
-    expected = sorted(data, key=lambda row: (-row[1], row[0]))[:limit]
-    found = selection.rows(source, one_task_limit=-1 if limit == 0 else 0)
-    assert sorted(map(tuple, found.collect())) == sorted(expected)
-    unordered = parse(f"select id from a.b limit {limit}").rows(source, one_task_limit=-1)
-    assert unordered.distinct().count() == min(limit, 100)
-
-
-@pytest.mark.parametrize("limit", [0, 1, 40, 120, 999, 1_000, 5_000])
-def test_large_limit_takes_whole_files(spark, tmp_path, limit):
-    spark.range(0, 1_000, 1, 8).selectExpr("id", "id % 2 AS k").write.parquet(str(tmp_path / "t"))
-    source = spark.read.parquet(str(tmp_path / "t"))
-    some = parse(f"select id from a.b where k = 0 limit {limit}").rows(source, one_task_limit=-1)
-    ids = [row["id"] for row in some.collect()]
-    assert len(ids) == len(set(ids)) == min(limit, 500)
-    assert all(i % 2 == 0 for i in ids)
-    if limit == 120:
-        plan = some._jdf.queryExecution().executedPlan().toString()
-        assert "PartitionFilters: []" not in plan.split("FileScan")[1] or "file_path" in plan
-
-
-def test_large_limit_inside_one_file(spark, tmp_path):
-    spark.range(0, 50_000, 1, 1).write.parquet(str(tmp_path / "t"))
-    some = parse("select id from a.b limit 30000").rows(spark.read.parquet(str(tmp_path / "t")))
-    assert some.distinct().count() == some.count() == 30_000
+@pytest.mark.parametrize("limit", [0, 1, 99, 100, 101, 25_000, 2**31 + 5])
+def test_one_promise_at_every_limit(spark, tmp_path, limit):
+    """In order, in `collect()` and in the files of a write."""
+    size = 30_000 if limit > 1_000 else 100
+    source = spark.range(0, size, 1, 7).selectExpr("id", "id % 3 AS k")
+    expected = sorted(((i, i % 3) for i in range(size)), key=lambda r: (-r[1], r[0]))[:limit]
+    found = parse(f"select id, k from a.b order by k desc, id limit {limit}").rows(source)
+    assert list(map(tuple, found.collect())) == expected
+    found.write.parquet(str(tmp_path / "out"))
+    written = spark.read.parquet(str(tmp_path / "out"))
+    placed = written.orderBy("_metadata.file_name", "_metadata.row_index").collect()
+    assert list(map(tuple, placed)) == expected
+    if limit < 2**31:
+        unordered = parse(f"select id from a.b limit {limit}").rows(source)
+        assert unordered.distinct().count() == unordered.count() == min(limit, size)
 
 
 @pytest.mark.parametrize("columns", ["id, k, pad", "k, pad"])
