@@ -7,8 +7,10 @@ is rewritten or removed in between.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -25,13 +27,21 @@ class Pin:
     fingerprint: str
 
 
+_GLOB_SIGNS = re.compile(r"([*?\[\]{}\\])")
+
+
+def plain_path(uri: str) -> str:
+    """A path to load from the URI of an input file: decoded, and taken literally."""
+    return _GLOB_SIGNS.sub(r"\\\1", unquote(uri))
+
+
 def pin(spark: SparkSession, sources: Iterable[DataFrame]) -> Pin:
     """Count, bytes and digest of (path, size, modification time) of all source files.
 
-    The listing runs on the executors and no file is opened: the content column is
-    pruned away.
+    The sizes are listed by Spark and no file is opened: the content column is pruned away.
+    The paths themselves come from the driver's file index.
     """
-    paths = sorted({path for df in sources for path in df.inputFiles()})
+    paths = sorted({plain_path(uri) for df in sources for uri in df.inputFiles()})
     if not paths:
         return Pin(0, 0, "0")
     listing = (

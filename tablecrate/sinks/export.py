@@ -98,7 +98,7 @@ def export_snapshot(
         f" user={spark.sql('SELECT current_user()').first()[0]}",
         source_version_num=version_number(spark),
         data_format=general.data_format,
-        consistent_snapshot=pinned,
+        consistent_snapshot=pinned and all(map(_has_files, sources)),
         objects=objects,
         input_files=None if before is None else before.files,
         input_bytes=None if before is None else before.bytes,
@@ -108,6 +108,12 @@ def export_snapshot(
     return manifest
 
 
+def _has_files(source: _Source) -> bool:
+    """Whether pinned files prove the rows: a view may have none, such as one of rand()."""
+    stored = source.item.export_as == "view" or source.relation.kind == "table"
+    return stored or bool(source.rows.inputFiles())
+
+
 def _resolve(
     spark: SparkSession, item: ObjectConfig, connection: dict[str, str] | None
 ) -> _Source:
@@ -180,6 +186,7 @@ def _write_object(
         comment=relation.comment,
         view_text=_view_body(relation) if is_view else None,
         view_settings=relation.view_settings if is_view else {},
+        view_namespace=relation.view_namespace if is_view else None,
         order_by=item.selection.order_by,
         **counts,
     )

@@ -321,11 +321,15 @@ def _create_table(
 def _create_view(
     spark: SparkSession, item: ManifestObject, present: relations.Relation | None
 ) -> None:
-    """The view is created under the parser settings it was written for."""
+    """The view is created as it first was: under the same settings, and with its
+    unqualified names looked up in the same namespace."""
     schema, name = item.target
     session = spark.newSession()
     for key, value in item.view_settings.items():
-        session.conf.set(key, value)
+        if session.conf.isModifiable(key):
+            session.conf.set(key, value)
+    if item.view_namespace:
+        session.sql(f"USE {item.view_namespace}")
     staged = f"{name}__{uuid.uuid4().hex}"
     columns = column_list(item.effective_columns)
     session.sql(f"CREATE VIEW {backtick_path(schema, staged)} ({columns}) AS {item.view_text}")

@@ -42,6 +42,7 @@ class ManifestObject:
     comment: str | None = None
     view_text: str | None = None
     view_settings: dict[str, str] = field(default_factory=dict)
+    view_namespace: str | None = None
     order_by: str | None = None
     row_count: int | None = None
     checksum: str | None = None

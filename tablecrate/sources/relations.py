@@ -17,13 +17,6 @@ NOT_NULL_PROPERTY = "tablecrate.not_null"
 KEYS_PROPERTY = "tablecrate.keys"
 LABELS_PROPERTY = "tablecrate.labels"
 
-_PARSER_SETTINGS = (
-    "spark.sql.parser.escapedStringLiterals",
-    "spark.sql.ansi.enabled",
-    "spark.sql.ansi.doubleQuotedIdentifiers",
-)
-
-
 @dataclass(frozen=True)
 class Column:
     name: str
@@ -47,7 +40,8 @@ class Relation:
     columns: tuple[Column, ...]
     comment: str | None = None
     view_text: str | None = None
-    view_settings: dict[str, str] = field(default_factory=dict)
+    view_settings: dict[str, str] = field(default_factory=dict)  # it was created under
+    view_namespace: str | None = None  # where its unqualified names are looked up
     row_estimate: int | None = None
     properties: dict[str, str] = field(default_factory=dict)
     location: str | None = None
@@ -91,7 +85,8 @@ def find(spark: SparkSession, schema: str, name: str) -> Relation | None:
         columns=columns,
         comment=facts.get("comment"),
         view_text=facts.get("view_text") if is_view else None,
-        view_settings={k: created_under[k] for k in _PARSER_SETTINGS if k in created_under},
+        view_settings=dict(created_under) if is_view else {},
+        view_namespace=facts.get("view_catalog_and_namespace") if is_view else None,
         row_estimate=None if is_view else facts.get("statistics", {}).get("num_rows"),
         properties=properties,
         location=facts.get("location"),

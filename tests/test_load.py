@@ -5,7 +5,7 @@ from pathlib import Path
 import pytest
 
 from fixture_tables import ITEMS_SCHEMA, config, create
-from tablecrate import CrateError, export_snapshot, load_snapshot, open_snapshot
+from tablecrate import CrateError, export_snapshot, load_snapshot, loads, open_snapshot
 from tablecrate.config import JobConfig, ObjectConfig, select_objects
 from tablecrate.operators.keys import assign_keys
 from tablecrate.operators.loading import compatibility, not_null_violations
@@ -286,3 +286,21 @@ def test_manifest_scan_over_many_snapshots(spark, src, tmp_path):
         _one(spark, str(tmp_path / "snaps" / name), f"select * from {src}.base", "x", name)
     rows = manifests.manifest_objects(spark, f"{tmp_path}/snaps/*").orderBy("target_name").collect()
     assert [(row["target_name"], row["row_count"]) for row in rows] == [("a", 2), ("b", 2)]
+
+
+def test_view_keeps_its_namespace_and_settings(spark, schema, tmp_path):
+    """Unqualified names, and another time zone; the originals are gone before the load."""
+    creator = spark.newSession()
+    creator.sql(f"USE {schema}")
+    creator.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    creator.sql("CREATE TABLE tides (id INT, at TIMESTAMP) USING parquet")
+    creator.sql("INSERT INTO tides VALUES (1, TIMESTAMP'2026-03-01 00:00:00Z')")
+    creator.sql("CREATE VIEW by_hour AS SELECT id, hour(at) AS h FROM tides")
+    before = spark.table(f"{schema}.by_hour").collect()
+    job = loads(f"[[objects]]\nselect = 'select * from {schema}.by_hour'\nexport_as = 'view'")
+    export_snapshot(spark, job, str(tmp_path / "snap"))
+    spark.sql(f"DROP VIEW {schema}.by_hour")
+    spark.sql(f"DROP TABLE {schema}.tides")
+    load_snapshot(spark, str(tmp_path / "snap"), warehouse=str(tmp_path / "w"))
+    assert spark.table(f"{schema}.by_hour").collect() == before
+    assert before[0]["h"] == 9

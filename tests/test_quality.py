@@ -100,3 +100,37 @@ def test_positions(spark):
 def test_watermark(spark):
     df = spark.createDataFrame([(5, None), (-3, None)], "a long, b int")
     assert _bag(keys.key_watermark(df, ["a", "b"])) == {("a", 6): 1, ("b", 1): 1}
+
+
+def test_nested_values_have_their_own_hashes(spark):
+    """Values that Spark's hash runs together are told apart, and so are odd names."""
+    from tablecrate.functions.digest import row_hash_sum
+    from tablecrate.operators.reconcile import reconcile
+
+    pairs = [
+        ("array(1, null)", "array(null, 1)"), ("array(1, null)", "array(1)"),
+        ("struct(1 AS a, CAST(null AS int) AS b)", "struct(CAST(null AS int) AS a, 1 AS b)"),
+        ("array(array('a'), array('b'))", "array(array('a', 'b'))"), ("array(CAST(null AS int))", "null"),
+        ("map('a', 1)", "map('a', CAST(null AS int))"),
+    ]
+    for one, other in pairs:
+        left = spark.sql(f"SELECT 1 AS `o``dd`, 2 AS side, {one} AS v")
+        right = spark.sql(f"SELECT 1 AS `o``dd`, 2 AS side, {other} AS v")
+        assert left.agg(row_hash_sum(left)).first() != right.agg(row_hash_sum(right)).first()
+        found = reconcile(left, right)
+        assert found.columns == ["o`dd", "side", "v", "side_", "copies"]
+        assert sorted(r["side_"] for r in found.collect()) == ["left", "right"]
+        assert reconcile(left, left).collect() == []
+
+
+def test_hash_sum_is_exact(spark):
+    from tablecrate.functions.digest import hash_sum
+
+    values = [-(1 << 63), (1 << 63) - 1, -1, 0, 1, 65_535, -65_536, 1 << 40]
+    df = spark.createDataFrame([(v,) for v in values * 3], "h long")
+    assert int(df.agg(hash_sum(df["h"])).first()[0]) == 3 * sum(values)
+
+
+def test_check_text_is_that_of_a_where_clause(spark):
+    df = spark.createDataFrame([("a1",), ("ab",), (None,)], "v string")
+    assert [r["v"] for r in quality.check_violations(df, r"v rlike '^[a-z]\d$'").collect()] == ["ab"]

@@ -299,3 +299,22 @@ def test_rows_are_the_fixture(spark, schema):
     create(spark, schema)
     rows = [tuple(row) for row in spark.table(f"{schema}.items").orderBy("id").collect()]
     assert rows == ITEMS
+
+
+def test_pinned_paths_are_taken_literally(spark, schema, tmp_path):
+    values = ["a b", "50%", "[x]", "é*", "{1,2}", "q?"]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, part string")
+    place = str(tmp_path / "parted")
+    rows.write.partitionBy("part").parquet(place)
+    spark.sql(f"CREATE TABLE {schema}.parted USING parquet LOCATION '{place}'")
+    spark.sql(f"MSCK REPAIR TABLE {schema}.parted")
+    out = str(tmp_path / "snap")
+    manifest = export_snapshot(spark, select_objects(f"select * from {schema}.parted"), out)
+    assert manifest.consistent_snapshot and manifest.input_files == len(values)
+    assert manifest.objects[0].row_count == len(values)
+
+
+def test_sources_without_files_are_not_called_consistent(spark, schema, tmp_path):
+    spark.sql(f"CREATE VIEW {schema}.dice AS SELECT rand() AS r")
+    manifest = export_snapshot(spark, select_objects(f"select * from {schema}.dice"), str(tmp_path / "s"))
+    assert not manifest.consistent_snapshot
