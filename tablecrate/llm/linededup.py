@@ -326,7 +326,8 @@ def lines_of(df: DataFrame, text: str) -> DataFrame:
 
 def wanted(df: DataFrame, text: str, ids: DataFrame) -> DataFrame:
     """The contents of the lines `ids` (a column line, distinct), stored."""
-    found = lines_of(df, text).join(ids, "line", "left_semi")
+    # Never a broadcast: the ids grow with the lines.
+    found = lines_of(df, text).join(ids.hint("merge"), "line", "left_semi")
     return stored(found.groupBy("line").agg(F.first("content").alias("content")), "line_contents")
 
 
