@@ -20,6 +20,7 @@ connected components; a class is named by its first line, by document key, then
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import combinations, product
 
 import numpy as np
@@ -68,44 +69,48 @@ def windows(size: int, other: int, parts: int, edits: int) -> list[tuple[int, in
     return found
 
 
-def entries(line: str, level: int) -> Iterator[tuple[int, bool]]:
-    """(key, indexed): the index keys of a line, and the keys it probes. At `level` n the
-    line has EDITS + n segments, of which n must agree."""
-    parts, size = EDITS + level, len(line)
-    digest = xxhash.xxh3_64_intdigest
-    raw = lambda at, length: digest(line[at : at + length].encode("utf-8", "surrogatepass"))
-    name = lambda other, chosen: hash((level, other, *chosen))  # noqa: E731  of numbers: the same in every process
-    own = [(i, raw(start, length)) for i, (start, length) in enumerate(segments(size, parts))]
-    indexed = {name(size, chosen) for chosen in combinations(own, level)}
-    for key in indexed:
-        yield key, True
-    known: dict[tuple[int, int], int] = {}
+@lru_cache(maxsize=8_192)
+def probes(size: int, level: int) -> tuple[list[tuple[int, int]], list[tuple[int, list[tuple]]]]:
+    """For lines of `size`: the own segments, and for each length of an indexed line the
+    choices of `level` places (segment number, start, length) to probe. Sizes recur."""
+    parts = EDITS + level
+    found = []
     for other in range(max(SHORTEST, size - EDITS), size + 1):
-        held = []
-        for i, length, starts in windows(size, other, parts, EDITS):
-            here = []
-            for at in starts:
-                if (at, length) not in known:
-                    known[at, length] = raw(at, length)
-                here.append((i, known[at, length]))
-            held.append(here)
-        for chosen in combinations(held, level):
-            for one in product(*chosen):
-                key = name(other, one)
-                if key not in indexed:  # entries of the index meet each other, too
-                    yield key, False
-
+        held = [[(i, at, length) for at in starts] for i, length, starts in windows(size, other, parts, EDITS)]
+        found.append((other, [one for chosen in combinations(held, level) for one in product(*chosen)]))
+    return segments(size, parts), found
 
-_SHIFT = np.uint64(58)
 
-
-def parity(line: str) -> int:
-    """For each of 63 classes of code points whether the line has an odd number of them. An
-    edit changes at most two of them. The lowest bit is free."""
-    codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    kind = (codes * np.uint64(0x9E3779B97F4A7C15) >> _SHIFT) % np.uint64(63) + np.uint64(1)
-    odd = np.bincount(kind.astype(np.int64), minlength=64) & 1
-    return int(np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)[0])
+def entries(line: str, level: int) -> tuple[list[int], list[int]]:
+    """The index keys of a line, and the keys it only probes. At `level` n the
+    line has EDITS + n segments, of which n must agree."""
+    raw = line.encode("utf-32-le", "surrogatepass")  # four bytes a code point: slices need no search
+    digest, size = xxhash.xxh3_64_intdigest, len(line)
+    own, choices = probes(size, level)
+    if level == 1:  # the common case, without the products; hashes of numbers are the same everywhere
+        indexed = {hash((size, i, digest(raw[4 * a : 4 * (a + n)]))) for i, (a, n) in enumerate(own)}
+        probed = [
+            hash((other, i, digest(raw[4 * a : 4 * (a + n)]))) for other, each in choices for ((i, a, n),) in each
+        ]
+    else:
+        part = lru_cache(None)(lambda a, n: digest(raw[4 * a : 4 * (a + n)]))
+        name = lambda other, chosen: hash((other, *((i, part(a, n)) for i, a, n in chosen)))
+        numbered = [(i, a, n) for i, (a, n) in enumerate(own)]
+        indexed = {name(size, chosen) for chosen in combinations(numbered, level)}
+        probed = [name(other, chosen) for other, each in choices for chosen in each]
+    # Entries of the index meet each other, too.
+    return [*indexed], [key for key in probed if key not in indexed]
+
+
+def parities(lines: list[str]) -> np.ndarray:
+    """Of each line, for each of 63 classes of code points, whether it has an odd number of
+    them. An edit changes at most two of them. The lowest bit is free."""
+    raw = "".join(lines).encode("utf-32-le", "surrogatepass")
+    codes = np.frombuffer(raw, np.uint32) * np.uint32(0x9E3779B1)
+    kind = ((codes >> np.uint32(16)) % np.uint32(63) + np.uint32(1)).astype(np.int64)
+    owner = np.repeat(np.arange(len(lines)), [len(line) for line in lines])
+    odd = (np.bincount(owner * 64 + kind, minlength=64 * len(lines)) & 1).astype(np.uint8)
+    return np.packbits(odd.reshape(-1, 64), axis=1, bitorder="little").view(np.int64)[:, 0]
 
 
 def edit_distance(a: str, b: str, most: int) -> int:
@@ -217,13 +222,16 @@ def _entries_of_lines(level: int):
 
 
 def _entry_batch(lines: dict[int, str], level: int) -> pa.RecordBatch:
-    keys, ids, marks = [], [], []
-    for name, line in lines.items():
-        odd = parity(line)
-        for key, indexed in entries(line, level):
-            keys.append(key)
-            ids.append(name)
-            marks.append(odd | indexed)
+    keys: list[int] = []
+    counts: list[int] = []  # of index keys, of probes, in turn
+    for line in lines.values():
+        for found in entries(line, level):
+            keys += found
+            counts.append(len(found))
+    flags = np.repeat(np.arange(len(counts)) % 2 == 0, counts)
+    counts = np.add.reduceat(counts, np.arange(0, len(counts), 2)) if counts else np.zeros(0, np.int64)
+    ids = np.repeat(np.array(list(lines), np.int64), counts)
+    marks = np.repeat(parities(list(lines.values())), counts) | flags
     return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (keys, ids, marks)], ["key", "line", "mark"])
 
 

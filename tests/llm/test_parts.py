@@ -72,8 +72,9 @@ def test_near_lines_share_an_entry(level):
         for _ in range(2):
             at = rnd.randrange(len(b))
             rnd.choice([lambda: b.pop(at), lambda: b.insert(at, "x"), lambda: b.__setitem__(at, "y")])()
-        one, two = dict(linededup.entries("".join(a), level)), dict(linededup.entries("".join(b), level))
-        assert any(one[k] or two[k] for k in one.keys() & two.keys())
+        (own, probed), (other_own, other_probed) = (linededup.entries("".join(x), level) for x in (a, b))
+        met = {*own, *probed} & {*other_own, *other_probed}
+        assert met & {*own, *other_own}
 
 
 @pytest.mark.parametrize("blocks", [simhash.BLOCKS[:2], simhash.BLOCKS])
