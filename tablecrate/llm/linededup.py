@@ -34,7 +34,7 @@ from tablecrate.llm.components import components
 
 EDITS = 2
 SHORTEST = 20
-CROWD = 128
+CROWD = 512
 LEVELS = 3
 # Distinct lines a task remembers, to send each of them on once.
 REMEMBERED = 100_000
@@ -257,7 +257,8 @@ def _met(last: bool, crowd: int):
             starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else none
             size = np.diff(np.concatenate((starts, [len(key)])))
             big = np.repeat(size > crowd, size)
-            left, right = [line[big]], [line[big]]
+            members = np.unique(line[big])
+            left, right = [members], [members]
             key, line, mark = key[~big], line[~big], mark[~big]
             at = np.arange(len(key))
             for step in range(1, crowd):

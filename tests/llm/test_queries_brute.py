@@ -186,7 +186,7 @@ def odd_lines() -> list[dict]:
     return [{"doc_id": k, "text": t} for k, t in texts]
 
 
-@pytest.mark.parametrize("crowd", [128, 2])
+@pytest.mark.parametrize("crowd", [linededup.CROWD, 2])
 def test_op6_lines(base_spark, crowd):
     """Also with keys that count as crowded at once, so that every level is used."""
     rows = odd_lines()
