@@ -259,6 +259,21 @@ def all_oracles() -> dict[str, str]:
         " (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderstatus <> 'F') GROUP BY l_orderkey",
         "pk_duplicates": "SELECT l_orderkey, l_linenumber, count(*) AS \"rows\" FROM lineitem"
         " GROUP BY ALL HAVING count(*) > 1",
+        "constraint_report": _views("priced_orders", "odd_customers", "discounted_lines")
+        + """
+            SELECT 'orders_pk' AS "constraint", 'primary_key' AS kind, coalesce(sum(n), 0)::BIGINT AS violations
+            FROM (SELECT count(*) AS n FROM orders GROUP BY o_orderkey HAVING count(*) > 1)
+            UNION ALL SELECT 'customer_nation', 'unique', coalesce(sum(n), 0)::BIGINT
+            FROM (SELECT count(*) AS n FROM customer WHERE c_nationkey IS NOT NULL GROUP BY c_nationkey HAVING count(*) > 1)
+            UNION ALL SELECT 'odd_pk', 'primary_key', count(*) FROM odd_customers WHERE c_nationkey IS NULL
+            UNION ALL SELECT 'lineitem_order', 'foreign_key', count(*) FROM lineitem
+            WHERE l_orderkey NOT IN (SELECT o_orderkey FROM priced_orders)
+            UNION ALL SELECT 'orders_supplier', 'foreign_key', count(*) FROM orders
+            WHERE o_custkey NOT IN (SELECT s_suppkey FROM supplier)
+            UNION ALL SELECT 'priority_form', 'check', count(*) FROM orders
+            WHERE NOT regexp_full_match(o_orderpriority, '[1-3]-\\S+')
+            UNION ALL SELECT 'discount_range', 'check', count(*) FROM discounted_lines WHERE NOT l_discount <= 0.08
+        """,
         "check_violations": _views("discounted_lines")
         + "SELECT * FROM discounted_lines WHERE NOT (l_discount <= 0.08)",
         "reconcile_diff": _reconciled(),

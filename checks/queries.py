@@ -506,6 +506,26 @@ def pk_duplicates(tables: Tables) -> DataFrame:
     return quality.duplicate_keys(tables.rows("lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+@_query
+def constraint_report(tables: Tables) -> DataFrame:
+    def of(relation: str, name: str, kind: str, **more: object) -> Constraint:
+        return Constraint((tables.schema, relation), name, kind, **more)
+
+    declared = [
+        of("orders", "orders_pk", "primary_key", columns=("o_orderkey",)),
+        of("customer", "customer_nation", "unique", columns=("c_nationkey",)),
+        of("odd_customers", "odd_pk", "primary_key", columns=("c_custkey", "c_nationkey")),
+        of("lineitem", "lineitem_order", "foreign_key", columns=("l_orderkey",),
+           references=(tables.schema, "priced_orders"), referenced_columns=("o_orderkey",)),
+        of("orders", "orders_supplier", "foreign_key", columns=("o_custkey",),
+           references=(tables.schema, "supplier"), referenced_columns=("s_suppkey",)),
+        of("orders", "priority_form", "check", expression=r"o_orderpriority rlike '^[1-3]\-\S+$'"),
+        of("discounted_lines", "discount_range", "check", expression="l_discount <= 0.08"),
+    ]
+    report = quality.constraint_report(tables.spark, declared)
+    return report.select("constraint", "kind", "violations")
+
+
 @_query
 def check_violations(tables: Tables) -> DataFrame:
     return quality.check_violations(tables.rows("discounted_lines"), "l_discount <= 0.08")

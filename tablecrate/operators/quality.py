@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 from tablecrate.config import Constraint
 from tablecrate.functions.names import backtick
 from tablecrate.operators.selection import spark_text
+from tablecrate.sources import relations
 
 
 def duplicate_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -53,6 +56,67 @@ def orphan_keys(
     return held.join(offered, matches, "left_anti")
 
 
+_REPORT_SCHEMA = "relation string, constraint string, kind string, violations bigint"
+
+
+def constraint_report(spark: SparkSession, constraints: Iterable[Constraint]) -> DataFrame:
+    """relation, constraint, kind, violations: one row a declared constraint.
+
+    Violations are rows: all rows of a repeated key (and, of a primary key, those with a
+    NULL part), child rows without a parent, rows that fail a CHECK. The CHECKs and NULL
+    parts of one relation are counted in one scan; keys shuffle once each. Exclusion
+    constraints have no meaning here and report NULL.
+    """
+    parts: list[DataFrame] = []
+    scans: dict[tuple[str, str], list[tuple[Constraint, Column]]] = {}
+    for constraint in constraints:
+        rows = relations.rows(spark, *constraint.relation)
+        if constraint.kind in ("primary_key", "unique"):
+            repeated = duplicate_keys(rows, constraint.columns).agg(F.sum("rows").alias("n"))
+            parts.append(_reported(constraint, repeated))
+        if constraint.kind == "foreign_key":
+            parents = relations.rows(spark, *constraint.references)
+            orphans = orphan_keys(rows, constraint.columns, parents, constraint.referenced_columns)
+            parts.append(_reported(constraint, orphans.agg(F.sum("rows").alias("n"))))
+        found = None
+        if constraint.kind == "primary_key":
+            found = reduce(or_, [F.col(backtick(name)).isNull() for name in constraint.columns])
+        elif constraint.kind == "check":
+            found = ~F.expr(f"({spark_text(constraint.expression)})")
+        elif constraint.kind not in ("unique", "foreign_key"):
+            parts.append(_reported(constraint, spark.range(1).select(F.lit(None).cast("bigint").alias("n"))))
+        if found is not None:
+            scans.setdefault(constraint.relation, []).append((constraint, found))
+    for relation, counted in scans.items():
+        counts = [F.count_if(found).alias(f"n{i}") for i, (_, found) in enumerate(counted)]
+        entries = F.array(
+            *[
+                F.struct(
+                    F.lit(".".join(relation)).alias("relation"),
+                    F.lit(c.name).alias("constraint"),
+                    F.lit(c.kind).alias("kind"),
+                    F.col(f"n{i}").alias("violations"),
+                )
+                for i, (c, _) in enumerate(counted)
+            ]
+        )
+        parts.append(relations.rows(spark, *relation).agg(*counts).select(F.inline(entries)))
+    if not parts:
+        return spark.createDataFrame([], _REPORT_SCHEMA)
+    every = reduce(DataFrame.unionAll, parts)
+    return every.groupBy("relation", "constraint", "kind").agg(F.sum("violations").alias("violations"))
+
+
+def _reported(constraint: Constraint, counted: DataFrame) -> DataFrame:
+    known = F.col("n") if constraint.kind in ("exclude", "exclusion") else F.coalesce("n", F.lit(0))
+    return counted.select(
+        F.lit(".".join(constraint.relation)).alias("relation"),
+        F.lit(constraint.name).alias("constraint"),
+        F.lit(constraint.kind).alias("kind"),
+        known.cast("bigint").alias("violations"),
+    )
+
+
 _FOREIGN_KEY_SCHEMA = """
     name string, schema string, relation string, parent_schema string, parent string
 """
