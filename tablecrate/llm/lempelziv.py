@@ -12,13 +12,14 @@ are alike (1.0). A text is parsed whole; the dictionary of one text at a time is
 
 from __future__ import annotations
 
-import hashlib
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablecrate.llm.arrow import with_computed
+from tablecrate.llm.arrow import slices, with_computed
 
 LANES = 128
 HEX = 4  # hex digits of a lane
@@ -210,47 +211,47 @@ def with_edited(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     n = F.length("text")
     quarter = F.floor(n / 4).cast("int")
 
-    @F.arrow_udf("struct<fingerprint:binary,edited_fingerprint:binary>")
-    def both(texts: pa.Array, kept: pa.Array, tails: pa.Array) -> pa.Array:
-        made = [
-            tuple(map(packed, with_variant(a, k, b)))
-            for a, k, b in zip(texts.to_pylist(), kept.to_pylist(), tails.to_pylist())
-        ]
-        return pa.StructArray.from_arrays(
-            [pa.array([m[i] for m in made], pa.binary()) for i in (0, 1)],
-            ["fingerprint", "edited_fingerprint"],
-        )
-
-    rows = in_ranges(docs, "key", ranges).select(
-        "*",
-        F.substring(F.coalesce(F.lead("text").over(order), F.lit("")), F.lit(1), quarter).alias("tail"),
-        # Equal keys stay in the order that the tail was taken in.
-        F.row_number().over(order).alias("turn"),
+    rows = in_ranges(docs, "key", ranges).withColumn(
+        "tail", F.substring(F.coalesce(F.lead("text").over(order), F.lit("")), F.lit(1), quarter)
     )
-    rows = rows.withColumn("made", both("text", n - quarter, "tail")).select(
-        "key",
-        "range",
-        "ghost",
-        "turn",
+    kind = docs.schema["key"].dataType
+    rows = rows.select(
+        F.col("key").cast(kind).alias("key"),
         n.cast("long").alias("n_chars"),
         F.sha2(F.concat(F.substring("text", F.lit(1), n - quarter), F.col("tail")), 256).alias("edited_sha256"),
-        "made.*",
+        "ghost",
+        "text",
+        "tail",
     )
-    # From here on a row has no text: this second exchange is small.
-    following = F.lead("fingerprint").over(Window.partitionBy("range").orderBy("turn"))
-    text_of = lambda name: F.lower(F.hex(name)).alias(name)
-    mark, edited = F.col("fingerprint"), F.col("edited_fingerprint")
-    return (
-        rows.withColumn("next", following)
-        .where(~F.col("ghost"))
-        .select("key", "n_chars", "edited_sha256", *map(text_of, ("fingerprint", "edited_fingerprint", "next")))
-        .select(
-            F.col("key").alias(key),
-            "n_chars",
-            "edited_sha256",
-            "fingerprint",
-            "edited_fingerprint",
-            likeness(mark, edited).alias("near_edited"),
-            likeness(mark, F.col("next")).alias("near_next"),
-        )
+    schema = (
+        f"key {kind.simpleString()}, n_chars long, edited_sha256 string, fingerprint string,"
+        " edited_fingerprint string, near_edited double, near_next double"
     )
+    return rows.mapInArrow(_with_successors, schema).withColumnRenamed("key", key)
+
+
+def _with_successors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in the order of the key, range by range, each range ended by ghosts: every row
+    that is no ghost is held against the row after it, so fingerprints need no exchange."""
+    held: tuple | None = None  # the row before, and its lanes; None after a ghost
+    for batch in batches:
+        for part in slices(batch):
+            done: list[tuple] = []
+            for at, (text, tail) in enumerate(zip(part.column("text").to_pylist(), part.column("tail").to_pylist())):
+                own, edited = (
+                    np.frombuffer(packed(s), np.uint16) for s in with_variant(text, len(text) - len(text) // 4, tail)
+                )
+                if held is not None:
+                    done.append((*held[0], float((held[1] == own).mean())))
+                if part.column("ghost")[at].as_py():
+                    held = None
+                else:
+                    facts = [part.column(name)[at].as_py() for name in ("key", "n_chars", "edited_sha256")]
+                    marks = (own.tobytes().hex(), edited.tobytes().hex(), float((own == edited).mean()))
+                    held = (*facts, *marks), own
+            columns = list(zip(*done)) if done else [()] * 7
+            kinds = [part.schema.field("key").type, pa.int64(), *[pa.string()] * 3, *[pa.float64()] * 2]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds)],
+                ["key", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
+            )
