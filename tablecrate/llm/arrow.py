@@ -48,5 +48,6 @@ def with_computed(
                     [*(part.column(c) for c in kept), *(made[c] for c in order)],
                     [*kept, *order],
                 )
+        pa.default_memory_pool().release_unused()  # the worker goes on to other tasks
 
     return df.mapInArrow(run, schema)
