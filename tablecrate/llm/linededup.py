@@ -433,11 +433,11 @@ def line_classes(df: DataFrame, key: str = "doc_id", text: str = "text", crowd:
     )
 
 
-def without_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shortest: int = SHORTEST) -> DataFrame:
-    """`df` with each duplicate line of at least `shortest` code points taken out of its text.
+def without_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """`df` with each line that is not kept, of any length, taken out of its text.
     Rows all of whose lines are taken out are dropped; null texts stay."""
     classes = line_classes(df, key, text)
-    goes = ~F.col("kept") & (F.col("n_chars") >= shortest)
+    goes = ~F.col("kept")
     numbered = F.sort_array(F.collect_set(F.struct("line_no", goes.alias("gone"))))
     flagged = (
         classes.groupBy(F.col(key).alias("in_key"), F.col("body").alias("in_body"))

@@ -64,3 +64,17 @@ def test_stages(base_spark, odd_dir, odd_rows, tmp_path):
 
 def test_run_on_empty_tables(base_spark, empty_dir):
     assert corpus_pipeline.run(base_spark, empty_dir).collect() == []
+
+
+def test_short_repeated_lines_go(base_spark):
+    """Whatever their length; documents of nothing else go."""
+    texts = [(1, "Read more\n\nA first line, long enough to count.\nRead more"), (2, "ab\nRead more\n\nRead mor"),
+             (3, "Read more"), (4, "ab\nA first line, long enough to count!")]
+    docs = base_spark.createDataFrame(
+        [(i, t, "en", "s0", len(t)) for i, t in texts], "doc_id long, text string, lang string, source string, n_chars long"
+    )
+    found = corpus_pipeline.line_dedup(base_spark, docs, "")
+    assert {r["doc_id"]: (r["text"], r["n_chars"]) for r in found.collect()} == {
+        1: ("Read more\n\nA first line, long enough to count.", 46),
+        2: ("ab\n\nRead mor", 12),
+    }
