@@ -2,7 +2,8 @@
 
 A text is lower-cased (A-Z), cut into words of digits, letters and non-ASCII characters, and
 joined by single spaces. A rule (a regular expression over that form, with a label and a
-priority) is only tried where all its keywords stand among the words. Detections are then
+priority) is only tried where all its keywords stand among the words, and its version with or
+without a "v" before. Detections are then
 taken by priority, longer ones first; one that lies inside a detection already taken is
 dropped. The three base phrases are reported whatever covers them.
 
@@ -129,6 +130,7 @@ class Rule:
     keywords: frozenset[bytes]
     priority: int
     weight: float
+    either: frozenset[bytes] = frozenset()  # the first word of a version: one of these
 
 
 def _keywords(words: str) -> frozenset[bytes]:
@@ -136,9 +138,9 @@ def _keywords(words: str) -> frozenset[bytes]:
     return frozenset(w.encode() for w in words.split() if w != "*")
 
 
-def _rule(label: str, pattern: str, keywords: str, priority: int, weight: float) -> Rule:
+def _rule(label: str, pattern: str, keywords: str, priority: int, weight: float, either: str = "") -> Rule:
     compiled = re.compile(rf"(?<![^ ])(?:{pattern})(?![^ ])".encode())
-    return Rule(label, compiled, _keywords(keywords), priority, weight)
+    return Rule(label, compiled, _keywords(keywords), priority, weight, _keywords(either))
 
 
 @lru_cache(maxsize=1)
@@ -148,7 +150,8 @@ def rules() -> tuple[Rule, ...]:
     made = []
     for stem, names, versions in LICENSES:
         for version in versions:
-            tail = rf",?(?: version| v)? {version}" if version else ""
+            tail = rf",?(?: version| v)? v?{version}" if version else ""
+            first, *rest = version.split() or [""]
             label = f"{stem}-{version.replace(' ', '.')}" if version else stem
             for kind, phrase, priority, weight in PHRASES:
                 for name in names:
@@ -161,9 +164,10 @@ def rules() -> tuple[Rule, ...]:
                         _rule(
                             label,
                             phrase.format(n=said, v=tail.replace(",?", "")),
-                            f"{said} {version} {held}",
+                            f"{said} {' '.join(rest)} {held}",
                             priority + len(version.split()),
                             weight,
+                            f"{first} v{first}" if first else "",
                         )
                     )
     optional = re.compile(r"\(.*?\)\??|\[.*?\]|\.\{.*?\}\??")
@@ -207,7 +211,12 @@ def scan(text: str | None) -> dict:
     words = (text or "").encode("utf-8", "surrogatepass").translate(_TABLE).split()
     present = set(words)
     keyed = _by_keyword()
-    tried = [rule for word in present & keyed.keys() for rule in keyed[word] if rule.keywords <= present]
+    tried = [
+        rule
+        for word in present & keyed.keys()
+        for rule in keyed[word]
+        if rule.keywords <= present and (not rule.either or not rule.either.isdisjoint(present))
+    ]
     out = {"n_words": len(words), "base": [], "found": []}
     if not tried and not present & {b"license"}:
         return out

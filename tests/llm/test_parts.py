@@ -139,6 +139,22 @@ def test_keywords_hold_in_every_match():
         assert licenses.scan(text)["found"]
 
 
+@pytest.mark.parametrize(
+    "text, label",
+    [
+        ("Apache License v2.0", "apache-2.0"),
+        ("the GPL License V3.0", "gpl-3.0"),
+        ("licensed under the GNU GPL v2", "gpl-2"),
+        ("the MPL license, version v1.1", "mpl-1.1"),
+        ("the Apache License, v 2.0", "apache-2.0"),
+        ("Apache License 2.0", "apache-2.0"),
+        ("the Apache License vast 2.0", "apache"),
+    ],
+)
+def test_versions_with_a_v(text, label):
+    assert {d[2] for d in licenses.scan(text)["found"]} == {label}
+
+
 def test_rule_order_changes_no_verdict(base_spark, odd_dir):
     docs = base_spark.read.parquet(f"{odd_dir}/documents.parquet").select("doc_id", "text")
     a = rules.judged(docs, rules.standard_rules()).select("doc_id", "kept").collect()
