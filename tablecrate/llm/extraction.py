@@ -5,7 +5,8 @@ comma, one for every hundred characters (three at most), discounted by the share
 that stands in links. Its parent gets the points whole, its grandparent half. The container
 with the most points, discounted by its own link share, is the main one; it is kept with
 those siblings that score well or read like a paragraph. Menus, headers, footers, sidebars,
-notices, adverts, forms, scripts, styles and comments of readers are left out before.
+notices, adverts, forms, scripts, styles and comments of readers are left out before; if
+nothing is left then, what was left out by class, id or role counts again.
 
 The text of the kept part is cut into blocks; white space within a block becomes one space,
 blocks are joined by a line break in page order. Null or empty html, and pages without any
@@ -53,9 +54,17 @@ UNLIKELY = re.compile(
     re.IGNORECASE,
 )
 LIKELY = re.compile(r"(?:^|[\s_-])(?:article|body|content|entry|main|post|story|text)(?:$|[\s_-])", re.IGNORECASE)
+# A class that says what stands beside the element, not what it is.
+BESIDE = re.compile(r"(?:has|with|no|without)[_-]", re.IGNORECASE)
 SPACE = re.compile(r"\s+")
 
 
+def is_unlikely(named: str) -> bool:
+    """Whether one of the names marks what is not the article, and none marks only the article."""
+    against = [n for n in named.split() if UNLIKELY.search(n) and not BESIDE.match(n)]
+    return bool(against) and not any(LIKELY.search(n) and not UNLIKELY.search(n) for n in named.split())
+
+
 class Node:
     __slots__ = ("tag", "parent", "children", "weight", "dropped", "score")
 
@@ -67,8 +76,10 @@ class Node:
 class Tree(HTMLParser):
     """The elements of a page; texts are plain strings among the children."""
 
-    def __init__(self) -> None:
+    def __init__(self, by_name: bool = True) -> None:
+        """`by_name`: elements are left out by class, id and role, too."""
         super().__init__(convert_charrefs=True)
+        self.by_name = by_name
         self.root = self.open = Node("html", None)
         self.held: Counter[str] = Counter()  # open elements by name: no search for others
 
@@ -94,7 +105,7 @@ class Tree(HTMLParser):
         named = " ".join(v or "" for k, v in attrs if k in ("class", "id", "role"))
         hidden = any(k == "hidden" or (k == "aria-hidden" and v == "true") for k, v in attrs)
         likely = tag in ("article", "main") or bool(named and LIKELY.search(named))
-        unlikely = bool(named and UNLIKELY.search(named)) and tag not in ("html", "body", "article", "main")
+        unlikely = self.by_name and is_unlikely(named) and tag not in ("html", "body", "article", "main")
         node = Node(tag, self.open, 25.0 * likely, tag in DROPPED or hidden or unlikely)
         self.open.children.append(node)
         if tag not in VOID:
@@ -209,11 +220,14 @@ def blocks(root: Node) -> Iterator[str]:
 
 
 def extract(html: str | None) -> str:
-    tree = Tree()
-    tree.feed(html or "")
-    tree.close()
-    found = (SPACE.sub(" ", block).strip() for part in main_parts(tree.root) for block in blocks(part))
-    return "\n".join(block for block in found if block)
+    for by_name in (True, False):
+        tree = Tree(by_name)
+        tree.feed(html or "")
+        tree.close()
+        found = (SPACE.sub(" ", block).strip() for part in main_parts(tree.root) for block in blocks(part))
+        if text := "\n".join(block for block in found if block):
+            return text
+    return ""
 
 
 def extracted(df: DataFrame, html: str = "html", keep: list[str] | None = None) -> DataFrame:

@@ -172,6 +172,15 @@ def test_blocks_of_a_page_keep_their_order():
     assert extraction.extract("<main>a<ul><li>b<li>c</ul>d &lt; e</main>") == "a\nb\nc\nd < e"
 
 
+def test_wrappers_named_for_what_stands_beside():
+    text = "One, two, three and a long sentence."
+    for named in ("content has-sidebar", "with-sidebar", "sidebar", "content widget"):
+        page = f"<body><div class='{named}'><p>{text}</div></body>"
+        assert extraction.extract(page) == text
+    page = f"<body><div class='with-sidebar'><p>{text}<div class='main-nav'><p>a, b, c</div></div><p>x</body>"
+    assert extraction.extract(page) == f"{text}\nx"
+
+
 def test_stored_keeps_the_schema(base_spark):
     df = base_spark.createDataFrame([(1, None)], "a long, b array<string>")
     assert stored(df, "test").schema == df.schema
