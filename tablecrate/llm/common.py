@@ -28,6 +28,25 @@ def unused(df: DataFrame, *wanted: str) -> list[str]:
     taken = {c.lower() for c in df.columns}
     return [w if w.lower() not in taken else f"{w}_{uuid.uuid4().hex[:8]}" for w in wanted]
 
+
+# Copies of a row that very many rows may ask for.
+SPREAD = 64
+
+
+def with_facts(rows: DataFrame, facts: DataFrame, on: str, key: str, spread: Column) -> DataFrame:
+    """`rows`, each with the columns of the row of `facts` whose `key` is its `on` (null is a
+    value like others; none: nulls), without `key`.
+
+    `facts` has one row a key and is copied `SPREAD` times; rows take a copy by the hash of
+    `spread`, so that a key which most rows share is asked for in as many places.
+    """
+    copy, wanted = unused(rows, "__copy", "__wanted")
+    copies = facts.withColumn(copy, F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    asked = rows.withColumn(wanted, F.pmod(F.xxhash64(spread), F.lit(SPREAD)).cast("int"))
+    same = asked[on].eqNullSafe(copies[key]) & (asked[wanted] == copies[copy])
+    return asked.join(copies, same, "left").drop(copies[key], copies[copy], asked[wanted])
+
+
 # Fixed value: the white space between words, blank and the five controls from tab on.
 _WORD_SPACE = "\t\n\x0b\x0c\r"
 

@@ -88,3 +88,96 @@ SELECT doc_id, size, source_size, target,
        (size * (whole + CASE WHEN rest > 0 AND size > 0 AND reached - rest <= rest - (reached - own) THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM placed
 """
+
+OP11_SUBSTRINGS = r"""
+WITH split AS (
+    SELECT row_number() OVER () AS id, doc_id,
+           list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+    FROM documents
+), windows AS (
+    SELECT id, doc_id, i, md5(array_to_string(words[i : i + 49], ' ')) AS w
+    FROM (SELECT *, unnest(range(1, len(words) - 48)) AS i FROM split)
+), firsts AS (
+    SELECT w, min(doc_id) AS least FROM windows GROUP BY w
+), gone AS (
+    SELECT DISTINCT id, unnest(range(i, i + 50)) AS i FROM windows JOIN firsts USING (w) WHERE doc_id > least
+), kept AS (
+    SELECT id, count(*) AS n, string_agg(w, ' ' ORDER BY i) AS text
+    FROM (SELECT id, unnest(words) AS w, unnest(range(1, len(words) + 1)) AS i FROM split) ANTI JOIN gone USING (id, i)
+    GROUP BY id
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM split LEFT JOIN kept USING (id)
+"""
+
+OP12_NEGATIVES = r"""
+WITH rows AS (
+    SELECT row_number() OVER () AS id, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.id, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+    FROM rows a JOIN rows b ON a.vec_id % 50 = 0 AND b.vec_id IS DISTINCT FROM a.vec_id
+), positives AS (
+    SELECT id, anchor_id, vec_id AS positive_id, score AS positive_score,
+           row_number() OVER (PARTITION BY id ORDER BY score DESC, vec_id NULLS LAST) AS place
+    FROM scored WHERE same QUALIFY place <= 5
+)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY p.id, p.place ORDER BY score DESC, n.vec_id NULLS LAST)::INTEGER AS rank,
+       n.vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN (SELECT id, vec_id, score FROM scored WHERE NOT same) n USING (id)
+WHERE 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+
+def op13_codes() -> str:
+    """Four rounds of the same two steps, written out."""
+    rounds = "".join(
+        f"""
+), near{turn} AS (
+    SELECT id, part, arg_min(entry, (d, entry)) AS entry, min(d) AS d
+    FROM (SELECT p.id, p.part, b.entry,
+                 list_sum(list_transform(list_zip(p.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+          FROM parts p JOIN book{turn} b USING (part))
+    GROUP BY id, part"""
+        + (
+            f"""
+), book{turn + 1} AS (
+    SELECT part, entry, coalesce(moved, v) AS v
+    FROM book{turn} LEFT JOIN (
+        SELECT part, entry, list(floor(total / n)::BIGINT ORDER BY i) AS moved
+        FROM (SELECT part, entry, i, sum(x)::DOUBLE AS total, count(*) AS n
+              FROM (SELECT part, entry, unnest(v) AS x, unnest(range(len(v))) AS i FROM near{turn} JOIN parts USING (id, part))
+              GROUP BY part, entry, i)
+        GROUP BY part, entry) USING (part, entry)"""
+            if turn < 4
+            else ""
+        )
+        for turn in range(5)
+    )
+    return f"""
+WITH kept AS (
+    SELECT row_number() OVER () AS id, vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS (
+    SELECT id, vec_id, part, v[part * (len(v) // 4) + 1 : (part + 1) * (len(v) // 4)] AS v
+    FROM (SELECT *, unnest(range(4)) AS part FROM kept)
+), book0 AS (
+    SELECT part, entry, parts.v
+    FROM parts JOIN (SELECT id, row_number() OVER (ORDER BY vec_id NULLS LAST, v) - 1 AS entry FROM kept) USING (id) WHERE entry < 256{rounds}
+), coded AS (
+    SELECT id, string_agg(lpad(lower(hex(entry)), 2, '0'), '' ORDER BY part) AS code, sum(d)::BIGINT AS error
+    FROM near4 GROUP BY id
+), books AS (
+    SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY part, entry, i)) AS codebooks_sha256
+    FROM (SELECT part, entry, unnest(v) AS x, unnest(range(len(v))) AS i FROM book4)
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (id), books
+"""

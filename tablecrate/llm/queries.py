@@ -1,4 +1,4 @@
-"""The queries of the ten operators: (spark, sf_dir) -> DataFrame, always over whole tables."""
+"""The queries of the operators: (spark, sf_dir) -> DataFrame, always over whole tables."""
 
 from __future__ import annotations
 
@@ -8,8 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecrate.llm import bpe, extraction, langid, lempelziv, licenses, linededup, mixing, oracles, quality, rules, simhash
-from tablecrate.llm.common import fold, stored, words
+from tablecrate.llm import (
+    bpe, codes, extraction, langid, lempelziv, licenses, linededup, mixing, negatives, oracles, quality, rules, simhash,
+    substrings,
+)
+from tablecrate.llm.common import fold, stored, with_facts, words
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -109,10 +112,39 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.without_repeats(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    mixed_up = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", mixed_up), F.col("vec_id") % 50 == 0)
+
+
+def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    coded, books = codes.compressed(rows, keep=["vec_id", "label"])
+    coded = stored(coded, "codes")
+    errors = coded.groupBy(F.col("label").alias("of")).agg(F.sum("error").alias("label_error"))
+    return with_facts(coded, errors, "label", "of", F.col("vec_id")).select(
+        "vec_id", "code", "error", "label_error", F.lit(codes.codebooks_sha256(books)).alias("codebooks_sha256")
+    )
+
+
 def llm_queries() -> dict[str, Query]:
-    named = (op1_bpe, op2_lempelziv, op3_simhash, op4_language, op5_extraction, op6_lines, op7_quality, op8_rules, op9_mixing, op10_licenses)
+    named = (
+        op1_bpe, op2_lempelziv, op3_simhash, op4_language, op5_extraction, op6_lines, op7_quality, op8_rules, op9_mixing,
+        op10_licenses, op11_substrings, op12_negatives, op13_codes,
+    )
     return {query.__name__: query for query in named}
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op8_rules": oracles.OP8_RULES, "op9_mixing": oracles.OP9_MIXING}
+    return {
+        "op8_rules": oracles.OP8_RULES, "op9_mixing": oracles.OP9_MIXING, "op11_substrings": oracles.OP11_SUBSTRINGS,
+        "op12_negatives": oracles.OP12_NEGATIVES, "op13_codes": oracles.op13_codes(),
+    }

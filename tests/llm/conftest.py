@@ -77,6 +77,25 @@ PAGES = [
 ]
 
 
+def embeddings() -> pa.Table:
+    rnd = random.Random(5)
+    centres = [[rnd.gauss(0, 0.3) for _ in range(16)] for _ in range(6)]
+    rows = [(i, [x + rnd.gauss(0, 0.1) for x in centres[i % 6]], rnd.randint(0, 9)) for i in range(700)]
+    whole = rows[0][1]
+    rows += [
+        (700, None, 1), (701, [None, *whole[1:]], 2), (702, [float("nan"), *whole[1:]], 3),
+        (703, [float("inf"), *whole[1:]], 3), (704, whole, None), (705, [0.0] * 16, 4), (None, whole, 2),
+        (50, rows[50][1], rows[50][2]), (51, rows[50][1], rows[50][2]),
+        *((800 + i, whole, i % 3) for i in range(300)),
+    ]
+    key, vector, label = zip(*rows)
+    return pa.table(
+        {"vec_id": pa.array(key, pa.int64()), "embedding": pa.array(vector, pa.list_(pa.float32())),
+         "label": pa.array(label, pa.int32()), "code": pa.array(["mine"] * len(rows)), "vector": pa.array(key, pa.int64()),
+         "key": pa.array(key, pa.int64()), "error": pa.array([None] * len(rows), pa.int32())}
+    )
+
+
 def write(folder, name: str, table: pa.Table) -> None:
     pq.write_table(table, f"{folder}/{name}.parquet")
 
@@ -104,6 +123,7 @@ def odd_dir(tmp_path_factory) -> str:
     write(folder, "documents", pa.Table.from_pylist(documents(), SCHEMA))
     write(folder, "labels", labels())
     write(folder, "pages", pages())
+    write(folder, "embeddings", embeddings())
     return str(folder)
 
 
@@ -113,6 +133,7 @@ def empty_dir(tmp_path_factory) -> str:
     write(folder, "documents", SCHEMA.empty_table())
     write(folder, "labels", labels().slice(0, 0))
     write(folder, "pages", pages().slice(0, 0))
+    write(folder, "embeddings", embeddings().slice(0, 0))
     return str(folder)
 
 

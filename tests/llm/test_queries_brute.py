@@ -227,7 +227,8 @@ def test_sql_oracles(base_spark, odd_dir, name):
     import duckdb
 
     connection = duckdb.connect()
-    connection.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{odd_dir}/documents.parquet')")
+    for table in ("documents", "embeddings"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{odd_dir}/{table}.parquet')")
     assert differences(QUERIES[name](base_spark, odd_dir), connection, queries.llm_oracles()[name]) == []
 
 
