@@ -4,15 +4,17 @@ A window is `WINDOW` consecutive words of a document. It is a repeat if the same
 stand, as a window, in a document of a smaller key; every word that a repeat covers goes.
 
 Windows are not sent one by one. Of each window the least hash of `SEED` consecutive words is
-its minimiser; neighbouring windows mostly share it, and such a run travels as one packed
-string of its words to the bucket of the minimiser. Equal windows have equal minimisers, so
-they meet there. In a bucket, equal strings become one with the least of their keys; then the
-windows of the strings that are left are sorted by their words, and a run of equal windows
-tells the least key exactly. A bucket of one string, as nearly all are, needs no sorting.
-
-Hot buckets. A first pass counts the strings of each minimiser. The most frequent ones
-(`MOST_HOT` at most, over `PIECE` strings each) are dealt into pieces by document, and a
-bucket that turns out larger on arrival is cut into pieces there, so a task never holds over
+its minimiser; neighbouring windows mostly share it, and such a run, a super-k-mer, travels as
+one packed string of its words to the bucket of the minimiser. Equal windows have equal
+minimisers, so they meet there. In a bucket, equal strings become one with the least of their
+keys; then the windows of the strings that are left are sorted by their words, and a run of
+equal windows tells the least key exactly.
+
+First only the minimisers are counted, without words. A minimiser that one key alone has needs
+no string, as none of its windows can be a repeat; in most text that is nearly all of them.
+
+Hot buckets. A minimiser of over `PIECE` strings is dealt into as many pieces by document as
+its count asks for, and a piece that arrives larger is cut again, so a task never holds over
 `PIECE` strings. A piece settles what it can alone (a key above the least in the piece). Of
 each different window it hands on one row, the 128-bit digest of its words with the least
 key, and these few rows are brought together by digest.
@@ -32,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,7 +47,6 @@ from tablecrate.llm.common import stored, unused
 WINDOW = 50
 SEED = 6
 PIECE = 4_096
-MOST_HOT = 1 << 16
 # Windows of one packed string at most: a text of one repeated word is one run.
 LONGEST = 64
 # The white space between words.
@@ -122,56 +124,48 @@ def runs(words: Words, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np
     return at[begin], count, least[begin].view(np.int64)
 
 
-def _minimisers(window: int):
-    """How many strings of each minimiser a batch has."""
+def _runs(window: int):
+    """The super-k-mers of each text, without their words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                found = runs(Words(part.column(0).to_pylist()), window)[2]
-                name, times = np.unique(found, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(name), pa.array(times)], ["minimiser", "times"])
+                words = Words(part.column(2).to_pylist())
+                start, count, minimiser = runs(words, window)
+                text = words.text[start]
+                key, mark = (part.column(i).take(pa.array(text)) for i in (0, 1))
+                inside = (start - words.firsts[text]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [key, mark, pa.array(minimiser), pa.array(inside), pa.array(count.astype(np.int32))],
+                    ["key", "mark", "minimiser", "start", "count"],
+                )
         pa.default_memory_pool().release_unused()
 
     return run
 
 
-def hot_minimisers(texts: DataFrame, window: int, piece: int, most: int = MOST_HOT) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent minimisers, `most` at most, rising, and how many pieces each has."""
-    counted = texts.select("text").mapInArrow(_minimisers(window), "minimiser long, times long")
-    times = counted.groupBy("minimiser").agg(F.sum("times").alias("times")).where(F.col("times") > piece)
-    rows = sorted(times.orderBy(F.col("times").desc(), "minimiser").limit(most).collect())
-    return np.array([r["minimiser"] for r in rows], np.int64), np.array([-(-r["times"] // piece) for r in rows], np.int64)
-
-
-def pieces_of(minimisers: np.ndarray, hot: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """Into how many pieces the bucket of each minimiser is dealt."""
-    names, pieces = hot
-    if not len(names):
-        return np.ones(len(minimisers), np.int64)
-    at = np.minimum(np.searchsorted(names, minimisers), len(names) - 1)
-    return np.where(names[at] == minimisers, pieces[at], 1)
-
-
-def _packed(window: int, hot: tuple[np.ndarray, np.ndarray], names: list[str]):
-    """Each text's super-k-mers as packed strings with their bucket and piece."""
+def _packed(window: int):
+    """The asked super-k-mers of each text as packed strings with their bucket and piece."""
+    names = ["minimiser", "piece", "split", "key", "mark", "start", "string"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 words = Words(part.column(3).to_pylist())
-                start, count, minimiser = runs(words, window)
-                text = words.text[start]
-                pieces = pieces_of(minimiser, hot)
-                salt = part.column(2).to_numpy()[text] % pieces
-                begin, end = words.starts[start], words.ends[start + count + window - 2]
+                asked = part.column(4)
+                sizes = pc.list_value_length(asked).to_numpy()
+                minimiser, pieces, start, count = (x.to_numpy() for x in asked.flatten().flatten())
+                text = np.repeat(np.arange(part.num_rows), sizes)
+                piece = (part.column(2).to_numpy()[text] % pieces).astype(np.int32)
+                first = words.firsts[text] + start
+                begin, end = words.starts[first], words.ends[first + count + window - 2]
                 key, mark = (part.column(i).take(pa.array(text)) for i in (0, 1))
-                for at in range(0, len(start), BATCH):
+                for at in range(0, len(text), BATCH):
                     some = slice(at, at + BATCH)
                     strings = [words.joined[a:b] for a, b in zip(begin[some].tolist(), end[some].tolist())]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(minimiser[some]), pa.array(salt[some].astype(np.int32)), pa.array(pieces[some] > 1),
-                         key[some], mark[some], pa.array((start - words.firsts[text])[some]), pa.array(strings, pa.binary())],
+                        [pa.array(minimiser[some]), pa.array(piece[some]), pa.array(pieces[some] > 1), key[some],
+                         mark[some], pa.array(start[some].astype(np.int64)), pa.array(strings, pa.binary())],
                         names,
                     )
         pa.default_memory_pool().release_unused()
@@ -287,6 +281,22 @@ def _settled(window: int, piece: int, names: list[str], key_type: pa.DataType):
     return run
 
 
+def shared_runs(texts: DataFrame, window: int, piece: int) -> DataFrame:
+    """key, mark, asked: of each text the super-k-mers whose minimiser another key has, too,
+    with the number of pieces of the bucket."""
+    schema = T.StructType.fromDDL("key int, mark long, minimiser long, start int, count int")
+    schema["key"].dataType = texts.schema["key"].dataType
+    found = stored(texts.select("key", "mark", "text").mapInArrow(_runs(window), schema), "super_kmers")
+    buckets = (
+        found.groupBy("minimiser")
+        .agg(F.min("key").alias("least"), F.max("key").alias("most"), F.count(F.lit(1)).alias("strings"))
+        .where(F.col("least") < F.col("most"))
+        .select(F.col("minimiser").alias("name"), F.ceil(F.col("strings") / piece).alias("pieces"))
+    )
+    asked = F.collect_set(F.struct("minimiser", "pieces", "start", "count")).alias("asked")
+    return found.join(buckets, F.col("minimiser") == F.col("name")).groupBy("key", "mark").agg(asked)
+
+
 def repeats(df: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, piece: int = PIECE) -> DataFrame:
     """key, mark (xxhash64 of the text), ranges: the [from, to) of words that windows of smaller
     keys repeat, one row a document that has any."""
@@ -294,17 +304,14 @@ def repeats(df: DataFrame, key: str = "doc_id", text: str = "text", window: int
         F.col(key).alias("key"), F.xxhash64(text).alias("mark"), F.xxhash64(key).alias("salt"),
         F.col(text).cast("binary").alias("text"),
     )
-    hot = hot_minimisers(texts, window, piece)
     kind = texts.schema["key"].dataType
-    strings = T.StructType.fromDDL(
-        "minimiser long, piece int, split boolean, key int, mark long, start long, string binary"
-    )
+    strings = T.StructType.fromDDL("minimiser long, piece int, split boolean, key int, mark long, start long, string binary")
     ranges = T.StructType.fromDDL("key int, mark long, start long, end long, high long, low long")
     strings["key"].dataType = ranges["key"].dataType = kind
-    key_type = to_arrow_type(kind)
-    sent = texts.mapInArrow(_packed(window, hot, strings.names), strings)
+    joined = texts.join(shared_runs(texts, window, piece), ["key", "mark"])
+    sent = joined.select("key", "mark", "salt", "text", "asked").mapInArrow(_packed(window), strings)
     dealt = sent.repartition("minimiser", "piece").sortWithinPartitions("minimiser", "piece")
-    found = stored(dealt.mapInArrow(_settled(window, piece, ranges.names, key_type), ranges), "repeats")
+    found = stored(dealt.mapInArrow(_settled(window, piece, ranges.names, to_arrow_type(kind)), ranges), "repeats")
     # Windows of split buckets: a row for each piece, brought together by digest.
     left = found.where(F.col("high").isNotNull())
     least = left.groupBy("high", "low").agg(F.min("key").alias("least"))

@@ -62,12 +62,13 @@ def test_against_every_window(base_spark, window, piece):
 
 
 def test_hot_minimisers_are_dealt_by_document(base_spark):
-    rows = [(i, (" ".join(f"own{i}x{j}" for j in range(20)) + " " + " ".join(f"p{j}" for j in range(60))).encode()) for i in range(50)]
-    df = base_spark.createDataFrame(rows, "key long, text binary")
-    names, pieces = substrings.hot_minimisers(df, 50, 10)
-    assert len(names) >= 1 and (pieces > 1).all() and (np.diff(names) > 0).all()
-    assert substrings.pieces_of(np.array([names[0], names[0] + 1]), (names, pieces)).tolist()[0] == pieces[0]
-    assert len(substrings.hot_minimisers(df, 50, 10, most=1)[0]) == 1
+    rows = [(i, 0, (" ".join(f"own{i}x{j}" for j in range(80)) + " " + " ".join(f"p{j}" for j in range(60))).encode()) for i in range(50)]
+    df = base_spark.createDataFrame(rows, "key long, mark long, text binary")
+    found = substrings.shared_runs(df, 50, 10).collect()
+    assert len(found) == 50 and all(run["pieces"] == 5 for r in found for run in r["asked"])
+    # Runs that stand among words of the document's own alone are not asked for.
+    assert all(run["start"] + run["count"] + 49 > 80 for r in found for run in r["asked"])
+    assert substrings.shared_runs(df.limit(1), 50, 10).collect() == []
 
 
 @settings(max_examples=100, deadline=None)
