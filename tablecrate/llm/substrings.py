@@ -293,6 +293,8 @@ def shared_runs(texts: DataFrame, window: int, piece: int) -> DataFrame:
         .where(F.col("least") < F.col("most"))
         .select(F.col("minimiser").alias("name"), F.ceil(F.col("strings") / piece).alias("pieces"))
     )
+    # Written first: a join whose sides are both shuffled as they are can be split where a key is hot.
+    buckets = stored(buckets, "buckets")
     asked = F.collect_set(F.struct("minimiser", "pieces", "start", "count")).alias("asked")
     return found.join(buckets, F.col("minimiser") == F.col("name")).groupBy("key", "mark").agg(asked)
 
