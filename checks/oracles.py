@@ -97,6 +97,21 @@ def _common_many() -> str:
     )
 
 
+def _common_all() -> str:
+    counted = _union(
+        [
+            f"SELECT '{name}' AS relation, '{column}' AS \"column\", CAST({column} AS varchar) AS value, count(*) AS \"rows\""
+            f" FROM {name} WHERE {column} IS NOT NULL GROUP BY {column}"
+            for name in ("documents", "lineitem")
+            for column in (part.split(" ")[0] for part in COLUMNS[name].split(", "))
+        ]
+    )
+    return (
+        'SELECT relation, "column", CAST(rank AS integer) AS rank, value, "rows" FROM (SELECT *, row_number() OVER'
+        f' (PARTITION BY relation, "column" ORDER BY "rows" DESC, value) AS rank FROM ({counted})) WHERE rank <= 5'
+    )
+
+
 def _labels() -> str:
     distinct = _union(
         [
@@ -253,6 +268,7 @@ def all_oracles() -> dict[str, str]:
         "['c_custkey', 'note', 'lines', 'c_acctbal', 'c_nationkey'], column_name))",
         "common_values": _common(),
         "common_values_many": _common_many(),
+        "common_values_all": _common_all(),
         "enum_labels": _labels(),
         "fk_outside_selection": _outside(),
         "fk_orphans": "SELECT l_orderkey, count(*) AS \"rows\" FROM lineitem WHERE NOT EXISTS"

@@ -446,6 +446,17 @@ def common_values_many(tables: Tables) -> DataFrame:
     )
 
 
+@_query
+def common_values_all(tables: Tables) -> DataFrame:
+    """Of every column of two tables, keys, prices and whole texts included."""
+    found = None
+    for name in ("documents", "lineitem"):
+        one = profile.common_values(tables.rows(name), 5)
+        one = one.select(F.lit(name).alias("relation"), "column", "rank", "value", "rows")
+        found = one if found is None else found.unionAll(one)
+    return found
+
+
 LABELLED = {
     "orders": ["o_orderstatus", "o_orderpriority"],
     "lineitem": ["l_returnflag", "l_linestatus"],

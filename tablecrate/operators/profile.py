@@ -2,7 +2,8 @@
 
 Exact figures come from one shared step: unpivot the columns and count equal values.
 Partial aggregation runs before the shuffle, so a value held by a third of all rows costs
-one entry per task. The approximate mode keeps to one aggregate and moves no values.
+one entry per task. The approximate mode keeps to one aggregate and moves no values. Common
+values come from a summary of counters, whose bound tells which values to count exactly.
 """
 
 from __future__ import annotations
@@ -15,13 +16,15 @@ from pyspark.sql import types as T
 
 from tablecrate.functions import textform
 from tablecrate.functions.names import backtick
-from tablecrate.operators.numbering import with_positions
+from tablecrate.session import scratch_dir
 
 # 2^14 registers: about 0.8 % standard error, 16 KB per column and task.
 SKETCH_LOG2_REGISTERS = 14
-# Spark trims ranks before the shuffle only up to this many per group (its default for
-# spark.sql.optimizer.windowGroupLimitThreshold).
-RANK_PUSHDOWN_LIMIT = 1_000
+# Shares of a column's values that are trimmed on their own before they are ranked.
+SHARES = 256
+# Counters of a column's summary of values.
+COUNTERS = 1 << 16
+LEAST_CANDIDATES = 256
 
 # Bytes of one value, by type.
 _FIXED_WIDTHS: dict[type[T.DataType], int] = {
@@ -155,25 +158,91 @@ def profile_approximate(
 
 
 def _ranked(counts: DataFrame, order: Sequence[Column], top: int) -> DataFrame:
-    """The first `top` rows of every ordinal, with `rank`.
+    """The first `top` rows of every ordinal, with `rank`. Each of `SHARES` shares of an
+    ordinal's rows is trimmed to `top` first, so a column with billions of values never
+    meets in one task."""
+    share = F.pmod(F.xxhash64("value"), F.lit(SHARES))
+    first = Window.partitionBy("ordinal", share).orderBy(*order)
+    trimmed = counts.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= top)
+    within = Window.partitionBy("ordinal").orderBy(*order)
+    return trimmed.withColumn("rank", F.row_number().over(within)).where(F.col("rank") <= top)
 
-    Up to `RANK_PUSHDOWN_LIMIT` Spark keeps only `top` rows per task before the shuffle,
-    so a column with billions of values never meets in one task. For more, all rows are
-    sorted across the cluster and ranked by their distance from the ordinal's first row.
+
+def _by_rows() -> list[Column]:
+    return [F.col("rows").desc(), F.col("value").asc()]
+
+
+def _cells(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """(ordinal, value, hash): every value of every column as text, without NULLs."""
+    cells = []
+    for ordinal, name in enumerate(names, start=1):
+        value = _value_text(df[backtick(name)], df.schema[name].dataType)
+        cells.append(F.struct(F.lit(ordinal).alias("ordinal"), value.alias("value"), F.xxhash64(value).alias("hash")))
+    return df.select(F.inline(F.array(*cells))).where(F.col("value").isNotNull())
+
+
+def counters(cells: DataFrame, columns: Sequence[str] = ("ordinal",)) -> DataFrame:
+    """A summary of values that can be merged by adding: rows of each of `COUNTERS` classes of
+    hashes. No value of a class has more rows than the class."""
+    return cells.groupBy(*columns, F.col("hash").bitwiseAND(F.lit(COUNTERS - 1)).alias("counter")).agg(
+        F.count(F.lit(1)).alias("rows")
+    )
+
+
+def heavy_values(cells: DataFrame, top: int) -> DataFrame:
+    """(ordinal, value, rows): exact counts of values among which are the `top` most frequent
+    ones of each ordinal, ties in value order.
+
+    The summary of counters comes first. The values of the largest counters are counted
+    exactly; the least of their `top` best shows which other counters could still hold a
+    better value. Where there are such, a wider summary (a counter a hash) does the same, and
+    only values are counted that its bound does not rule out: those of counters with more rows
+    than the least of the best, and those that precede it in value order. So neither all
+    values nor long texts are shuffled, whatever a column holds.
     """
-    if top <= RANK_PUSHDOWN_LIMIT:
-        within = Window.partitionBy("ordinal").orderBy(*order)
-        return counts.withColumn("rank", F.row_number().over(within)).where(F.col("rank") <= top)
-    placed = with_positions(counts, "__position", [F.col("ordinal"), *order])
-    # One row per profiled column.
-    starts = placed.groupBy("ordinal").agg(F.min("__position").alias("__start"))
-    rank = (F.col("__position") - F.col("__start") + 1).cast("int")
-    return (
-        placed.join(F.broadcast(starts), "ordinal")
-        .withColumn("rank", rank)
-        .where(F.col("rank") <= top)
-        .drop("__position", "__start")
+    summary = _written(counters(cells), "counters")
+    asked = max(4 * top, LEAST_CANDIDATES)
+    place = Window.partitionBy("ordinal").orderBy(F.col("rows").desc(), "counter")
+    ranked = summary.withColumn("place", F.row_number().over(place))  # at most COUNTERS rows an ordinal
+    chosen = ranked.where(F.col("place") <= asked).select("ordinal", "counter")
+    # At most `asked` counters a column.
+    counter = F.col("hash").bitwiseAND(F.lit(COUNTERS - 1)).alias("counter")
+    counted = _written(
+        cells.select("*", counter)
+        .join(F.broadcast(chosen), ["ordinal", "counter"], "left_semi")
+        .groupBy("ordinal", "value")
+        .agg(F.count(F.lit(1)).alias("rows")),
+        "candidates",
     )
+    others = {r["ordinal"]: r["rows"] for r in ranked.where(F.col("place") == asked + 1).collect()}
+    if not others:
+        return counted
+    best = _ranked(counted, _by_rows(), top).where(F.col("rank") == top)
+    least = {r["ordinal"]: (r["rows"], r["value"]) for r in best.collect()}  # a row a column
+    # Over `asked` counters hold over `top` values, so every such column has a least one.
+    left = [ordinal for ordinal, most in others.items() if most >= least[ordinal][0]]
+    if not left:
+        return counted
+    rest = cells.where(F.col("ordinal").isin(left))
+    wide = rest.groupBy("ordinal", "hash").agg(F.count(F.lit(1)).alias("rows"))
+    more, early = F.lit(False), F.lit(False)
+    for ordinal in left:
+        fewest, last = least[ordinal]
+        more = more | ((F.col("ordinal") == ordinal) & (F.col("rows") > fewest))
+        early = early | ((F.col("ordinal") == ordinal) & (F.col("value") < F.lit(last)))
+    # Written first, so that its size is known when the join is planned.
+    above = _written(wide.where(more).select("ordinal", "hash"), "above")
+    rows = F.count(F.lit(1)).alias("rows")
+    found = rest.where(~early).join(above, ["ordinal", "hash"], "left_semi").groupBy("ordinal", "value").agg(rows)
+    first = rest.where(early).groupBy("ordinal", "value").agg(rows)
+    both = counted.unionAll(found).unionAll(first)
+    return both.groupBy("ordinal", "value").agg(F.max("rows").alias("rows"))
+
+
+def _written(df: DataFrame, label: str) -> DataFrame:
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def common_values(
@@ -188,12 +257,7 @@ def common_values(
         if not isinstance(df.schema[name].dataType, T.BinaryType)
     ]
     total = df.agg(F.count(F.lit(1))).scalar()
-    return rank_values(value_counts(df, names), names, top, total)
-
-
-def rank_values(counts: DataFrame, names: Sequence[str], top: int, total: Column) -> DataFrame:
-    order = [F.col("rows").desc(), F.col("value").asc()]
-    ranked = _ranked(counts.where(F.col("value").isNotNull()), order, top)
+    ranked = _ranked(heavy_values(_cells(df, names), top), _by_rows(), top)
     return _with_names(ranked, names).select(
         "ordinal", "column", "rank", "value", "rows", (F.col("rows") / total).alias("frequency")
     )

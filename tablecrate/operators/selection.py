@@ -14,10 +14,9 @@ from pyspark.sql import functions as F
 from tablecrate.errors import CrateError
 from tablecrate.functions.digest import row_hash
 from tablecrate.functions.names import backtick, double_quoted, double_quoted_path
-from tablecrate.operators.numbering import reads_files, with_positions
-
-# The largest LIMIT that Spark itself takes.
-MOST_ROWS = (1 << 31) - 1
+from tablecrate.operators.numbering import reads_files
+from tablecrate.operators.ranges import SortKey, first_rows
+from tablecrate.session import scratch_dir
 
 _FLAGS = re.IGNORECASE | re.ASCII | re.DOTALL
 _QUOTED = re.compile(r"""'(?:[^']|'')*'|"(?:[^"]|"")*\"""", re.DOTALL)
@@ -48,7 +47,7 @@ class SortItem:
     descending: bool
     nulls_first: bool
 
-    def column(self, df: DataFrame, outputs: list[str]) -> Column:
+    def sort_key(self, df: DataFrame, outputs: list[str]) -> SortKey:
         if self.key.isdigit():
             position = int(self.key)
             if not 1 <= position <= len(outputs):
@@ -57,9 +56,10 @@ class SortItem:
         else:
             # In parentheses, so that a stray word is an error and not an alias.
             value = F.expr(f"({spark_text(self.key)})")
-        if self.descending:
-            return value.desc_nulls_first() if self.nulls_first else value.desc_nulls_last()
-        return value.asc_nulls_first() if self.nulls_first else value.asc_nulls_last()
+        return SortKey(value, self.descending, self.nulls_first)
+
+    def column(self, df: DataFrame, outputs: list[str]) -> Column:
+        return self.sort_key(df, outputs).order
 
 
 @dataclass(frozen=True)
@@ -130,26 +130,34 @@ class Selection:
         use columns that are not selected."""
         outputs = self.effective_columns(source.columns)
         kept = source.where(spark_text(self.where)) if self.where is not None else source
-        keys = [item.column(kept, outputs) for item in self.sort_items]
+        if self.limit is not None:
+            kept = settled(kept)
+        keys = [item.sort_key(kept, outputs) for item in self.sort_items]
         projected = [kept[backtick(column)] for column in outputs]
-        if keys and self.limit is None:
-            # Equal keys would all land in one range partition; the hash spreads them. Copies
-            # of one row are told apart by a row number, which needs the fixed order of files:
-            # behind a shuffle, a repeated task could number them anew.
-            ties = [row_hash(kept.select(*projected))]
-            if reads_files(kept):
-                ties.append(F.monotonically_increasing_id())
-            return kept.orderBy(*keys, *ties).select(*projected)
-        # With a limit each task keeps its first rows, and the first of those are the result,
-        # in order. JOB_CONF has Spark sort on disk where they are many.
-        ordered = kept.orderBy(*keys) if keys else kept
-        if self.limit is None:
-            return ordered.select(*projected)
-        if self.limit <= MOST_ROWS:
-            return ordered.limit(self.limit).select(*projected)
-        numbered = with_positions(ordered.select(*projected), "__position")
-        first = numbered.where(F.col("__position") < self.limit).orderBy("__position")
-        return first.drop("__position")
+        if not keys and self.limit is None:
+            return kept.select(*projected)
+        # Equal keys would all land in one range partition; the hash spreads them.
+        ties = row_hash(kept.select(*projected))
+        if self.limit is not None:
+            # A limit without an order takes the rows of least hash, so reruns agree.
+            kept = first_rows(kept, [*keys, SortKey(ties)], self.limit)
+            if not keys:
+                return kept.select(*projected)
+        spread = [ties]
+        if reads_files(kept):
+            # Copies of one row are told apart by a row number, which needs the fixed order of
+            # files: behind a shuffle, a repeated task could number them anew.
+            spread.append(F.monotonically_increasing_id())
+        return kept.orderBy(*(key.order for key in keys), *spread).select(*projected)
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """`df`, or a written copy if it gives other rows each time it is read, as rand() does."""
+    if df._jdf.queryExecution().analyzed().deterministic():
+        return df
+    path = scratch_dir(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def parse(text: str) -> Selection:

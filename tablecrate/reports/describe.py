@@ -14,12 +14,7 @@ from tablecrate.config import CONSTRAINT_KINDS, Constraint, JobConfig
 from tablecrate.errors import CrateError
 from tablecrate.functions import reporttext
 from tablecrate.functions.names import backtick, backtick_path
-from tablecrate.operators.profile import (
-    profile_approximate,
-    profile_exact,
-    rank_values,
-    value_counts,
-)
+from tablecrate.operators.profile import common_values, profile_approximate, profile_exact
 from tablecrate.operators.quality import foreign_keys_outside
 from tablecrate.sources import relations
 from tablecrate.sources.lookup import find_source
@@ -186,8 +181,7 @@ def _computed_statistics(
             c.name for c in relation.columns if not isinstance(c.data_type, T.BinaryType)
         ]
         # At most `top` values of each column come to the driver: this is the report itself.
-        ranked = rank_values(value_counts(rows, names), names, top, F.lit(total))
-        for row in ranked.orderBy("ordinal", "rank").collect():
+        for row in common_values(rows, top, names).orderBy("ordinal", "rank").collect():
             common.setdefault(row["column"], []).append(CommonValue(row["value"], row["frequency"]))
     found = {
         name: ColumnStatistics(

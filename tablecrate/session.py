@@ -20,8 +20,6 @@ JOB_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.ansi.doubleQuotedIdentifiers": "true",
     "spark.sql.redaction.string.regex": "(?i)(0x|X')[0-9a-f]{64}'?",
-    # A larger top-k is sorted, on disk if need be, and not held in memory by every task.
-    "spark.sql.execution.topKSortFallbackThreshold": "100000",
     # INT96 would lose the time-zone-less meaning of timestamps.
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }

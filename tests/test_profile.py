@@ -5,6 +5,7 @@ from collections import Counter
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from tablecrate.operators import profile as profiles
 from tablecrate.reports.describe import profile_report
@@ -98,15 +99,37 @@ def test_binary_values_are_not_shown(data):
     assert "b" not in {row["column"] for row in profiles.common_values(df, 2).collect()}
 
 
-def test_rank_is_cut_before_the_shuffle(data):
+@pytest.mark.parametrize("columns", [["k"], ["u"], ["k", "u", "t", "z"]])
+def test_common_values_without_counting_all(spark, monkeypatch, tmp_path, columns):
+    """Few counters, so that the first summary proves little: near-unique columns, ties, long
+    texts, and one value far ahead."""
+    monkeypatch.setattr(profiles, "COUNTERS", 64)
+    monkeypatch.setattr(profiles, "LEAST_CANDIDATES", 8)
+    rng = random.Random(2)
+    rows = [(1 if i % 3 == 0 else rng.randrange(900), i, f"{rng.randrange(2_500)} " * 40, i % 7) for i in range(4_000)]
+    spark.createDataFrame(rows, "k int, u int, t string, z int").repartition(3).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    found = profiles.common_values(df, 4, columns).orderBy("ordinal", "rank").collect()
+    for name in columns:
+        mine = [(r["value"], r["rows"]) for r in found if r["column"] == name]
+        assert mine == _top([row["kutz".index(name)] for row in rows], 4)
+    cells = profiles._cells(df, ["u"])
+    assert profiles.heavy_values(cells, 4).count() < 3_000  # of 4,000 values
+
+
+def test_counters_add_up(data):
+    """The summaries of two parts make the summary of the whole."""
     _, df = data
+    cells = profiles._cells(df, ["k", "s"])
+    parts = [profiles.counters(cells.where(F.col("hash") % 2 == r)) for r in (0, 1, -1)]
+    merged = parts[0].unionAll(parts[1]).unionAll(parts[2]).groupBy("ordinal", "counter").agg(F.sum("rows"))
+    assert sorted(merged.collect()) == sorted(profiles.counters(cells).collect())
 
-    def plan(top):
-        ranked = profiles.common_values(df, top, ["k"])
-        return ranked._jdf.queryExecution().executedPlan().toString()
 
-    assert "WindowGroupLimit" in plan(3)
-    assert "Window [row_number" not in plan(5_000)
+def test_ranks_are_trimmed_twice(data):
+    _, df = data
+    plan = profiles.common_values(df, 3, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window [row_number") == 2
 
 
 def test_enum_labels(data):
