@@ -112,6 +112,24 @@ def _common_all() -> str:
     )
 
 
+def _stored() -> str:
+    rows = []
+    for column in COLUMNS["orders"].split(", "):
+        name, kind = column.split(" ")
+        few = name in ("o_orderstatus", "o_orderpriority")
+        top = f"FROM orders GROUP BY {name} ORDER BY count(*) DESC, {name} LIMIT 1)"
+        width = f"avg(strlen({name}))" if kind == "string" else "8.0"
+        rows.append(
+            f"SELECT '{name}' AS \"column\", count(*) AS \"rows\", 1 - count({name}) / count(*) AS null_fraction,"
+            " true AS distinct_agrees, true AS median_is_close,"
+            f" round(CAST({width} AS double), 6) AS average_width_bytes,"
+            + (f" (SELECT {name} {top} AS first_value," if few else " CAST(NULL AS varchar) AS first_value,")
+            + (f" (SELECT count(*) {top} AS first_rows" if few else " CAST(NULL AS bigint) AS first_rows")
+            + " FROM orders"
+        )
+    return _union(rows)
+
+
 def _labels() -> str:
     distinct = _union(
         [
@@ -269,6 +287,7 @@ def all_oracles() -> dict[str, str]:
         "common_values": _common(),
         "common_values_many": _common_many(),
         "common_values_all": _common_all(),
+        "stored_statistics": _stored(),
         "enum_labels": _labels(),
         "fk_outside_selection": _outside(),
         "fk_orphans": "SELECT l_orderkey, count(*) AS \"rows\" FROM lineitem WHERE NOT EXISTS"

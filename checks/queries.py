@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from checks.sources import TABLES, Tables, open_tables
 from tablecrate.config import Constraint, General, JobConfig, ObjectConfig, select_objects
 from tablecrate.errors import CrateError
-from tablecrate.operators import keys, loading, profile, quality
+from tablecrate.operators import keys, loading, profile, quality, sketches
 from tablecrate.operators.numbering import with_positions
 from tablecrate.operators.reconcile import reconcile
 from tablecrate.operators.selection import parse
@@ -457,6 +457,34 @@ def common_values_all(tables: Tables) -> DataFrame:
     return found
 
 
+@_query
+def stored_statistics(tables: Tables) -> DataFrame:
+    """Orders loaded in two batches, the second added to the stored sketches of the first:
+    what the store says, and whether sketches of the whole table say the same."""
+    schema, warehouse = _new_schema(tables)
+    early = _renamed(tables, "select * from @orders where o_orderkey % 3 > 0", schema, "orders")
+    _load(tables, early, warehouse)
+    relation = relations.get(tables.spark, schema, "orders")
+    sketches.analyze(tables.spark, relation, relations.rows(tables.spark, schema, "orders"))
+    late = _renamed(tables, "select * from @orders where o_orderkey % 3 = 0", schema, "orders")
+    _load(tables, late, warehouse, mode="append")
+    held = sketches.summary(sketches.stored(tables.spark, relation), 1)
+    whole = sketches.summary(sketches.sketch(tables.rows("orders")), 1).select(
+        F.col("column").alias("of"), F.col("distinct_values").alias("all_distinct"), F.col("median").alias("middle")
+    )
+    first = F.when(F.col("common_is_exact"), F.get("common", F.lit(0)))
+    return held.join(whole, F.col("column") == F.col("of")).select(
+        "column",
+        "rows",
+        F.col("null_fraction"),
+        (F.abs(F.col("distinct_values") - F.col("all_distinct")) <= 0.03 * F.col("all_distinct")).alias("distinct_agrees"),
+        F.coalesce(F.abs(F.col("median") - F.col("middle")) <= 0.05 * F.abs("middle"), F.lit(True)).alias("median_is_close"),
+        F.round("average_width_bytes", 6).alias("average_width_bytes"),
+        first["value"].alias("first_value"),
+        first["rows"].alias("first_rows"),
+    )
+
+
 LABELLED = {
     "orders": ["o_orderstatus", "o_orderpriority"],
     "lineitem": ["l_returnflag", "l_linestatus"],

@@ -14,6 +14,7 @@ from tablecrate.config import CONSTRAINT_KINDS, Constraint, JobConfig
 from tablecrate.errors import CrateError
 from tablecrate.functions import reporttext
 from tablecrate.functions.names import backtick, backtick_path
+from tablecrate.operators import sketches
 from tablecrate.operators.profile import common_values, profile_approximate, profile_exact
 from tablecrate.operators.quality import foreign_keys_outside
 from tablecrate.sources import relations
@@ -113,8 +114,9 @@ def describe(
     """Describe each relation the config names, once.
 
     `statistics`: None, "basic", or the number of common values per column. `source`:
-    "catalog" reads what ANALYZE TABLE left and touches no rows; "compute" reads the rows,
-    with approximate or `exact` distinct counts. Only "compute" has common values.
+    "catalog" touches no rows: it reads the sketches that `operators.sketches.analyze` stored
+    and appends have added to, common values included, or else what ANALYZE TABLE left.
+    "compute" reads the rows, with approximate or `exact` distinct counts.
     """
     top = _common_value_count(statistics)
     if source not in ("catalog", "compute"):
@@ -126,7 +128,10 @@ def describe(
         declared.sort(key=lambda c: (CONSTRAINT_KINDS.index(c.kind), c.name))
         rows, found = relation.row_estimate, None
         if statistics is not None and source == "catalog":
-            found = _catalog_statistics(spark, relation)
+            if sketches.has_store(spark, relation):
+                rows, found = _stored_statistics(spark, relation, top)
+            else:
+                found = _catalog_statistics(spark, relation)
         elif statistics is not None:
             rows, found = _computed_statistics(relation, relation_rows, top, exact)
         described.append(
@@ -169,6 +174,23 @@ def _catalog_statistics(spark: SparkSession, relation: Relation) -> dict[str, Co
     return found
 
 
+def _stored_statistics(
+    spark: SparkSession, relation: Relation, top: int
+) -> tuple[int, dict[str, ColumnStatistics]]:
+    rows = sketches.summary(sketches.stored(spark, relation), top).orderBy("ordinal").collect()  # a row a column
+    total = rows[0]["rows"]
+    found = {
+        row["column"]: ColumnStatistics(
+            null_fraction=row["null_fraction"] or 0.0,
+            estimated_distinct=row["distinct_values"],
+            average_width_bytes=row["average_width_bytes"],
+            most_common_values=[CommonValue(v["value"], v["rows"] / total) for v in row["common"]],
+        )
+        for row in rows
+    }
+    return total, found if total else {}
+
+
 def _computed_statistics(
     relation: Relation, rows: DataFrame, top: int, exact: bool
 ) -> tuple[int, dict[str, ColumnStatistics]]:

@@ -19,6 +19,7 @@ from tablecrate.errors import CrateError
 from tablecrate.functions import seal
 from tablecrate.functions.digest import row_hash_sum
 from tablecrate.functions.names import backtick, backtick_path, column_list, spark_literal
+from tablecrate.operators import sketches
 from tablecrate.operators.keys import key_watermark, next_value
 from tablecrate.operators.loading import compatibility, require_not_null
 from tablecrate.operators.selection import parse
@@ -268,6 +269,8 @@ def _append(
         f"INSERT INTO {table} ({column_list(item.effective_columns)}) SELECT * FROM {{rows}}",
         rows=checked,
     )
+    if sketches.has_store(spark, present):
+        sketches.add_batch(spark, present, _appended(present, checked))
     properties = {marker: "done"} if batch_id is not None else {}
     synced = [c.name for c in present.columns if c.key and c.name in item.effective_columns]
     if synced:
@@ -280,6 +283,17 @@ def _append(
     return Loaded(schema, name, item.export_as, proof["rows"])
 
 
+def _appended(present: relations.Relation, rows: DataFrame) -> DataFrame:
+    """The rows as the table holds them: all its columns, left-out ones by their default."""
+    return rows.select(
+        *(
+            rows[backtick(c.name)] if c.name in rows.columns
+            else F.expr(c.default or "NULL").cast(c.data_type).alias(c.name)
+            for c in present.columns
+        )
+    )
+
+
 def _schema(item: ManifestObject) -> T.StructType:
     return T.StructType(
         [
