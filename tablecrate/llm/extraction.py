@@ -1,12 +1,19 @@
 """Main-text extraction from HTML by tree scoring.
 
-A page is parsed into a tree of elements. Each paragraph earns points: one, one for every
-comma, one for every hundred characters (three at most), discounted by the share of its text
-that stands in links. Its parent gets the points whole, its grandparent half. The container
-with the most points, discounted by its own link share, is the main one; it is kept with
-those siblings that score well or read like a paragraph. Menus, headers, footers, sidebars,
-notices, adverts, forms, scripts, styles and comments of readers are left out before; if
-nothing is left then, what was left out by class, id or role counts again.
+A page is parsed into a tree of elements. Every block with text of its own is a paragraph,
+whatever its element, headings aside. It earns points: one, one for every comma, one for every
+hundred characters (three at most), discounted by the share of its text that stands in links.
+Points go to all its ancestors, in falling shares: whole to the container it stands in, half
+to the next one, then a sixth, a ninth and so on. The container with the most points,
+discounted by its own link share, is the best one. If it stands within an article or main
+element, that is the main container; else the search climbs as long as what stands beside
+holds a quarter of the points below it, so that text in several containers is kept whole. The
+main container is kept with those siblings that score well or read like a part of the text.
+
+Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments of
+readers are left out before; if nothing is left then, what was left out by class, id or role
+counts again. A form that wraps the page (it holds an article, a first heading or most of the
+text) is not one.
 
 The text of the kept part is cut into blocks; white space within a block becomes one space,
 blocks are joined by a line break in page order. Null or empty html, and pages without any
@@ -18,6 +25,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -27,7 +35,7 @@ from tablecrate.llm.arrow import with_computed
 
 # Element names of HTML by what they mean here.
 DROPPED = frozenset(
-    "script style noscript template head title nav header footer aside form button select "
+    "script style noscript template head title nav header footer aside button select "
     "textarea input iframe object embed svg canvas dialog menu".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -36,7 +44,8 @@ BLOCKS = frozenset(
     "h3 h4 h5 h6 hr html li main ol p pre section summary table tbody td tfoot th thead tr ul "
     "caption br".split()
 )
-PARAGRAPHS = frozenset("p pre td blockquote li dd".split())
+PARAGRAPHS = frozenset("p pre td blockquote li dd br figcaption summary".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # An opening tag that ends an open element of the second set, up to the third.
 CLOSES = (
     (BLOCKS - {"br"}, frozenset({"p"}), frozenset({"td", "th", "li", "dd", "table", "button"})),
@@ -142,72 +151,131 @@ def walk(root: Node) -> Iterator[tuple[Node | str, bool]]:
         stack.extend((c, False) for c in reversed(item.children) if isinstance(c, str) or not c.dropped)
 
 
-def measure(root: Node) -> dict[int, tuple[str, float]]:
-    """Of each paragraph its text; of each element how much of its text stands in links."""
-    lengths: dict[int, int] = {}
-    linked: dict[int, int] = {}
-    commas: dict[int, int] = {}
+@dataclass
+class Measure:
+    """Of an element: characters, those in links, commas of its own text, points below it."""
+
+    size: int = 0
+    linked: int = 0
+    own: int = 0
+    own_linked: int = 0
+    commas: int = 0
+    points: float = 0.0
+
+    @property
+    def links(self) -> float:
+        return self.linked / self.size if self.size else 0.0
+
+
+def measure(root: Node) -> dict[int, Measure]:
+    """Text in inline elements belongs to the block around them."""
+    found: dict[int, Measure] = {}
     open_links = 0
     trail: list[Node] = []
-    totals: list[list[int]] = []
+    held: list[Node] = []  # open blocks
     for item, ended in walk(root):
         if isinstance(item, str):
             size = len(item.strip())
-            if totals:
-                totals[-1][0] += size
-                totals[-1][1] += size if open_links else 0
-                totals[-1][2] += item.count(",") + item.count("、") + item.count("，")
+            if not size:
+                continue
+            for node in (trail[-1], held[-1]) if trail[-1] is not held[-1] else (held[-1],):
+                if node is trail[-1]:
+                    found[id(node)].size += size
+                    found[id(node)].linked += size if open_links else 0
+                if node is held[-1]:
+                    block = found[id(node)]
+                    block.own += size
+                    block.own_linked += size if open_links else 0
+                    block.commas += item.count(",") + item.count("、") + item.count("，")
         elif ended:
             open_links -= item.tag == "a"
             trail.pop()
-            size, in_links, count = totals.pop()
-            lengths[id(item)], linked[id(item)], commas[id(item)] = size, in_links, count
-            if totals:
-                for i, value in enumerate((size, in_links, count)):
-                    totals[-1][i] += value
+            if held[-1] is item:
+                held.pop()
+            mine = found[id(item)]
+            if mine.own and item.tag not in HEADINGS:
+                mine.points += (1 + mine.commas + min(3.0, mine.own / 100)) * (1 - mine.own_linked / mine.own)
+            if trail:
+                above = found[id(trail[-1])]
+                above.size, above.linked, above.points = above.size + mine.size, above.linked + mine.linked, above.points + mine.points
         else:
             open_links += item.tag == "a"
             trail.append(item)
-            totals.append([0, 0, 0])
-    return {key: (size, linked[key] / size if size else 0.0, commas[key]) for key, size in lengths.items()}
+            if item.tag in BLOCKS or not held:
+                held.append(item)
+            found[id(item)] = Measure()
+    return found
+
+
+def unwrapped(root: Node, top: Node) -> None:
+    """Leave out the forms that are forms."""
+    forms = [node for node, ended in walk(root) if not ended and not isinstance(node, str) and node.tag == "form"]
+    if not forms:
+        return
+    sizes = measure(root)
+    whole = sizes[id(top)].size
+    for form in forms:
+        inside = {node.tag for node, _ in walk(form) if not isinstance(node, str)}
+        form.dropped = not inside & {"article", "main", "h1"} and 2 * sizes[id(form)].size <= whole
 
 
 def main_parts(root: Node) -> list[Node]:
-    """The container with the most points and its worthy siblings, in page order."""
+    """The main container and its worthy siblings, in page order; or nodes within it."""
+    unwrapped(root, root)
     sizes = measure(root)
-    scored: list[Node] = []
+    scored: dict[int, Node] = {}
     for node, ended in walk(root):
-        if ended or isinstance(node, str) or node.tag not in PARAGRAPHS:
-            continue
-        size, in_links, commas = sizes[id(node)]
-        if not size:
+        if ended or isinstance(node, str) or not sizes[id(node)].own or node.tag in HEADINGS:
             continue
-        points = (1 + commas + min(3.0, size / 100)) * (1 - in_links)
-        for above, share in ((node.parent, 1.0), (node.parent and node.parent.parent, 0.5)):
-            if above is not None:
-                if not above.score:
-                    above.score = above.weight
-                    scored.append(above)
-                above.score += points * share
-    ranked = {id(n): n.score * (1 - sizes[id(n)][1]) for n in scored if id(n) in sizes}
-    if not ranked:
+        own = sizes[id(node)]
+        points = (1 + own.commas + min(3.0, own.own / 100)) * (1 - own.own_linked / own.own)
+        above = node.parent if node.tag in PARAGRAPHS else node
+        level = 0
+        while above is not None and points > 0:
+            if id(above) not in scored:
+                scored[id(above)] = above
+                above.score = above.weight
+            above.score += points * (1.0, 0.5)[level] if level < 2 else points / (3 * level)
+            above, level = above.parent, level + 1
+    if not scored:
         return [root]
-    best = max((n for n in scored if id(n) in ranked), key=lambda n: ranked[id(n)])
-    if best.parent is None:
-        return [best]
-    enough = max(10.0, 0.2 * ranked[id(best)])
+    ranked = {key: node.score * (1 - sizes[key].links) for key, node in scored.items()}
+    best = scored[max(ranked, key=ranked.__getitem__)]
+    main = best
+    while main is not None and main.tag not in ("article", "main"):
+        main = main.parent
+    climbed = False
+    if main is None:
+        main, node, beside = best, best, 0.0
+        while node.parent is not None:
+            beside += sum(sizes[id(n)].points for n in siblings(node) if sizes[id(n)].links < 0.5)
+            node = node.parent
+            if 4 * beside >= sizes[id(main)].points:
+                main, climbed, beside = node, True, 0.0
+    if climbed:  # what holds only links is no part of the text
+        for node, ended in walk(main):
+            if not ended and not isinstance(node, str) and node.tag in BLOCKS and not sizes[id(node)].points:
+                node.dropped = sizes[id(node)].links > 0.5
+    if main.parent is None:
+        return [main]
+    enough = max(10.0, 0.2 * ranked.get(id(main), 0.0))
     kept = []
-    for node in best.parent.children:
+    for node in main.parent.children:
         if isinstance(node, str) or node.dropped:
             continue
-        size, in_links, _ = sizes[id(node)]
-        reads = node.tag == "p" and ((size > 80 and in_links < 0.25) or (0 < size <= 80 and in_links == 0))
-        heading = node.tag in ("h1", "h2") and size > 0 and in_links == 0
-        if node is best or ranked.get(id(node), 0.0) >= enough or reads or heading:
+        here = sizes[id(node)]
+        reads = node.tag == "p" and ((here.size > 80 and here.links < 0.25) or (0 < here.size <= 80 and here.links == 0))
+        heading = node.tag in ("h1", "h2") and here.size > 0 and here.links == 0
+        alike = node.tag == main.tag and node.tag in ("section", "article") and here.points > 0 and here.links < 0.25
+        if node is main or ranked.get(id(node), 0.0) >= enough or reads or heading or alike:
             kept.append(node)
     return kept
 
 
+def siblings(node: Node) -> Iterator[Node]:
+    return (c for c in node.parent.children if c is not node and not isinstance(c, str) and not c.dropped)
+
+
 def blocks(root: Node) -> Iterator[str]:
     held: list[str] = []
     for item, _ in walk(root):

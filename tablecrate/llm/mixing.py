@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablecrate.llm.common import stored
+from tablecrate.llm.common import stored, with_facts
 from tablecrate.operators.numbering import with_positions
 
 WEIGHTS = (5, 2, 1)
@@ -125,8 +125,9 @@ def mixed(sizes: DataFrame, seed: str = "mix") -> DataFrame:
         F.col("chance") > 0,  # no cut: the whole source does not exceed the rest
         F.lit(False),
     )
+    # Many rows ask for the cut of one source: it is written and copied, see `with_facts`.
     return (
-        rows.join(cuts, same, "left")
+        with_facts(rows, stored(cuts, "cuts"), "source", "cut_source", F.col("key"))
         .withColumn("copies", F.col("whole") + taken.cast("int"))
         .select(*sizes.columns, "source_size", "target", "copies")
     )

@@ -181,6 +181,41 @@ def test_wrappers_named_for_what_stands_beside():
     assert extraction.extract(page) == f"{text}\nx"
 
 
+LONG = "One, two, three and a long sentence, which goes on for a while so that it counts, number {}."
+
+
+def paragraphs(*numbers: int, tag: str = "p") -> str:
+    return "".join(f"<{tag}>{LONG.format(i)}</{tag}>" for i in numbers)
+
+
+MENU = "<ul><li><a href=/a>first link</a><li><a href=/b>second, link</a></ul>"
+
+
+@pytest.mark.parametrize(
+    "page, kept",
+    [
+        ("<article>" + "".join(f"<section><div><p>{LONG.format(i)}</p></div></section>" for i in range(5)) + "</article>", 5),
+        ("<article>" + "".join(f"<section>{paragraphs(i, i + 1, i + 2)}</section>" for i in (0, 3, 6)) + "</article>", 9),
+        (f"<body>{MENU}<div>" + "".join(f"<section>{paragraphs(i, i + 1, i + 2)}</section>" for i in (0, 3, 6)) + "</div></body>", 9),
+        (f"<body>{MENU}<div><div><div>{paragraphs(0, 1)}</div></div><div><div>{paragraphs(2, 3)}</div></div></div></body>", 4),
+        (f"<body><form id=aspnetForm>{MENU}<article>{paragraphs(0, 1)}</article><input name=q></form></body>", 2),
+        (f"<body><form><div>{paragraphs(0, 1, 2)}</div></form></body>", 3),
+        (f"<body>{MENU}<div>{paragraphs(0, 1, 2, tag='div')}</div></body>", 3),
+        (f"<body>{MENU}<div>{LONG.format(0)}<br>{LONG.format(1)}</div></body>", 2),
+        (f"<body>{MENU}<section>{paragraphs(0, 1, 2, 3, 4, 5)}</section><section><p>{LONG.format(6)}</p></section></body>", 7),
+        (f"<main>{paragraphs(0)}<div><blockquote>{paragraphs(1)}</blockquote></div><table><tr><td>{LONG.format(2)}</table></main>", 3),
+        ("<article>" + "<div>" * 40 + paragraphs(0) + "</div>" * 40 + paragraphs(1) + "</article>", 2),
+    ],
+)
+def test_the_whole_article_is_kept(page, kept):
+    assert extraction.extract(page) == "\n".join(LONG.format(i) for i in range(kept))
+
+
+def test_forms_that_are_forms_go():
+    form = "<form><p>Subscribe, and get our letter.</p><label>Name</label><input></form>"
+    assert extraction.extract(f"<body><div>{paragraphs(0, 1)}{form}</div></body>") == "\n".join(map(LONG.format, (0, 1)))
+
+
 def test_stored_keeps_the_schema(base_spark):
     df = base_spark.createDataFrame([(1, None)], "a long, b array<string>")
     assert stored(df, "test").schema == df.schema

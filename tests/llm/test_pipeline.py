@@ -35,7 +35,7 @@ def test_stages(base_spark, odd_dir, odd_rows, tmp_path):
         lines = r["text"].split("\n")
         stay = [
             line for i, line in enumerate(lines)
-            if len(line) < 20 or not line.strip() or known[line][0] == (r["doc_id"], i)
+            if not line.strip() or known[line][0] == (r["doc_id"], i)
         ]
         if stay:
             expected.append({"doc_id": r["doc_id"], "text": "\n".join(stay)})
@@ -47,9 +47,13 @@ def test_stages(base_spark, odd_dir, odd_rows, tmp_path):
     root = classes(sorted({simhash_by_hand(r["text"]) for r in deduped}), lambda a, b: (a ^ b).bit_count() <= 2)
     groups = {}
     for r in deduped:
-        groups.setdefault(root[simhash_by_hand(r["text"])], []).append(r["doc_id"])
-    firsts = {min((k for k in keys if k is not None), default=None) for keys in groups.values()}
-    assert bag(single) == bag(r for r in deduped if r["doc_id"] in firsts)
+        groups.setdefault(root[simhash_by_hand(r["text"])], []).append(r)
+    least = lambda r: (r["doc_id"] is None, r["doc_id"] or 0)
+    assert len(single) == len(groups)  # one row each, of repeated rows, too
+    assert bag({"doc_id": r["doc_id"], "text": None} for r in single) == bag(
+        {"doc_id": min(rows, key=least)["doc_id"], "text": None} for rows in groups.values()
+    )
+    assert not bag(single) - bag(deduped)
 
     mixed = after("mixing")
     copies = Counter(r["doc_id"] for r in mixed)
@@ -66,6 +70,18 @@ def test_run_on_empty_tables(base_spark, empty_dir):
     assert corpus_pipeline.run(base_spark, empty_dir).collect() == []
 
 
+def test_copies_leave_by_near_dedup(base_spark):
+    text = "one two three four five six seven eight nine ten"
+    rows = [(5, text), (5, text), (None, text), (None, text), (3, text), (9, text + " eleven " * 60), (9, "other words here")]
+    docs = base_spark.createDataFrame(
+        [(i, t, "en", "s0", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long"
+    )
+    found = corpus_pipeline.near_dedup(base_spark, docs, "").collect()
+    assert sorted((r["doc_id"], r["text"]) for r in found) == sorted([(3, text), (9, rows[5][1]), (9, "other words here")])
+    same = base_spark.createDataFrame([r for r in docs.collect() if r["doc_id"] is None], docs.schema)
+    assert corpus_pipeline.near_dedup(base_spark, same, "").count() == 1
+
+
 def test_short_repeated_lines_go(base_spark):
     """Whatever their length; documents of nothing else go."""
     texts = [(1, "Read more\n\nA first line, long enough to count.\nRead more"), (2, "ab\nRead more\n\nRead mor"),
