@@ -68,48 +68,53 @@ def constraint_report(spark: SparkSession, constraints: Iterable[Constraint]) ->
     constraints have no meaning here and report NULL.
     """
     parts: list[DataFrame] = []
-    scans: dict[tuple[str, str], list[tuple[Constraint, Column]]] = {}
-    for constraint in constraints:
+    scans: dict[tuple[str, str], list[tuple[int, Constraint, Column]]] = {}
+    declared = list(constraints)
+    for place, constraint in enumerate(declared):
         rows = relations.rows(spark, *constraint.relation)
         if constraint.kind in ("primary_key", "unique"):
             repeated = duplicate_keys(rows, constraint.columns).agg(F.sum("rows").alias("n"))
-            parts.append(_reported(constraint, repeated))
+            parts.append(_reported(place, constraint, repeated))
         if constraint.kind == "foreign_key":
             parents = relations.rows(spark, *constraint.references)
             orphans = orphan_keys(rows, constraint.columns, parents, constraint.referenced_columns)
-            parts.append(_reported(constraint, orphans.agg(F.sum("rows").alias("n"))))
+            parts.append(_reported(place, constraint, orphans.agg(F.sum("rows").alias("n"))))
         found = None
         if constraint.kind == "primary_key":
             found = reduce(or_, [F.col(backtick(name)).isNull() for name in constraint.columns])
         elif constraint.kind == "check":
             found = ~F.expr(f"({spark_text(constraint.expression)})")
         elif constraint.kind not in ("unique", "foreign_key"):
-            parts.append(_reported(constraint, spark.range(1).select(F.lit(None).cast("bigint").alias("n"))))
+            parts.append(_reported(place, constraint, spark.range(1).select(F.lit(None).cast("bigint").alias("n"))))
         if found is not None:
-            scans.setdefault(constraint.relation, []).append((constraint, found))
+            scans.setdefault(constraint.relation, []).append((place, constraint, found))
     for relation, counted in scans.items():
-        counts = [F.count_if(found).alias(f"n{i}") for i, (_, found) in enumerate(counted)]
+        counts = [F.count_if(found).alias(f"n{i}") for i, (_, _, found) in enumerate(counted)]
         entries = F.array(
             *[
                 F.struct(
+                    F.lit(place).alias("place"),
                     F.lit(".".join(relation)).alias("relation"),
                     F.lit(c.name).alias("constraint"),
                     F.lit(c.kind).alias("kind"),
                     F.col(f"n{i}").alias("violations"),
                 )
-                for i, (c, _) in enumerate(counted)
+                for i, (place, c, _) in enumerate(counted)
             ]
         )
         parts.append(relations.rows(spark, *relation).agg(*counts).select(F.inline(entries)))
     if not parts:
         return spark.createDataFrame([], _REPORT_SCHEMA)
     every = reduce(DataFrame.unionAll, parts)
-    return every.groupBy("relation", "constraint", "kind").agg(F.sum("violations").alias("violations"))
+    # By place: two constraints of one relation may have the same name.
+    total = every.groupBy("place", "relation", "constraint", "kind").agg(F.sum("violations").alias("violations"))
+    return total.drop("place")
 
 
-def _reported(constraint: Constraint, counted: DataFrame) -> DataFrame:
+def _reported(place: int, constraint: Constraint, counted: DataFrame) -> DataFrame:
     known = F.col("n") if constraint.kind in ("exclude", "exclusion") else F.coalesce("n", F.lit(0))
     return counted.select(
+        F.lit(place).alias("place"),
         F.lit(".".join(constraint.relation)).alias("relation"),
         F.lit(constraint.name).alias("constraint"),
         F.lit(constraint.kind).alias("kind"),

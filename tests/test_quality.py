@@ -134,3 +134,14 @@ def test_hash_sum_is_exact(spark):
 def test_check_text_is_that_of_a_where_clause(spark):
     df = spark.createDataFrame([("a1",), ("ab",), (None,)], "v string")
     assert [r["v"] for r in quality.check_violations(df, r"v rlike '^[a-z]\d$'").collect()] == ["ab"]
+
+
+def test_constraints_of_one_name_stay_apart(spark, schema):
+    spark.range(10).selectExpr("id", "id % 3 AS k").write.saveAsTable(f"{schema}.t")
+    declared = [
+        Constraint((schema, "t"), "same", "check", expression="id < 8"),
+        Constraint((schema, "t"), "same", "check", expression="k > 0"),
+        Constraint((schema, "t"), "same", "primary_key", columns=("k",)),
+    ]
+    report = quality.constraint_report(spark, declared).collect()
+    assert sorted((r["kind"], r["violations"]) for r in report) == [("check", 2), ("check", 4), ("primary_key", 10)]
