@@ -32,7 +32,7 @@ NOT_SPACE = re.compile("[\x1c-\x1f]")
 SPACES = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 
 # What a worker remembers of each kind before it forgets what it has not met lately.
-CHUNKS, WORDS, FRAGMENTS = 100_000, 200_000, 50_000
+CHUNKS, WORDS, FRAGMENTS = 60_000, 120_000, 30_000
 LONGEST_REMEMBERED = 48
 # Fragments of more symbols are merged with a heap.
 SHORT = 64
