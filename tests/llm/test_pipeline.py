@@ -6,7 +6,8 @@ from collections import Counter
 
 import corpus_pipeline
 from tablecrate.llm import bpe
-from test_queries_brute import classes, lines_by_hand, simhash_by_hand
+from test_queries_brute import classes, lines_by_hand
+from test_similar import alike, set_by_hand
 
 
 def bag(rows) -> Counter:
@@ -44,10 +45,11 @@ def test_stages(base_spark, odd_dir, odd_rows, tmp_path):
     assert docs.columns == list(corpus_pipeline.COLUMNS)
 
     single = after("near_dedup")
-    root = classes(sorted({simhash_by_hand(r["text"]) for r in deduped}), lambda a, b: (a ^ b).bit_count() <= 2)
+    sets = [set_by_hand(r["text"]) for r in deduped]
+    root = classes(sorted(set(sets)), alike)
     groups = {}
-    for r in deduped:
-        groups.setdefault(root[simhash_by_hand(r["text"])], []).append(r)
+    for r, found in zip(deduped, sets):
+        groups.setdefault(root[found], []).append(r)
     least = lambda r: (r["doc_id"] is None, r["doc_id"] or 0)
     assert len(single) == len(groups)  # one row each, of repeated rows, too
     assert bag({"doc_id": r["doc_id"], "text": None} for r in single) == bag(
