@@ -91,7 +91,7 @@ def export_in_order(tables: Tables) -> DataFrame:
         " order by l_shipdate desc, l_orderkey, l_linenumber limit 40000",
     )
     snapshot = manifests.open_snapshot(tables.spark, path)
-    rows = tables.spark.read.parquet(f"{path}/{loads.find_object(snapshot, 'lineitem').data_path}")
+    rows = tables.spark.read.parquet(f"{path}/{loads.find_object(snapshot, 'lineitem').payload}")
     place = [F.col("_metadata.file_name"), F.col("_metadata.row_index")]
     placed = with_positions(rows.select("*", place[0].alias("file"), place[1].alias("row")), "place", [F.col("file"), F.col("row")])
     return placed.select("place", "l_orderkey", "l_linenumber")
@@ -125,7 +125,7 @@ def _read_back(tables: Tables, path: str, name: str, password: str | None = None
 
 def _manifest_counts(tables: Tables, path: str) -> DataFrame:
     return manifests.manifest_objects(tables.spark, path).select(
-        F.col("source_name").alias("relation"), F.col("row_count").alias("rows")
+        "relation", "rows"
     )
 
 
@@ -189,10 +189,10 @@ def view_dependency_order(tables: Tables) -> DataFrame:
     export_snapshot(tables.spark, config, path)
     return manifests.manifest_objects(tables.spark, path).select(
         (F.col("position") + 1).alias("position"),
-        F.col("source_name").alias("relation"),
+        "relation",
         "kind",
         "export_as",
-        F.col("row_count").alias("rows"),
+        "rows",
     )
 
 
@@ -205,12 +205,12 @@ def manifest_objects(tables: Tables) -> DataFrame:
         data_format="csv",
     )
     return manifests.manifest_objects(tables.spark, first, second).select(
-        "data_format",
+        F.col("payload_format").alias("data_format"),
         "position",
-        F.col("source_name").alias("relation"),
-        F.col("column_projection").alias("projection"),
-        F.size("effective_columns").alias("columns"),
-        F.col("row_count").alias("rows"),
+        "relation",
+        "projection",
+        F.size("columns").alias("columns"),
+        "rows",
     )
 
 
@@ -282,8 +282,8 @@ def import_schema_only(tables: Tables) -> DataFrame:
     _load(tables, path, warehouse, schema_only=True)  # empties the table again
     emptied = relations.rows(tables.spark, schema, "lineitem")
     return manifests.manifest_objects(tables.spark, path).select(
-        F.col("source_name").alias("relation"),
-        F.col("row_count").alias("snapshot_rows"),
+        "relation",
+        F.col("rows").alias("snapshot_rows"),
         emptied.agg(F.count(F.lit(1))).scalar().alias("loaded_rows"),
         F.lit(len(emptied.columns)).alias("columns"),
     )
@@ -301,7 +301,7 @@ def append_compat_report(tables: Tables) -> DataFrame:
         item = manifests.open_snapshot(tables.spark, path).manifest.objects[0]
         target = relations.get(tables.spark, schema, "orders")
         report = loading.compatibility(
-            item.effective_columns, item.effective_column_types, target
+            item.column_names, [c.type for c in item.columns], target
         )
         try:
             _load(tables, path, warehouse, mode="append")

@@ -134,7 +134,7 @@ def _export(spark: SparkSession, options: argparse.Namespace) -> str:
         password=password_from(options.password, dict(os.environ)),
         connection_options=_connection(options, config),
     )
-    rows = sum(item.row_count or 0 for item in manifest.objects)
+    rows = sum(item.rows or 0 for item in manifest.objects)
     return f"exported {len(manifest.objects)} objects, {rows} rows to {options.out}\n"
 
 

@@ -16,11 +16,11 @@ def object_row(item: ManifestObject) -> dict[str, str | int | None]:
         zip(
             _HEADS,
             (
-                f"{item.target_schema}.{item.target_name}",
-                f"{item.source_schema}.{item.source_name}",
+                ".".join(item.target),
+                ".".join(item.source),
                 item.export_as if item.export_as == item.kind else f"{item.export_as} of {item.kind}",
-                len(item.effective_columns),
-                item.row_count,
+                len(item.columns),
+                item.rows,
                 item.checksum,
             ),
         )
@@ -29,20 +29,20 @@ def object_row(item: ManifestObject) -> dict[str, str | int | None]:
 
 def snapshot_facts(snapshot: Snapshot) -> dict:
     manifest = snapshot.manifest
-    counts = [item.row_count for item in manifest.objects if item.row_count is not None]
+    counts = [item.rows for item in manifest.objects if item.rows is not None]
     return {
         "path": snapshot.path,
-        "written": manifest.created_at,
-        "payload": {"format": manifest.data_format, "sealed": snapshot.encrypted},
+        "written": manifest.written,
+        "payload": {"format": manifest.payload_format, "sealed": snapshot.encrypted},
         "source": {
-            "engine": manifest.source_version_num,
-            "session": manifest.source_fingerprint,
-            "pinned": manifest.consistent_snapshot,
-            "files": manifest.input_files,
-            "bytes": manifest.input_bytes,
+            "engine": manifest.engine,
+            "session": manifest.session,
+            "pinned": manifest.consistent,
+            "files": manifest.inputs and manifest.inputs.files,
+            "bytes": manifest.inputs and manifest.inputs.bytes,
         },
         "totals": {"objects": len(manifest.objects), "rows": sum(counts)},
-        "layout": manifest.format_version,
+        "layout": manifest.layout,
     }
 
 

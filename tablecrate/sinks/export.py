@@ -12,7 +12,7 @@ import time
 import uuid
 import warnings
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -30,7 +30,7 @@ from tablecrate.sinks.parallel import in_parallel
 from tablecrate.sources import manifests, payload, relations
 from tablecrate.sources.files import MetadataFiles
 from tablecrate.sources.lookup import find_source
-from tablecrate.sources.manifests import Manifest, ManifestObject
+from tablecrate.sources.manifests import Inputs, Manifest, ManifestObject, ObjectColumn, Place, ViewDefinition
 from tablecrate.sources.relations import Column, Relation
 
 
@@ -93,16 +93,14 @@ def export_snapshot(
         MetadataFiles(spark).delete_tree(f"{out}/{run_id}")
         raise
     manifest = Manifest(
-        created_at=datetime.now(timezone.utc).isoformat(timespec="seconds"),
-        source_fingerprint=f"catalog={spark.catalog.currentCatalog()}"
+        written=datetime.now(timezone.utc).isoformat(timespec="seconds"),
+        engine=version_number(spark),
+        session=f"catalog={spark.catalog.currentCatalog()}"
         f" user={spark.sql('SELECT current_user()').first()[0]}",
-        source_version_num=version_number(spark),
-        data_format=general.data_format,
-        consistent_snapshot=pinned and all(map(_has_files, sources)),
+        payload_format=general.data_format,
+        consistent=pinned and all(map(_has_files, sources)),
         objects=objects,
-        input_files=None if before is None else before.files,
-        input_bytes=None if before is None else before.bytes,
-        input_fingerprint=None if before is None else before.fingerprint,
+        inputs=None if before is None else Inputs(before.files, before.bytes, before.fingerprint),
     )
     manifests.publish(spark, out, manifest, key, salt)
     return manifest
@@ -153,7 +151,7 @@ def _write_object(
                 seen, F.count(F.lit(1)).alias("rows"), row_hash_sum(selected).alias("checksum")
             )
             payload.write(observed, f"{out}/{data_path}", general.data_format, key)
-        counts = {"row_count": seen.get["rows"], "checksum": str(seen.get["checksum"])}
+        counts = {"rows": seen.get["rows"], "checksum": str(seen.get["checksum"])}
 
     is_view = item.export_as == "view"
     ddl = (
@@ -163,35 +161,30 @@ def _write_object(
     )
     ddl_text = seal.seal_text(spark, ddl, key) if key is not None else ddl
     MetadataFiles(spark).write(f"{out}/{ddl_path}", ddl_text)
+    view = ViewDefinition(_view_body(relation), relation.view_namespace, relation.view_settings) if is_view else None
     return ManifestObject(
+        source=Place(*item.source),
+        target=Place(*item.target_or_source),
         kind=relation.kind,
-        export_as=item.export_as,
-        source_schema=item.source[0],
-        source_name=item.source[1],
-        target_schema=item.target_or_source[0],
-        target_name=item.target_or_source[1],
-        source_select=item.selection.text,
-        normalized_select=item.selection.canonical_sql(names),
-        ddl_path=ddl_path,
-        data_path=data_path,
-        effective_columns=names,
-        effective_column_types=[column.type_text for column in columns],
-        column_projection=item.selection.projection,
-        row_estimate=None if is_view else relation.row_estimate,
-        not_null=[] if is_view else [column.name for column in columns if column.not_null],
-        keys=[] if is_view else [column.name for column in columns if column.key],
-        defaults={c.name: c.default for c in columns if c.default is not None and not is_view},
-        comments={c.name: c.comment for c in columns if c.comment},
-        labels={c.name: list(c.labels) for c in columns if c.labels},
+        select=item.selection.text,
+        columns=[_column(column, is_view) for column in columns],
+        ddl=ddl_path,
+        payload=data_path,
+        estimate=None if is_view else relation.row_estimate,
         comment=relation.comment,
-        view_text=_view_body(relation) if is_view else None,
-        view_settings=relation.view_settings if is_view else {},
-        view_namespace=relation.view_namespace if is_view else None,
-        order_by=item.selection.order_by,
+        view=view,
         **counts,
     )
 
 
+def _column(column: Column, is_view: bool) -> ObjectColumn:
+    """A view's columns are described, but what binds rows belongs to the tables below it."""
+    described = ObjectColumn(column.name, column.type_text, comment=column.comment or None, labels=list(column.labels))
+    if is_view:
+        return described
+    return replace(described, required=column.not_null, key=column.key, default=column.default)
+
+
 def _view_body(relation: Relation) -> str:
     return relation.view_text.strip().rstrip(";")
 

@@ -22,7 +22,6 @@ from tablecrate.functions.names import backtick, backtick_path, column_list, spa
 from tablecrate.operators import sketches
 from tablecrate.operators.keys import key_watermark, next_value
 from tablecrate.operators.loading import compatibility, require_not_null
-from tablecrate.operators.selection import parse
 from tablecrate.sinks.export import version_number
 from tablecrate.sinks.parallel import in_parallel
 from tablecrate.sources import manifests, payload, relations
@@ -52,21 +51,19 @@ def read_object(
         raise CrateError(f"{'.'.join(item.target)} is a view: the snapshot holds no rows of it")
     rows = payload.read(
         spark,
-        f"{snapshot.path}/{item.data_path}",
+        f"{snapshot.path}/{item.payload}",
         _schema(item),
-        snapshot.manifest.data_format,
+        snapshot.manifest.payload_format,
         snapshot.key,
     )
-    if ordered and item.order_by:
-        selection = parse(item.source_select)
-        keys = [key.column(rows, item.effective_columns) for key in selection.sort_items]
-        rows = rows.orderBy(*keys)
+    if ordered and (sort_items := item.selection.sort_items):
+        rows = rows.orderBy(*(key.column(rows, item.column_names) for key in sort_items))
     return rows
 
 
 def find_object(snapshot: Snapshot, name: str) -> ManifestObject:
     for item in snapshot.manifest.objects:
-        if name in (item.target_name, ".".join(item.target)):
+        if name in (item.target.name, ".".join(item.target)):
             return item
     raise CrateError(f"the snapshot has no object {name}")
 
@@ -108,9 +105,9 @@ def load_snapshot(
 
 def _check_writer(spark: SparkSession, snapshot: Snapshot, schema_only: bool) -> None:
     manifest = snapshot.manifest
-    if schema_only or manifest.data_format == "csv" or not any(o.has_data for o in manifest.objects):
+    if schema_only or manifest.payload_format == "csv" or not any(o.has_data for o in manifest.objects):
         return
-    written, reading = manifest.source_version_num // 10_000, version_number(spark) // 10_000
+    written, reading = manifest.engine // 10_000, version_number(spark) // 10_000
     if written != reading:
         raise CrateError(
             f"a binary snapshot of major version {written} cannot be loaded by version {reading};"
@@ -121,16 +118,16 @@ def _check_writer(spark: SparkSession, snapshot: Snapshot, schema_only: bool) ->
 def _check_layout(spark: SparkSession, snapshot: Snapshot, schema_only: bool) -> None:
     files = MetadataFiles(spark)
     for item in snapshot.manifest.objects:
-        needed = [item.ddl_path]
+        needed = [item.ddl]
         if item.has_data and not schema_only:
-            needed.append(f"{item.data_path}/_SUCCESS")
+            needed.append(f"{item.payload}/_SUCCESS")
         for relative in needed:
             if not files.exists(f"{snapshot.path}/{relative}"):
                 raise CrateError(f"the snapshot is not complete: {relative} is missing")
 
 
 def read_ddl(spark: SparkSession, snapshot: Snapshot, item: ManifestObject) -> str:
-    text = MetadataFiles(spark).read(f"{snapshot.path}/{item.ddl_path}")
+    text = MetadataFiles(spark).read(f"{snapshot.path}/{item.ddl}")
     return seal.open_text(spark, text, snapshot.key) if snapshot.key is not None else text
 
 
@@ -178,9 +175,9 @@ def _replace(
         MetadataFiles(spark).delete_tree(location)
         raise
     properties = {
-        relations.NOT_NULL_PROPERTY: json.dumps(item.not_null),
+        relations.NOT_NULL_PROPERTY: json.dumps(item.required),
         relations.KEYS_PROPERTY: json.dumps(item.keys),
-        relations.LABELS_PROPERTY: json.dumps(item.labels),
+        relations.LABELS_PROPERTY: json.dumps({c.name: c.labels for c in item.columns if c.labels}),
         NEXT_VALUE_PROPERTY: json.dumps(next_values),
     }
     if batch_id is not None:
@@ -196,7 +193,7 @@ def _write_version(
     """Copy the payload into a new version folder; count, hash and find the largest keys
     on the way, and compare with the manifest before anyone can see the table."""
     rows = require_not_null(
-        read_object(spark, snapshot, item), item.not_null, ".".join(item.target)
+        read_object(spark, snapshot, item), item.required, ".".join(item.target)
     )
     seen = Observation()
     marks = [next_value(rows[backtick(key)]).alias(f"next_{i}") for i, key in enumerate(item.keys)]
@@ -210,7 +207,7 @@ def _write_version(
 
 def _compare(item: ManifestObject, rows: int, checksum: str) -> None:
     for what, expected, found in (
-        ("row count", item.row_count, rows),
+        ("row count", item.rows, rows),
         ("checksum", item.checksum, checksum),
     ):
         if expected is not None and expected != found:
@@ -231,7 +228,7 @@ def _append(
     table = backtick_path(schema, name)
     if present.kind != "table":
         raise CrateError(f"append needs a table, but {schema}.{name} is a {present.kind}")
-    report = compatibility(item.effective_columns, item.effective_column_types, present)
+    report = compatibility(item.column_names, [c.type for c in item.columns], present)
     for column, expected, actual, status in report:
         if status != "ok":
             raise CrateError(
@@ -240,7 +237,7 @@ def _append(
             )
     # A required column that is not part of the load must get its value from a default.
     for column in present.columns:
-        filled = column.name in item.effective_columns or column.default is not None
+        filled = column.name in item.column_names or column.default is not None
         if column.not_null and not filled:
             raise CrateError(f"cannot append to {schema}.{name}: {column.name} would be NULL")
     if schema_only:
@@ -261,18 +258,18 @@ def _append(
     # Appended rows are visible at once, so they are proven before the insert starts.
     proof = rows.agg(F.count(F.lit(1)).alias("rows"), row_hash_sum(rows).alias("checksum")).first()
     _compare(item, proof["rows"], str(proof["checksum"]))
-    required = [c.name for c in present.columns if c.not_null and c.name in item.effective_columns]
+    required = [c.name for c in present.columns if c.not_null and c.name in item.column_names]
     checked = require_not_null(rows, required, f"{schema}.{name}")
     if batch_id is not None:
         _set_properties(spark, table, {marker: "started"})
     spark.sql(
-        f"INSERT INTO {table} ({column_list(item.effective_columns)}) SELECT * FROM {{rows}}",
+        f"INSERT INTO {table} ({column_list(item.column_names)}) SELECT * FROM {{rows}}",
         rows=checked,
     )
     if sketches.has_store(spark, present):
         sketches.add_batch(spark, present, _appended(present, checked))
     properties = {marker: "done"} if batch_id is not None else {}
-    synced = [c.name for c in present.columns if c.key and c.name in item.effective_columns]
+    synced = [c.name for c in present.columns if c.key and c.name in item.column_names]
     if synced:
         values = json.loads(present.properties.get(NEXT_VALUE_PROPERTY, "{}"))
         found = key_watermark(spark.table(table), synced).collect()
@@ -297,8 +294,7 @@ def _appended(present: relations.Relation, rows: DataFrame) -> DataFrame:
 def _schema(item: ManifestObject) -> T.StructType:
     return T.StructType(
         [
-            T.StructField(name, relations.type_from_text(text))
-            for name, text in zip(item.effective_columns, item.effective_column_types)
+            T.StructField(column.name, relations.type_from_text(column.type)) for column in item.columns
         ]
     )
 
@@ -318,12 +314,12 @@ def _create_table(
     properties: dict[str, str],
 ) -> None:
     lines = []
-    for column, type_text in zip(item.effective_columns, item.effective_column_types):
-        line = relations.column_ddl(column, relations.type_from_text(type_text))
-        if column in item.defaults:
-            line += f" DEFAULT {item.defaults[column]}"
-        if column in item.comments:
-            line += f" COMMENT {spark_literal(item.comments[column])}"
+    for column in item.columns:
+        line = relations.column_ddl(column.name, relations.type_from_text(column.type))
+        if column.default is not None:
+            line += f" DEFAULT {column.default}"
+        if column.comment:
+            line += f" COMMENT {spark_literal(column.comment)}"
         lines.append(line)
     comment = f" COMMENT {spark_literal(item.comment)}" if item.comment else ""
     spark.sql(
@@ -339,14 +335,14 @@ def _create_view(
     unqualified names looked up in the same namespace."""
     schema, name = item.target
     session = spark.newSession()
-    for key, value in item.view_settings.items():
+    for key, value in item.view.settings.items():
         if session.conf.isModifiable(key):
             session.conf.set(key, value)
-    if item.view_namespace:
-        session.sql(f"USE {item.view_namespace}")
+    if item.view.namespace:
+        session.sql(f"USE {item.view.namespace}")
     staged = f"{name}__{uuid.uuid4().hex}"
-    columns = column_list(item.effective_columns)
-    session.sql(f"CREATE VIEW {backtick_path(schema, staged)} ({columns}) AS {item.view_text}")
+    columns = column_list(item.column_names)
+    session.sql(f"CREATE VIEW {backtick_path(schema, staged)} ({columns}) AS {item.view.text}")
     _swap(spark, schema, staged, name, present, "VIEW")
 
 

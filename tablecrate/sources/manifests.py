@@ -1,112 +1,163 @@
-"""The manifest of a snapshot: read, check, write, and many manifests as one DataFrame."""
+"""The manifest of a snapshot: read, check, write, and many manifests as one DataFrame.
+
+A manifest is one JSON document. It has a row of columns for each object, with all that a load
+must know of a column in one place; what follows from the selection text is not stored again.
+"""
 
 from __future__ import annotations
 
 import base64
 import json
-from dataclasses import asdict, dataclass, field, fields
+from collections.abc import Iterator
+from dataclasses import asdict, dataclass, field
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablecrate.errors import CrateError
 from tablecrate.functions import seal
+from tablecrate.operators.selection import Selection
+from tablecrate.operators.selection import parse as parse_selection
 from tablecrate.sources.files import MetadataFiles
 
-FORMAT_VERSION = 2
+LAYOUT = 3
 FILE_NAME = "manifest.json"
+PAYLOADS = ("binary", "csv")
+
+
+class Place(NamedTuple):
+    schema: str
+    name: str
+
+
+@dataclass(frozen=True)
+class ObjectColumn:
+    name: str
+    type: str
+    required: bool = False
+    key: bool = False
+    default: str | None = None
+    comment: str | None = None
+    labels: list[str] = field(default_factory=list)
+
+
+@dataclass(frozen=True)
+class ViewDefinition:
+    text: str
+    namespace: str | None = None
+    settings: dict[str, str] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
 class ManifestObject:
+    """One object. With `view` the snapshot keeps its definition, else its rows."""
+
+    source: Place
+    target: Place
     kind: str
-    source_schema: str
-    source_name: str
-    target_schema: str
-    target_name: str
-    source_select: str
-    normalized_select: str
-    ddl_path: str
-    data_path: str
-    effective_columns: list[str]
-    column_projection: str
-    export_as: str = "table"
-    effective_column_types: list[str] = field(default_factory=list)
-    row_estimate: int | None = None
-    # What a later load needs beyond names and types.
-    not_null: list[str] = field(default_factory=list)
-    keys: list[str] = field(default_factory=list)
-    defaults: dict[str, str] = field(default_factory=dict)
-    comments: dict[str, str] = field(default_factory=dict)
-    labels: dict[str, list[str]] = field(default_factory=dict)
-    comment: str | None = None
-    view_text: str | None = None
-    view_settings: dict[str, str] = field(default_factory=dict)
-    view_namespace: str | None = None
-    order_by: str | None = None
-    row_count: int | None = None
+    select: str
+    columns: list[ObjectColumn]
+    ddl: str
+    payload: str
+    estimate: int | None = None
+    rows: int | None = None
     checksum: str | None = None
+    comment: str | None = None
+    view: ViewDefinition | None = None
 
     @property
     def has_data(self) -> bool:
-        return self.export_as == "table"
+        return self.view is None
+
+    @property
+    def export_as(self) -> str:
+        return "table" if self.has_data else "view"
 
     @property
-    def target(self) -> tuple[str, str]:
-        return self.target_schema, self.target_name
+    def selection(self) -> Selection:
+        return parse_selection(self.select)
+
+    @property
+    def column_names(self) -> list[str]:
+        return [column.name for column in self.columns]
+
+    @property
+    def required(self) -> list[str]:
+        return [column.name for column in self.columns if column.required]
+
+    @property
+    def keys(self) -> list[str]:
+        return [column.name for column in self.columns if column.key]
+
+
+@dataclass(frozen=True)
+class Inputs:
+    """The source files as they were pinned before the first read."""
+
+    files: int
+    bytes: int
+    fingerprint: str
 
 
 @dataclass(frozen=True)
 class Manifest:
-    created_at: str
-    source_version_num: int
-    data_format: str
-    consistent_snapshot: bool
+    written: str
+    engine: int
+    session: str
+    payload_format: str
+    consistent: bool
     objects: list[ManifestObject]
-    source_fingerprint: str | None = None
-    format_version: int = FORMAT_VERSION
-    # The source files as they were pinned before the first read.
-    input_files: int | None = None
-    input_bytes: int | None = None
-    input_fingerprint: str | None = None
+    inputs: Inputs | None = None
+    layout: int = LAYOUT
 
 
 def parse(text: str, origin: str) -> Manifest:
     try:
         raw = json.loads(text)
-        known = {f.name for f in fields(ManifestObject)}
-        objects = [
-            ManifestObject(**{k: v for k, v in item.items() if k in known})
-            for item in raw["objects"]
-        ]
-        manifest = Manifest(
-            **{f.name: raw[f.name] for f in fields(Manifest) if f.name in raw and f.name != "objects"},
-            objects=objects,
-        )
+        if raw["layout"] != LAYOUT:
+            raise CrateError(f"{origin} has layout {raw['layout']}; this version reads layout {LAYOUT}")
+        manifest = _known(Manifest, raw, objects=[_object(item) for item in raw["objects"]],
+                          inputs=_known(Inputs, raw["inputs"]) if raw.get("inputs") else None)
     except (ValueError, KeyError, TypeError, AttributeError) as error:
         raise CrateError(f"{origin} is not a manifest: {error}") from error
-    _check(manifest, "format_version" in raw)
+    _require_sound(manifest, origin)
     return manifest
 
 
-def _check(manifest: Manifest, versioned: bool) -> None:
+def _known(kind: type, raw: dict, **made: object):
+    """What `kind` knows of `raw`; later versions may have added to it."""
+    return kind(**{k: v for k, v in raw.items() if k in kind.__dataclass_fields__} | made)
+
+
+def _object(raw: dict) -> ManifestObject:
+    return _known(
+        ManifestObject,
+        raw,
+        source=Place(*raw["source"]),
+        target=Place(*raw["target"]),
+        columns=[_known(ObjectColumn, column) for column in raw["columns"]],
+        view=_known(ViewDefinition, raw["view"]) if raw.get("view") else None,
+    )
+
+
+def _problems(manifest: Manifest) -> Iterator[str]:
+    if manifest.payload_format not in PAYLOADS:
+        yield f"its payload is {manifest.payload_format!r}, not one of {PAYLOADS}"
     if not manifest.objects:
-        raise CrateError("manifest: objects must not be empty")
-    if not versioned or manifest.format_version != FORMAT_VERSION:
-        raise CrateError(f"manifest: format_version must be {FORMAT_VERSION}")
-    if manifest.data_format not in ("binary", "csv"):
-        raise CrateError(f"manifest: unknown data_format {manifest.data_format!r}")
-    seen = set()
-    for index, item in enumerate(manifest.objects):
-        label = f"manifest: objects[{index}] ({item.target_schema}.{item.target_name})"
-        if not item.effective_columns:
-            raise CrateError(f"{label} has no effective_columns")
-        types = item.effective_column_types
-        if types and len(types) != len(item.effective_columns):
-            raise CrateError(f"{label} has {len(types)} types for {len(item.effective_columns)} columns")
-        if item.target in seen:
-            raise CrateError(f"{label} is a duplicate target")
-        seen.add(item.target)
+        yield "it lists nothing"
+    targets = [item.target for item in manifest.objects]
+    for target in sorted({t for t in targets if targets.count(t) > 1}):
+        yield f"several objects go to {'.'.join(target)}"
+    for item in manifest.objects:
+        names = item.column_names
+        if not names or len({*names}) < len(names):
+            yield f"{'.'.join(item.target)} has no columns, or one of them twice"
+
+
+def _require_sound(manifest: Manifest, origin: str) -> None:
+    if found := list(_problems(manifest)):
+        raise CrateError(f"{origin} is not sound: {'; '.join(found)}")
 
 
 @dataclass(frozen=True)
@@ -130,7 +181,7 @@ def is_encrypted(spark: SparkSession, snapshot: str) -> bool:
 def run_folder(spark: SparkSession, snapshot: str) -> str:
     """The folder the published files are in; also known for encrypted snapshots."""
     envelope = _envelope(spark, snapshot)
-    return envelope.get("run") or envelope["objects"][0]["ddl_path"].split("/")[0]
+    return envelope.get("run") or envelope["objects"][0]["ddl"].split("/")[0]
 
 
 def _envelope(spark: SparkSession, snapshot: str) -> dict:
@@ -160,12 +211,12 @@ def publish(
     spark: SparkSession, snapshot: str, manifest: Manifest, key: bytes | None, salt: bytes | None
 ) -> None:
     """The last step of an export, and the one that makes it visible."""
-    _check(manifest, True)
+    _require_sound(manifest, snapshot)
     content = asdict(manifest)
     if key is not None:
         content = {
             "encrypted": True,
-            "run": manifest.objects[0].ddl_path.split("/")[0],
+            "run": manifest.objects[0].ddl.split("/")[0],
             "kdf": "scrypt",
             "salt": base64.b64encode(salt).decode(),
             "manifest": seal.seal_text(spark, json.dumps(content), key),
@@ -174,36 +225,38 @@ def publish(
 
 
 _SCAN_SCHEMA = """
-    format_version int, created_at string, source_fingerprint string, source_version_num int,
-    data_format string, consistent_snapshot boolean, input_files bigint, input_bytes bigint,
+    layout int, written string, engine int, session string, payload_format string,
+    consistent boolean, inputs struct<files: bigint, bytes: bigint>,
     objects array<struct<
-        kind: string, export_as: string, source_schema: string, source_name: string,
-        target_schema: string, target_name: string, source_select: string,
-        normalized_select: string, ddl_path: string, data_path: string,
-        effective_columns: array<string>, effective_column_types: array<string>,
-        column_projection: string, row_estimate: bigint, row_count: bigint, checksum: string,
-        order_by: string>>
+        source: array<string>, target: array<string>, kind: string, select: string,
+        columns: array<struct<name: string, type: string, required: boolean, key: boolean>>,
+        ddl: string, payload: string, estimate: bigint, rows: bigint, checksum: string,
+        view: struct<text: string>>>
 """
 
 
 def manifest_objects(spark: SparkSession, *snapshots: str) -> DataFrame:
     """One row per object of every (unencrypted) snapshot; folder names may be globs."""
-    return (
+    listed = (
         spark.read.schema(_SCAN_SCHEMA)
         .option("multiLine", True)
         .option("mode", "FAILFAST")
         .json([manifest_path(snapshot) for snapshot in snapshots])
-        .select(
-            F.col("_metadata.file_path").alias("manifest"),
-            "format_version",
-            "created_at",
-            "source_version_num",
-            "data_format",
-            "consistent_snapshot",
-            "input_files",
-            "input_bytes",
-            F.posexplode("objects").alias("position", "object"),
-        )
-        .select("*", "object.*")
-        .drop("object")
+        .withColumn("manifest", F.col("_metadata.file_path"))
+        .select("*", F.posexplode("objects").alias("position", "object"))
     )
+    select = F.col("object.select")
+    return listed.select(
+        "manifest", "layout", "written", "engine", "payload_format", "consistent", "inputs", "position",
+        F.col("object.source")[0].alias("source_schema"),
+        F.col("object.source")[1].alias("relation"),
+        F.array_join("object.target", ".").alias("target"),
+        "object.kind",
+        F.when(F.col("object.view").isNull(), "table").otherwise("view").alias("export_as"),
+        select.alias("selection"),
+        F.when(select.rlike(r"(?is)^\s*select\s*\*\s*except"), "except_list")
+        .when(select.rlike(r"(?is)^\s*select\s*\*"), "*")
+        .otherwise("columns_list")
+        .alias("projection"),
+        "object.columns", "object.ddl", "object.payload", "object.estimate", "object.rows", "object.checksum",
+    )

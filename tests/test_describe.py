@@ -17,89 +17,89 @@ from tablecrate.sources import relations
 def src(spark, schema):
     create(spark, schema)
     spark.sql(
-        f"CREATE TABLE {schema}.details (id INT, item_id BIGINT, status STRING) USING parquet"
-        f" TBLPROPERTIES ('{relations.LABELS_PROPERTY}' = '{{\"status\": [\"new\", \"quote`\"]}}')"
+        f"CREATE TABLE {schema}.bottles (id INT, dive_id BIGINT, gas STRING) USING parquet"
+        f" TBLPROPERTIES ('{relations.LABELS_PROPERTY}' = '{{\"gas\": [\"air\", \"mix`\"]}}')"
     )
-    spark.sql(f"INSERT INTO {schema}.details SELECT id, 7, 'new' FROM range(12)")
+    spark.sql(f"INSERT INTO {schema}.bottles SELECT id, 4, 'air' FROM range(9)")
     return schema
 
 
 def _config(src, *names):
     objects = "".join(f"[[objects]]\nselect = 'select * from {src}.{name}'\n" for name in names)
     return loads(
-        objects + f"[[constraints]]\nrelation = '{src}.details'\nname = 'z_fk'\nkind = 'foreign_key'\n"
-        f"columns = ['item_id']\nreferences = '{src}.items'\nreferenced_columns = ['id']\n"
-        f"[[constraints]]\nrelation = '{src}.details'\nname = 'a_check'\nkind = 'check'\nexpression = 'id >= 0'\n"
-        f"[[constraints]]\nrelation = '{src}.details'\nname = 'pk'\nkind = 'primary_key'\ncolumns = ['id']\n"
+        objects + f"[[constraints]]\nrelation = '{src}.bottles'\nname = 'z_fk'\nkind = 'foreign_key'\n"
+        f"columns = ['dive_id']\nreferences = '{src}.dives'\nreferenced_columns = ['id']\n"
+        f"[[constraints]]\nrelation = '{src}.bottles'\nname = 'a_check'\nkind = 'check'\nexpression = 'id >= 0'\n"
+        f"[[constraints]]\nrelation = '{src}.bottles'\nname = 'pk'\nkind = 'primary_key'\ncolumns = ['id']\n"
     )
 
 
 def test_markdown(spark, src):
-    text = render(describe(spark, _config(src, "items", "details", "outer_v")), "markdown")
-    assert f"| `{src}.items` | table | 8 |" in text
-    assert f"## `{src}.items`\n\n````text\nUntrusted\n```\ncomment\n````" in text
-    assert "| `label` | string | default `'fresh'` |  | `Customer's label` |" in text
-    assert "| `n` | int | not null, default `0` |" in text
-    assert "| `status` | string |  | `new` `` quote` `` |" in text
+    text = render(describe(spark, _config(src, "dives", "bottles", "picks")), "markdown")
+    assert f"| `{src}.dives` | table | 8 |" in text
+    assert f"## `{src}.dives`\n\n````text\nLogged by hand:\n```\nsee the slate\n````" in text
+    assert "| `site` | string | default `'unnamed'` |  | `Diver's own name` |" in text
+    assert "| `depth` | int | not null, default `5` |" in text
+    assert "| `gas` | string |  | `air` `` mix` `` |" in text
     constraints = [line for line in text.splitlines() if line.startswith("- ")]
     assert [line.split()[1] for line in constraints] == ["`pk`", "`z_fk`", "`a_check`"]
-    assert "```sql\nSELECT id, label" in text
+    assert "```sql\nSELECT id, upper(title)" in text
     assert "\n> " not in text and not text.endswith("\n\n")
-    assert text == render(describe(spark, _config(src, "items", "details", "outer_v")), "markdown")
+    assert text == render(describe(spark, _config(src, "dives", "bottles", "picks")), "markdown")
 
 
 def test_warning_and_hidden_comments(spark, src):
-    description = describe(spark, _config(src, "details"), include_comments=False)
+    description = describe(spark, _config(src, "bottles"), include_comments=False)
     assert description.warnings == [
-        f"Foreign key z_fk on {src}.details references {src}.items, which is not selected"
+        f"Foreign key z_fk on {src}.bottles references {src}.dives, which is not selected"
     ]
     assert "\n> Foreign key z_fk" in render(description, "markdown")
     assert "-- ! Foreign key z_fk" in render(description, "sql")
-    quiet = describe(spark, _config(src, "items"), include_comments=False)
+    quiet = describe(spark, _config(src, "dives"), include_comments=False)
     for output_format in ("markdown", "sql", "json"):
-        assert "Customer" not in render(quiet, output_format)
+        assert "Diver" not in render(quiet, output_format)
 
 
 def test_sql(spark, src):
-    text = render(describe(spark, _config(src, "items", "details"), statistics=2, source="compute"), "sql")
-    assert f"COMMENT ON COLUMN \"{src}\".\"items\".\"label\" IS 'Customer''s label';" in text
-    assert "-- about 12 rows" in text
+    text = render(describe(spark, _config(src, "dives", "bottles"), statistics=2, source="compute"), "sql")
+    assert f"COMMENT ON COLUMN \"{src}\".\"dives\".\"site\" IS 'Diver''s own name';" in text
+    assert "-- about 9 rows" in text
     assert (
-        "-- status: one of 'new', 'quote`'; null 0.00%; distinct ~1.00; width 3 bytes; 'new' 100.00%" in text
+        "-- gas: one of 'air', 'mix`'; null 0.00%; distinct ~1.00; width 3 bytes; 'air' 100.00%" in text
     )
 
 
 def test_computed_statistics(spark, src):
-    description = describe(spark, _config(src, "details", "items"), statistics=2, source="compute", exact=True)
+    description = describe(spark, _config(src, "bottles", "dives"), statistics=2, source="compute", exact=True)
     tree = json.loads(render(description, "json"))
-    details, items = tree["relations"]
-    status = next(c for c in details["columns"] if c["name"] == "status")
-    assert status["statistics"] == {
+    bottles, dives = tree["relations"]
+    gas = next(c for c in bottles["columns"] if c["name"] == "gas")
+    assert gas["statistics"] == {
         "null_fraction": 0.0, "estimated_distinct": 1.0, "average_width_bytes": 3,
-        "most_common_values": [{"value": "new", "frequency": 1.0}],
+        "most_common_values": [{"value": "air", "frequency": 1.0}],
     }
-    ids = next(c for c in details["columns"] if c["name"] == "id")
+    ids = next(c for c in bottles["columns"] if c["name"] == "id")
     assert [v["value"] for v in ids["statistics"]["most_common_values"]] == ["0", "1"]
-    payload = next(c for c in items["columns"] if c["name"] == "payload")
-    assert "most_common_values" not in payload["statistics"]
-    assert details["row_estimate"] == 12 and details["statistics_status"] == "available"
+    photo = next(c for c in dives["columns"] if c["name"] == "photo")
+    assert "most_common_values" not in photo["statistics"]
+    assert bottles["row_estimate"] == 9 and bottles["statistics_status"] == "available"
 
 
 def test_catalog_statistics_touch_no_rows(spark, src):
-    config = _config(src, "details", "outer_v")
+    config = _config(src, "bottles", "picks")
     before = describe(spark, config, statistics="basic")
     assert [item.statistics_status for item in before.relations] == ["unavailable", "unavailable"]
     assert "No statistics" in render(before, "markdown")
-    spark.sql(f"ANALYZE TABLE {src}.details COMPUTE STATISTICS FOR ALL COLUMNS")
-    details, view = describe(spark, config, statistics="basic").relations
-    assert details.statistics["status"].estimated_distinct == 1.0
-    assert details.row_estimate == 12 and details.statistics["status"].most_common_values == []
+    spark.sql(f"ANALYZE TABLE {src}.bottles COMPUTE STATISTICS FOR ALL COLUMNS")
+    bottles, view = describe(spark, config, statistics="basic").relations
+    assert bottles.statistics["gas"].estimated_distinct == 1.0
+    assert bottles.row_estimate == 9 and bottles.statistics["gas"].most_common_values == []
     assert view.statistics_status == "unavailable"
     assert "statistics" not in render(describe(spark, config), "json")
 
 
 def test_bad_requests(spark, src):
-    config = _config(src, "details")
+    config = _config(src, "bottles")
     for statistics in (0, -1, "many", True):
         with pytest.raises(CrateError):
             describe(spark, config, statistics=statistics)
@@ -120,30 +120,30 @@ def test_command_line(base_spark, spark, src, tmp_path, monkeypatch):
     monkeypatch.delenv("PASSWORD", raising=False)
     file, out = tmp_path / "job.toml", tmp_path / "snap"
     file.write_text(
-        f"[[objects]]\nselect = 'select * from {src}.items order by id'\ntarget_schema = '{src}'\n"
-        "target_name = 'items_copy'\n"
+        f"[[objects]]\nselect = 'select * from {src}.dives order by id'\ntarget_schema = '{src}'\n"
+        "target_name = 'dives_copy'\n"
     )
     common = ["--config", str(file)]
     plan = run(["--dry-run", "export", *common, "--out", str(out)], base_spark)
-    assert json.loads(plan)["target_name"] == "items_copy" and not out.exists()
+    assert json.loads(plan)["target_name"] == "dives_copy" and not out.exists()
     with warnings.catch_warnings():
         warnings.simplefilter("error")
         said = run(["export", *common, "--out", str(out), "--attempts", "1", "--password", "p"], base_spark)
-    assert said.startswith("exported 1 objects, 2 rows")
+    assert said.startswith("exported 1 objects, 3 rows")
     with pytest.raises(CrateError):
         run(["info", "--in", str(out)], base_spark)
     with pytest.raises(CrateError, match="empty"):
         run(["info", "--in", str(out), "--password", ""], base_spark)
     monkeypatch.setenv("PASSWORD", "p")
-    assert "items_copy" in run(["info", "--in", str(out), "--objects"], base_spark)
-    assert "items_copy" in run(["--dry-run", "import", "--in", str(out)], base_spark)
-    assert not spark.catalog.tableExists(f"{src}.items_copy")
-    assert json.loads(run(["import", "--in", str(out)], base_spark))["rows"] == 2
-    assert spark.table(f"{src}.items_copy").count() == 2
+    assert "dives_copy" in run(["info", "--in", str(out), "--objects"], base_spark)
+    assert "dives_copy" in run(["--dry-run", "import", "--in", str(out)], base_spark)
+    assert not spark.catalog.tableExists(f"{src}.dives_copy")
+    assert json.loads(run(["import", "--in", str(out)], base_spark))["rows"] == 3
+    assert spark.table(f"{src}.dives_copy").count() == 3
     report = tmp_path / "deep" / "schema.json"
     assert run(["describe", *common, "--format", "json", "--out", str(report)], base_spark) == ""
-    assert json.loads(report.read_text())["relations"][0]["name"] == "items"
+    assert json.loads(report.read_text())["relations"][0]["name"] == "dives"
     assert os.listdir(report.parent) == ["schema.json"]
-    assert run(["--dry-run", "describe", *common], base_spark) == f"{src}.items\n"
+    assert run(["--dry-run", "describe", *common], base_spark) == f"{src}.dives\n"
     with pytest.raises(CrateError):
         run(["describe", *common, "--statistics=0"], base_spark)

@@ -4,7 +4,7 @@ from pathlib import Path
 
 import pytest
 
-from fixture_tables import ITEMS_SCHEMA, config, create
+from fixture_tables import DIVES_SCHEMA, config, create
 from tablecrate import CrateError, export_snapshot, load_snapshot, loads, open_snapshot
 from tablecrate.config import JobConfig, ObjectConfig, select_objects
 from tablecrate.operators.keys import assign_keys
@@ -34,46 +34,46 @@ def test_replace_append_and_schema_only(spark, src, target, tmp_path, data_forma
 
     loaded = load_snapshot(spark, out, warehouse=warehouse, workers=3)
     assert {row["name"]: row["rows"] for row in loaded.collect()} == {
-        "items": 2, "filtered": 1, "excluded": 2, "empty": 0,
+        "dives": 3, "deepest": 1, "plain": 3, "spares": 0,
     }
-    items = spark.table(f"{target}.items")
-    assert reconcile(spark.table(f"{src}.items"), items).count() == 0
-    assert next_values(spark, target, "items") == {"id": 13, "identity_id": 201}
-    assert next_values(spark, target, "empty") == {"id": 1}
-    assert next_values(spark, target, "filtered") == {"id": 13}
-    defaults = {c.name: c.default for c in relations.get(spark, target, "items").columns}
-    assert defaults["label"] == "'fresh'" and defaults["n"] == "0"
+    dives = spark.table(f"{target}.dives")
+    assert reconcile(spark.table(f"{src}.dives"), dives).count() == 0
+    assert next_values(spark, target, "dives") == {"id": 32, "tag": 611}
+    assert next_values(spark, target, "spares") == {"id": 1}
+    assert next_values(spark, target, "deepest") == {"id": 10}
+    defaults = {c.name: c.default for c in relations.get(spark, target, "dives").columns}
+    assert defaults["site"] == "'unnamed'" and defaults["depth"] == "5"
 
     load_snapshot(spark, out, mode="append", warehouse=warehouse)
-    assert spark.table(f"{target}.items").count() == 4
-    assert next_values(spark, target, "items") == {"id": 13, "identity_id": 201}
+    assert spark.table(f"{target}.dives").count() == 6
+    assert next_values(spark, target, "dives") == {"id": 32, "tag": 611}
 
     load_snapshot(spark, out, warehouse=warehouse)
-    assert spark.table(f"{target}.items").count() == 2
+    assert spark.table(f"{target}.dives").count() == 3
     load_snapshot(spark, out, mode="append", schema_only=True, warehouse=warehouse)
-    assert spark.table(f"{target}.items").count() == 2
+    assert spark.table(f"{target}.dives").count() == 3
     load_snapshot(spark, out, schema_only=True, warehouse=warehouse)
-    assert [spark.table(f"{target}.{name}").count() for name in ("items", "filtered")] == [0, 0]
-    assert next_values(spark, target, "items") == {"id": 1, "identity_id": 1}
+    assert [spark.table(f"{target}.{name}").count() for name in ("dives", "deepest")] == [0, 0]
+    assert next_values(spark, target, "dives") == {"id": 1, "tag": 1}
 
 
 def test_keys_continue_after_a_load(spark, src, target, tmp_path):
     out = str(tmp_path / "snap")
     export_snapshot(spark, config(src, target), out)
     load_snapshot(spark, out, warehouse=str(tmp_path / "wh"))
-    start = next_values(spark, target, "items")["id"]
-    new = spark.createDataFrame([("b",), ("a",), ("c",)], "label string")
-    keyed = assign_keys(new, "id", start, [new["label"].asc()])
-    assert sorted(map(tuple, keyed.collect())) == [(13, "a"), (14, "b"), (15, "c")]
+    start = next_values(spark, target, "dives")["id"]
+    new = spark.createDataFrame([("b",), ("a",), ("c",)], "site string")
+    keyed = assign_keys(new, "id", start, [new["site"].asc()])
+    assert sorted(map(tuple, keyed.collect())) == [(32, "a"), (33, "b"), (34, "c")]
 
 
 def test_append_sees_rows_written_in_between(spark, src, target, tmp_path):
     out, warehouse = str(tmp_path / "snap"), str(tmp_path / "wh")
     export_snapshot(spark, config(src, target), out)
     load_snapshot(spark, out, warehouse=warehouse)
-    spark.sql(f"INSERT INTO {target}.items (id, identity_id) VALUES (90, 1)")
+    spark.sql(f"INSERT INTO {target}.dives (id, tag) VALUES (90, 1)")
     load_snapshot(spark, out, mode="append", warehouse=warehouse)
-    assert next_values(spark, target, "items") == {"id": 91, "identity_id": 201}
+    assert next_values(spark, target, "dives") == {"id": 91, "tag": 611}
 
 
 def test_damaged_payload_leaves_the_old_table(spark, src, target, tmp_path):
@@ -81,36 +81,36 @@ def test_damaged_payload_leaves_the_old_table(spark, src, target, tmp_path):
     for data_format in ("binary", "csv"):
         export_snapshot(spark, config(src, target, data_format=data_format), out)
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {target} LOCATION '{warehouse}/{target}'")
-        spark.sql(f"DROP TABLE IF EXISTS {target}.items")
+        spark.sql(f"DROP TABLE IF EXISTS {target}.dives")
         spark.sql(
-            f"CREATE TABLE {target}.items (marker STRING) USING parquet"
+            f"CREATE TABLE {target}.dives (marker STRING) USING parquet"
             f" LOCATION '{warehouse}/kept_{data_format}'"
         )
-        spark.sql(f"INSERT INTO {target}.items VALUES ('preserved')")
+        spark.sql(f"INSERT INTO {target}.dives VALUES ('preserved')")
         item = open_snapshot(spark, out).manifest.objects[0]
-        for file in Path(out, item.data_path).glob("part-*"):
+        for file in Path(out, item.payload).glob("part-*"):
             file.write_bytes(b"invalid payload\n")
             file.with_name(f".{file.name}.crc").unlink(missing_ok=True)
         with pytest.raises(Exception):
             load_snapshot(spark, out, warehouse=warehouse)
-        assert not list(Path(warehouse, target).glob("items/*/*"))
-        assert [row["marker"] for row in spark.table(f"{target}.items").collect()] == ["preserved"]
+        assert not list(Path(warehouse, target).glob("dives/*/*"))
+        assert [row["marker"] for row in spark.table(f"{target}.dives").collect()] == ["preserved"]
 
 
 def test_missing_rows_are_noticed(spark, src, target, tmp_path):
     spark.range(0, 100, 1, 4).write.saveAsTable(f"{src}.many")
     out = _one(spark, str(tmp_path / "snap"), f"select * from {src}.many", target, "many")
     item = open_snapshot(spark, out).manifest.objects[0]
-    lost = sorted(Path(out, item.data_path).glob("part-*"))[0]
+    lost = sorted(Path(out, item.payload).glob("part-*"))[0]
     other = spark.range(0, 25).coalesce(1)  # as many rows, but other values
     other.write.parquet(str(tmp_path / "other"))
     lost.write_bytes(next((tmp_path / "other").glob("part-*")).read_bytes())
     lost.with_name(f".{lost.name}.crc").unlink(missing_ok=True)
-    swapped = spark.read.parquet(f"{out}/{item.data_path}").count()
+    swapped = spark.read.parquet(f"{out}/{item.payload}").count()
     message = "checksum" if swapped == 100 else "row count"
     for mode in ("replace", "append"):
         if swapped == 100 and reconcile(
-            spark.table(f"{src}.many"), spark.read.parquet(f"{out}/{item.data_path}")
+            spark.table(f"{src}.many"), spark.read.parquet(f"{out}/{item.payload}")
         ).count() == 0:
             lost.unlink()
             message = "row count"
@@ -120,29 +120,29 @@ def test_missing_rows_are_noticed(spark, src, target, tmp_path):
 
 
 def test_incomplete_snapshot(spark, src, target, tmp_path):
-    out = _one(spark, str(tmp_path / "snap"), f"select * from {src}.items", target, "items")
+    out = _one(spark, str(tmp_path / "snap"), f"select * from {src}.dives", target, "dives")
     item = open_snapshot(spark, out).manifest.objects[0]
-    Path(out, item.data_path, "_SUCCESS").unlink()
+    Path(out, item.payload, "_SUCCESS").unlink()
     with pytest.raises(CrateError, match="not complete"):
         load_snapshot(spark, out, warehouse=str(tmp_path / "wh"))
     load_snapshot(spark, out, schema_only=True, warehouse=str(tmp_path / "wh"))
-    assert spark.table(f"{target}.items").count() == 0
+    assert spark.table(f"{target}.dives").count() == 0
 
 
 def test_views_come_after_their_tables(spark, src, tmp_path):
-    item = ObjectConfig(parse(f"select * from {src}.outer_v"), export_as="view")
+    item = ObjectConfig(parse(f"select * from {src}.picks"), export_as="view")
     out = str(tmp_path / "snap")
     manifest = export_snapshot(spark, JobConfig((item,)), out)
-    assert [o.source_name for o in manifest.objects] == ["base", "inner_v", "outer_v"]
-    before = spark.table(f"{src}.outer_v").collect()
-    for name, kind in (("outer_v", "VIEW"), ("inner_v", "VIEW"), ("base", "TABLE")):
+    assert [o.source.name for o in manifest.objects] == ["reefs", "shallow", "picks"]
+    before = spark.table(f"{src}.picks").collect()
+    for name, kind in (("picks", "VIEW"), ("shallow", "VIEW"), ("reefs", "TABLE")):
         spark.sql(f"DROP {kind} {src}.{name}")
     load_snapshot(spark, out)
-    assert spark.table(f"{src}.outer_v").collect() == before
-    assert relations.get(spark, src, "inner_v").kind == "table"
-    assert relations.get(spark, src, "outer_v").kind == "view"
+    assert spark.table(f"{src}.picks").collect() == before
+    assert relations.get(spark, src, "shallow").kind == "table"
+    assert relations.get(spark, src, "picks").kind == "view"
     load_snapshot(spark, out)  # replaces the view and the tables below it
-    assert spark.table(f"{src}.outer_v").collect() == before
+    assert spark.table(f"{src}.picks").collect() == before
     with pytest.raises(CrateError, match="append mode does not support the view"):
         load_snapshot(spark, out, mode="append")
 
@@ -161,22 +161,22 @@ def test_not_null(spark, src, target, tmp_path):
     out, warehouse = str(tmp_path / "snap"), str(tmp_path / "wh")
     export_snapshot(spark, config(src, target), out)
     load_snapshot(spark, out, warehouse=warehouse)
-    before = spark.table(f"{target}.items").count()
-    spark.createDataFrame([(None, 1, "x", 1, None, None, None, None)], ITEMS_SCHEMA).write.insertInto(
-        f"{src}.items"
+    before = spark.table(f"{target}.dives").count()
+    spark.createDataFrame([(None, 1, "x", 1, None, None, None, None)], DIVES_SCHEMA).write.insertInto(
+        f"{src}.dives"
     )
     export_snapshot(spark, config(src, target), out)
     for mode in ("replace", "append"):
         with pytest.raises(Exception, match="NULL in NOT NULL column id"):
             load_snapshot(spark, out, mode=mode, warehouse=warehouse)
-        assert spark.table(f"{target}.items").count() == before
-    found = not_null_violations(spark.table(f"{src}.items"), ["id", "n"]).collect()
-    assert [tuple(row) for row in found] == [("id", 1), ("n", 0)]
+        assert spark.table(f"{target}.dives").count() == before
+    found = not_null_violations(spark.table(f"{src}.dives"), ["id", "depth"]).collect()
+    assert [tuple(row) for row in found] == [("id", 1), ("depth", 0)]
 
 
 def test_append_checks(spark, src, target, tmp_path):
     out, warehouse = str(tmp_path / "snap"), str(tmp_path / "wh")
-    _one(spark, out, f"select id, label from {src}.items", target, "t")
+    _one(spark, out, f"select id, site from {src}.dives", target, "t")
     spark.sql(f"CREATE SCHEMA {target} LOCATION '{warehouse}/{target}'")
 
     def recreate(columns):
@@ -184,16 +184,16 @@ def test_append_checks(spark, src, target, tmp_path):
         spark.sql(f"CREATE TABLE {target}.t ({columns}) USING parquet")
 
     for columns, message in (
-        ("id BIGINT", "label is missing"),
-        ("id INT, label STRING", "id is type differs"),
+        ("id BIGINT", "site is missing"),
+        ("id INT, site STRING", "id is type differs"),
     ):
         recreate(columns)
         with pytest.raises(CrateError, match=message):
             load_snapshot(spark, out, mode="append", warehouse=warehouse)
         assert spark.table(f"{target}.t").count() == 0
-    recreate("extra STRING DEFAULT 'web', label STRING, id BIGINT, note INT")
+    recreate("extra STRING DEFAULT 'web', site STRING, id BIGINT, note INT")
     load_snapshot(spark, out, mode="append", warehouse=warehouse)
-    assert spark.table(f"{target}.t").where("id = 12").collect() == [("web", None, 12, None)]
+    assert spark.table(f"{target}.t").where("id = 31").collect() == [("web", None, 31, None)]
     declare_not_null(spark, target, "t", ["note"])
     with pytest.raises(CrateError, match="note would be NULL"):
         load_snapshot(spark, out, mode="append", warehouse=warehouse)
@@ -206,17 +206,17 @@ def test_append_checks(spark, src, target, tmp_path):
 
 
 def test_compatibility_without_recorded_types(spark, src):
-    report = compatibility(["id", "nope"], [], relations.get(spark, src, "items"))
+    report = compatibility(["id", "nope"], [], relations.get(spark, src, "dives"))
     assert report == [("id", None, "bigint", "ok"), ("nope", None, None, "missing")]
 
 
 def test_batch_is_loaded_once(spark, src, target, tmp_path):
     out, warehouse = str(tmp_path / "snap"), str(tmp_path / "wh")
-    _one(spark, out, f"select * from {src}.items", target, "items")
-    for batch, rows in (("b1", 2), ("b1", 2), ("b2", 4), ("b2", 4)):
+    _one(spark, out, f"select * from {src}.dives", target, "dives")
+    for batch, rows in (("b1", 3), ("b1", 3), ("b2", 6), ("b2", 6)):
         load_snapshot(spark, out, mode="append", warehouse=warehouse, batch_id=batch)
-        assert spark.table(f"{target}.items").count() == rows
-    spark.sql(f"ALTER TABLE {target}.items SET TBLPROPERTIES ('tablecrate.batch.b3' = 'started')")
+        assert spark.table(f"{target}.dives").count() == rows
+    spark.sql(f"ALTER TABLE {target}.dives SET TBLPROPERTIES ('tablecrate.batch.b3' = 'started')")
     with pytest.raises(CrateError, match="was interrupted"):
         load_snapshot(spark, out, mode="append", warehouse=warehouse, batch_id="b3")
 
@@ -227,14 +227,14 @@ def test_encrypted_load(spark, src, target, tmp_path):
     with pytest.raises(CrateError, match="password"):
         load_snapshot(spark, out, warehouse=str(tmp_path / "wh"))
     load_snapshot(spark, out, password="right", warehouse=str(tmp_path / "wh"))
-    assert reconcile(spark.table(f"{src}.items"), spark.table(f"{target}.items")).count() == 0
+    assert reconcile(spark.table(f"{src}.dives"), spark.table(f"{target}.dives")).count() == 0
 
 
 def test_version_check(spark, src, target, tmp_path, monkeypatch):
     out = str(tmp_path / "snap")
     for data_format, allowed in (("binary", False), ("csv", True)):
-        job = select_objects(f"select * from {src}.base", data_format=data_format)
-        item = ObjectConfig(job.objects[0].selection, target=(target, "base"))
+        job = select_objects(f"select * from {src}.reefs", data_format=data_format)
+        item = ObjectConfig(job.objects[0].selection, target=(target, "reefs"))
         monkeypatch.setattr("tablecrate.sinks.export.version_number", lambda _: 30_500)
         export_snapshot(spark, JobConfig((item,), job.general), out)
         monkeypatch.undo()
@@ -250,9 +250,9 @@ def test_failed_swap_restores_the_old_table(spark, src, target, tmp_path, monkey
     from tablecrate.sinks import load
 
     out, warehouse = str(tmp_path / "snap"), str(tmp_path / "wh")
-    _one(spark, out, f"select * from {src}.base", target, "base")
+    _one(spark, out, f"select * from {src}.reefs", target, "reefs")
     load_snapshot(spark, out, warehouse=warehouse)
-    spark.sql(f"INSERT INTO {target}.base VALUES (3, 'three')")
+    spark.sql(f"INSERT INTO {target}.reefs VALUES (8, 'Kelp', 12)")
     create_table = load._create_table
 
     def forgetful(session, schema, name, *rest):
@@ -262,18 +262,18 @@ def test_failed_swap_restores_the_old_table(spark, src, target, tmp_path, monkey
     monkeypatch.setattr(load, "_create_table", forgetful)
     with pytest.raises(Exception):
         load_snapshot(spark, out, warehouse=warehouse)
-    assert spark.table(f"{target}.base").count() == 3
+    assert spark.table(f"{target}.reefs").count() == 4
 
 
 def test_purge_keeps_the_current_version(spark, src, target, tmp_path):
     out, warehouse = str(tmp_path / "snap"), str(tmp_path / "wh")
-    _one(spark, out, f"select * from {src}.base", target, "base")
+    _one(spark, out, f"select * from {src}.reefs", target, "reefs")
     for _ in range(3):
         load_snapshot(spark, out, warehouse=warehouse)
-    assert len(purge_versions(spark, target, "base")) == 2
-    spark.catalog.refreshTable(f"{target}.base")
-    assert spark.table(f"{target}.base").count() == 2
-    assert purge_versions(spark, target, "base") == []
+    assert len(purge_versions(spark, target, "reefs")) == 2
+    spark.catalog.refreshTable(f"{target}.reefs")
+    assert spark.table(f"{target}.reefs").count() == 3
+    assert purge_versions(spark, target, "reefs") == []
 
 
 def test_all_modes_are_known(spark, tmp_path):
@@ -283,9 +283,9 @@ def test_all_modes_are_known(spark, tmp_path):
 
 def test_manifest_scan_over_many_snapshots(spark, src, tmp_path):
     for name in ("a", "b"):
-        _one(spark, str(tmp_path / "snaps" / name), f"select * from {src}.base", "x", name)
-    rows = manifests.manifest_objects(spark, f"{tmp_path}/snaps/*").orderBy("target_name").collect()
-    assert [(row["target_name"], row["row_count"]) for row in rows] == [("a", 2), ("b", 2)]
+        _one(spark, str(tmp_path / "snaps" / name), f"select * from {src}.reefs", "x", name)
+    rows = manifests.manifest_objects(spark, f"{tmp_path}/snaps/*").orderBy("target").collect()
+    assert [(row["target"], row["rows"]) for row in rows] == [("x.a", 3), ("x.b", 3)]
 
 
 def test_view_keeps_its_namespace_and_settings(spark, schema, tmp_path):

@@ -16,14 +16,14 @@ def src(spark, schema):
 
 def _objects(src, *entries):
     texts = {
-        "base": f"select = 'select * from {src}.base'",
-        "filtered": f"select = 'select * from {src}.base where id > 1'",
-        "renamed": f"select = 'select * from {src}.base'\ntarget_schema = 'x'\ntarget_name = 'y'",
-        "some": f"select = 'select id from {src}.base'",
-        "outer": f"select = 'select * from {src}.outer_v'\nexport_as = 'view'",
-        "inner": f"select = 'select * from {src}.inner_v'\nexport_as = 'view'",
-        "inner_table": f"select = 'select * from {src}.inner_v'",
-        "items_view": f"select = 'select * from {src}.items'\nexport_as = 'view'",
+        "reefs": f"select = 'select * from {src}.reefs'",
+        "deepest": f"select = 'select * from {src}.reefs where id > 1'",
+        "renamed": f"select = 'select * from {src}.reefs'\ntarget_schema = 'x'\ntarget_name = 'y'",
+        "some": f"select = 'select id from {src}.reefs'",
+        "outer": f"select = 'select * from {src}.picks'\nexport_as = 'view'",
+        "inner": f"select = 'select * from {src}.shallow'\nexport_as = 'view'",
+        "inner_table": f"select = 'select * from {src}.shallow'",
+        "items_view": f"select = 'select * from {src}.dives'\nexport_as = 'view'",
     }
     return loads("".join(f"[[objects]]\n{texts[entry]}\n" for entry in entries)).objects
 
@@ -34,30 +34,30 @@ def _names(planned):
 
 def test_nested_views(spark, src):
     planned = expand(spark, _objects(src, "outer"))
-    assert _names(planned) == ["base", "inner_v", "outer_v"]
+    assert _names(planned) == ["reefs", "shallow", "picks"]
     assert [item.export_as for item in planned] == ["table", "table", "view"]
 
 
 def test_compatible_entries_are_merged(spark, src):
-    assert _names(expand(spark, _objects(src, "base", "outer"))) == ["base", "inner_v", "outer_v"]
-    assert _names(expand(spark, _objects(src, "outer", "base"))) == ["base", "inner_v", "outer_v"]
-    assert _names(expand(spark, _objects(src, "outer", "inner_table"))) == ["base", "inner_v", "outer_v"]
+    assert _names(expand(spark, _objects(src, "reefs", "outer"))) == ["reefs", "shallow", "picks"]
+    assert _names(expand(spark, _objects(src, "outer", "reefs"))) == ["reefs", "shallow", "picks"]
+    assert _names(expand(spark, _objects(src, "outer", "inner_table"))) == ["reefs", "shallow", "picks"]
     for entries in (("outer", "renamed"), ("renamed", "outer")):
         planned = expand(spark, _objects(src, *entries))
-        assert sorted(_names(planned)) == ["base", "base", "inner_v", "outer_v"]
-        assert _names(planned)[:2] == ["base", "inner_v"]
+        assert sorted(_names(planned)) == ["picks", "reefs", "reefs", "shallow"]
+        assert _names(planned)[:2] == ["reefs", "shallow"]
 
 
 @pytest.mark.parametrize(
     ("entries", "message"),
     [
-        (("filtered", "outer"), "as a plain table"),
+        (("deepest", "outer"), "as a plain table"),
         (("some", "outer"), "as a plain table"),
         (("inner", "outer"), "as a plain table"),
-        (("outer", "filtered"), "as a plain table"),
+        (("outer", "deepest"), "as a plain table"),
         (("outer", "inner"), "as a plain table"),
-        (("base", "filtered", "outer"), "as a plain table"),
-        (("base", "filtered"), "two objects would be written"),
+        (("reefs", "deepest", "outer"), "as a plain table"),
+        (("reefs", "deepest"), "two objects would be written"),
         (("items_view",), "needs a view"),
     ],
 )
@@ -75,18 +75,18 @@ def test_missing_source(spark, src):
 def test_dry_run(spark, src):
     rows = describe_plan(spark, _objects(src, "outer")).orderBy("position").collect()
     assert [(row["source_name"], row["required_by"]) for row in rows] == [
-        ("base", 0), ("inner_v", 0), ("outer_v", None),
+        ("reefs", 0), ("shallow", 0), ("picks", None),
     ]
 
 
 def test_edges_see_subqueries_and_ctes(spark, src):
     spark.sql(
-        f"CREATE VIEW {src}.deep AS WITH items AS (SELECT id FROM {src}.inner_v)"
-        f" SELECT * FROM items WHERE id IN (SELECT id FROM {src}.empty)"
-        f" OR EXISTS (SELECT 1 FROM {src}.outer_v o WHERE o.id = items.id)"
+        f"CREATE VIEW {src}.deep AS WITH dives AS (SELECT id FROM {src}.shallow)"
+        f" SELECT * FROM dives WHERE id IN (SELECT id FROM {src}.spares)"
+        f" OR EXISTS (SELECT 1 FROM {src}.picks o WHERE o.id = dives.id)"
     )
     assert dependencies(spark, src, "deep") == [
-        (src, "base"), (src, "inner_v"), (src, "empty"), (src, "outer_v"),
+        (src, "reefs"), (src, "shallow"), (src, "picks"), (src, "spares"),
     ]
     spark.sql(f"CREATE VIEW {src}.constant AS SELECT 1 AS one")
     assert dependencies(spark, src, "constant") == []

@@ -8,7 +8,7 @@ from pathlib import Path
 
 import pytest
 
-from fixture_tables import ITEMS, config, create
+from fixture_tables import DIVES, config, create
 from tablecrate import CrateError, export_snapshot, manifest_objects, open_snapshot, read_object
 from tablecrate.config import General, JobConfig, ObjectConfig, select_objects
 from tablecrate.operators.reconcile import reconcile
@@ -60,7 +60,7 @@ def test_every_type_survives(spark, typed, tmp_path, data_format, password):
     out = str(tmp_path / "snap")
     job = select_objects(f"select * from {typed}.typed", data_format=data_format)
     manifest = export_snapshot(spark, job, out, password=password)
-    assert manifest.objects[0].row_count == len(ROWS)
+    assert manifest.objects[0].rows == len(ROWS)
     snapshot = open_snapshot(spark, out, password)
     back = read_object(spark, snapshot, snapshot.manifest.objects[0])
     source = spark.table(f"{typed}.typed")
@@ -75,23 +75,21 @@ def test_manifest_facts(spark, schema, tmp_path):
     out = str(tmp_path / "snap")
     export_snapshot(spark, config(schema, "dst"), out)
     manifest = open_snapshot(spark, out).manifest
-    by_name = {item.target_name: item for item in manifest.objects}
-    assert [item.row_count for item in manifest.objects] == [2, 1, 2, 0]
-    assert by_name["excluded"].effective_columns == [
-        "id", "identity_id", "label", "n", "amount", "happened", "active",
-    ]
-    assert by_name["filtered"].normalized_select == (
-        f'SELECT "id", "label" FROM "{schema}"."items" WHERE id > 7 ORDER BY id LIMIT 1'
+    by_name = {item.target.name: item for item in manifest.objects}
+    assert [item.rows for item in manifest.objects] == [3, 1, 3, 0]
+    assert by_name["plain"].column_names == ["id", "tag", "site", "depth", "cost", "started"]
+    assert by_name["deepest"].selection.canonical_sql(["id", "site"]) == (
+        f'SELECT "id", "site" FROM "{schema}"."dives" WHERE depth >= 10 ORDER BY depth desc LIMIT 1'
     )
-    assert by_name["items"].effective_column_types[5] == "decimal(10,2)"
-    assert by_name["items"].not_null == ["id", "identity_id", "n"]
-    assert by_name["items"].keys == ["id", "identity_id"]
-    assert by_name["filtered"].keys == ["id"]
-    assert by_name["items"].data_path.endswith(f"data/0001__{schema}.items")
-    assert manifest.consistent_snapshot and manifest.input_files > 0
+    assert by_name["dives"].columns[5].type == "decimal(8,3)"
+    assert by_name["dives"].required == ["id", "tag", "depth"]
+    assert by_name["dives"].keys == ["id", "tag"]
+    assert by_name["deepest"].keys == ["id"]
+    assert by_name["dives"].payload.endswith(f"data/0001__{schema}.dives")
+    assert manifest.consistent and manifest.inputs.files > 0
     rows = manifest_objects(spark, out).orderBy("position").collect()
-    assert [(row["target_name"], row["row_count"]) for row in rows] == [
-        ("items", 2), ("filtered", 1), ("excluded", 2), ("empty", 0),
+    assert [(row["target"], row["rows"]) for row in rows] == [
+        ("dst.dives", 3), ("dst.deepest", 1), ("dst.plain", 3), ("dst.spares", 0),
     ]
 
 
@@ -101,7 +99,7 @@ def test_workers_do_not_change_the_result(spark, schema, tmp_path):
     for workers in (1, 3):
         out = str(tmp_path / f"snap{workers}")
         manifest = export_snapshot(spark, config(schema, "dst", concurrency=workers), out)
-        found.append([(o.target, o.row_count, o.checksum, o.normalized_select) for o in manifest.objects])
+        found.append([(o.target, o.rows, o.checksum, o.select) for o in manifest.objects])
     assert found[0] == found[1]
 
 
@@ -112,9 +110,9 @@ def test_payload_keeps_the_order(spark, schema, tmp_path):
     export_snapshot(spark, job, out)
     snapshot = open_snapshot(spark, out)
     item = snapshot.manifest.objects[0]
-    assert item.order_by == "k desc, id"
+    assert item.selection.order_by == "k desc, id"
     expected = sorted(range(5_000), key=lambda i: (-(i % 10), i))
-    files = sorted(Path(f"{out}/{item.data_path}").glob("part-*"))
+    files = sorted(Path(f"{out}/{item.payload}").glob("part-*"))
     in_files = [row["id"] for f in files for row in spark.read.parquet(str(f)).collect()]
     assert in_files == expected
     ordered = read_object(spark, snapshot, item, ordered=True)
@@ -127,16 +125,16 @@ def test_encryption(spark, schema, tmp_path):
     export_snapshot(spark, config(schema, "dst"), out, password="right")
     assert manifests.is_encrypted(spark, out)
     text = Path(out, "manifest.json").read_text()
-    assert "items" not in text and "select" not in text
+    assert "dives" not in text and "select" not in text
     with pytest.raises(CrateError, match="a password is needed"):
         open_snapshot(spark, out)
     with pytest.raises(CrateError, match="wrong password"):
         open_snapshot(spark, out, "wrong")
     snapshot = open_snapshot(spark, out, "right")
-    item = find_object(snapshot, "items")
+    item = find_object(snapshot, "dives")
     assert "CREATE TABLE" in read_ddl(spark, snapshot, item)
-    assert "CREATE TABLE" not in Path(out, item.ddl_path).read_text()
-    assert spark.read.parquet(f"{out}/{item.data_path}").columns == ["sealed"]
+    assert "CREATE TABLE" not in Path(out, item.ddl).read_text()
+    assert spark.read.parquet(f"{out}/{item.payload}").columns == ["sealed"]
     assert json.loads(render_info(snapshot, "json"))["payload"]["sealed"] is True
 
 
@@ -145,8 +143,8 @@ def test_key_is_not_in_plans(spark, schema, tmp_path):
 
     create(spark, schema)
     key = bytes(range(32))
-    items = spark.table(f"{schema}.items")
-    plan = items.select(seal.seal_row(items, key))._jdf.queryExecution().toString()
+    dives = spark.table(f"{schema}.dives")
+    plan = dives.select(seal.seal_row(dives, key))._jdf.queryExecution().toString()
     assert key.hex().upper() not in plan.upper()
 
 
@@ -157,9 +155,9 @@ def test_info(spark, schema, tmp_path):
     snapshot = open_snapshot(spark, out)
     text = render_info(snapshot, "text", objects=True)
     assert text.startswith(f"{out}: 4 objects, ") and "\ncsv, layout " in text
-    line = next(line for line in text.splitlines() if line.startswith("dst.filtered"))
-    assert line.split()[:4] == ["dst.filtered", f"{schema}.items", "table", "2"]
-    assert "dst.filtered" not in render_info(snapshot, "text")
+    line = next(line for line in text.splitlines() if line.startswith("dst.deepest"))
+    assert line.split()[:4] == ["dst.deepest", f"{schema}.dives", "table", "2"]
+    assert "dst.deepest" not in render_info(snapshot, "text")
     parsed = json.loads(render_info(snapshot, "json", objects=True))
     assert len(parsed["objects"]) == 4
     assert "objects" not in json.loads(render_info(snapshot, "json"))
@@ -171,13 +169,13 @@ def test_failed_export_leaves_the_former_snapshot(spark, schema, tmp_path):
     export_snapshot(spark, config(schema, "dst"), out)
     before = Path(out, "manifest.json").read_text()
     bad = select_objects(
-        f"select * from {schema}.items", f"select * from {schema}.base where id / (id - 1) > 0", attempts=1
+        f"select * from {schema}.dives", f"select * from {schema}.reefs where id / (id - 1) > 0", attempts=1
     )
     with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
         export_snapshot(spark, bad, out)
     assert Path(out, "manifest.json").read_text() == before
     assert len([p for p in Path(out).iterdir() if p.is_dir()]) == 1
-    assert read_object(spark, open_snapshot(spark, out), open_snapshot(spark, out).manifest.objects[0]).count() == 2
+    assert read_object(spark, open_snapshot(spark, out), open_snapshot(spark, out).manifest.objects[0]).count() == 3
 
 
 def test_purge_keeps_the_published_run(spark, schema, tmp_path):
@@ -187,7 +185,7 @@ def test_purge_keeps_the_published_run(spark, schema, tmp_path):
         export_snapshot(spark, config(schema, "dst"), out, password=password)
     assert len(purge_runs(spark, out)) == 2
     snapshot = open_snapshot(spark, out, "p")
-    assert read_object(spark, snapshot, snapshot.manifest.objects[0]).count() == 2
+    assert read_object(spark, snapshot, snapshot.manifest.objects[0]).count() == 3
     assert purge_runs(spark, out) == []
 
 
@@ -204,7 +202,7 @@ def test_large_limits_leave_no_scratch(spark, schema, tmp_path):
         f"select * from {schema}.t limit 20000", f"select * from {schema}.v order by k, id limit 30000"
     )
     manifest = export_snapshot(spark, job, str(tmp_path / "snap"))
-    assert [item.row_count for item in manifest.objects] == [20_000, 30_000]
+    assert [item.rows for item in manifest.objects] == [20_000, 30_000]
     assert numbered() <= before
 
 
@@ -241,7 +239,7 @@ def test_changed_source_is_noticed(spark, schema, tmp_path, monkeypatch):
         export_snapshot(spark, job, str(tmp_path / "snap"))
     assert not (tmp_path / "snap" / "manifest.json").exists()
     loose = select_objects(f"select * from {schema}.t", consistent_snapshot=False)
-    assert not export_snapshot(spark, loose, str(tmp_path / "snap")).consistent_snapshot
+    assert not export_snapshot(spark, loose, str(tmp_path / "snap")).consistent
 
 
 def test_files_added_later_are_not_read(spark, schema, tmp_path, monkeypatch):
@@ -259,7 +257,7 @@ def test_files_added_later_are_not_read(spark, schema, tmp_path, monkeypatch):
     monkeypatch.setattr(export.payload, "write", adding_write)
     job = select_objects(f"select * from {schema}.t", f"select * from {schema}.v")
     manifest = export_snapshot(spark, job, str(tmp_path / "snap"))
-    assert [item.row_count for item in manifest.objects] == [10, 10]
+    assert [item.rows for item in manifest.objects] == [10, 10]
 
 
 def test_attempts(spark, schema, tmp_path, monkeypatch):
@@ -276,11 +274,11 @@ def test_attempts(spark, schema, tmp_path, monkeypatch):
 
     monkeypatch.setattr(export.payload, "write", flaky_write)
     job = JobConfig(
-        (ObjectConfig(parse(f"select * from {schema}.items")),), General(attempts=3, retry_delay_ms=0)
+        (ObjectConfig(parse(f"select * from {schema}.dives")),), General(attempts=3, retry_delay_ms=0)
     )
     with pytest.warns(UserWarning, match="attempt 2 failed: no space"):
         manifest = export_snapshot(spark, job, str(tmp_path / "snap"))
-    assert len(set(calls)) == 3 and manifest.objects[0].data_path in calls[2]
+    assert len(set(calls)) == 3 and manifest.objects[0].payload in calls[2]
     calls.clear()
     single = JobConfig(job.objects, General(attempts=1))
     with pytest.raises(OSError, match="no space"):
@@ -297,8 +295,8 @@ def test_attempt_timeout(spark, schema, tmp_path):
 
 def test_rows_are_the_fixture(spark, schema):
     create(spark, schema)
-    rows = [tuple(row) for row in spark.table(f"{schema}.items").orderBy("id").collect()]
-    assert rows == ITEMS
+    rows = [tuple(row) for row in spark.table(f"{schema}.dives").orderBy("id").collect()]
+    assert rows == sorted(DIVES)
 
 
 def test_pinned_paths_are_taken_literally(spark, schema, tmp_path):
@@ -310,11 +308,11 @@ def test_pinned_paths_are_taken_literally(spark, schema, tmp_path):
     spark.sql(f"MSCK REPAIR TABLE {schema}.parted")
     out = str(tmp_path / "snap")
     manifest = export_snapshot(spark, select_objects(f"select * from {schema}.parted"), out)
-    assert manifest.consistent_snapshot and manifest.input_files == len(values)
-    assert manifest.objects[0].row_count == len(values)
+    assert manifest.consistent and manifest.inputs.files == len(values)
+    assert manifest.objects[0].rows == len(values)
 
 
 def test_sources_without_files_are_not_called_consistent(spark, schema, tmp_path):
     spark.sql(f"CREATE VIEW {schema}.dice AS SELECT rand() AS r")
     manifest = export_snapshot(spark, select_objects(f"select * from {schema}.dice"), str(tmp_path / "s"))
-    assert not manifest.consistent_snapshot
+    assert not manifest.consistent
