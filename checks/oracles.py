@@ -43,7 +43,8 @@ def _selection(name: str) -> str:
     # DuckDB's own NULL order is not that of the selections, so it is spelled out.
     sql = sql.replace("order by o_totalprice desc, o_orderkey", "order by o_totalprice desc nulls first, o_orderkey")
     sql = sql.replace("order by o_totalprice, o_orderkey", "order by o_totalprice nulls last, o_orderkey")
-    return (_views("priced_orders") if "priced_orders" in sql else "") + sql
+    views = [name for name in ("priced_orders", "odd_customers") if name in sql]
+    return (_views(*views) if views else "") + sql
 
 
 def _profile_rows(name: str) -> list[str]:

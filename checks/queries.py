@@ -50,6 +50,12 @@ SELECTIONS = {
     " where l_orderkey in (select o_orderkey from @orders where o_totalprice > 400000)",
     "filter_not_exists": "select * from @customer where not exists"
     " (select 1 from @orders where o_custkey = c_custkey and o_totalprice > 300000)",
+    "filter_not_in_subquery": "select o_orderkey, o_custkey from @priced_orders where o_orderpriority is not null"
+    " and o_custkey not in (select c_custkey from @customer where c_acctbal > 0)"
+    " and o_totalprice not in (select o_totalprice from @orders where o_orderstatus = 'F')",
+    "filter_not_in_with_nulls": "select c_custkey, c_acctbal from @odd_customers where c_nationkey not in"
+    " (select n_nationkey from @nation where n_regionkey > 7) and c_custkey not in"
+    " (select o_custkey from @priced_orders where o_totalprice is null)",
     "order_limit_expr": "select p_partkey, p_name from @part order by length(p_name) desc, p_partkey limit 25",
     "topk_order_limit": "select * from @orders order by o_totalprice desc, o_orderkey limit 50",
     "topk_nulls_asc": "select o_orderkey, o_totalprice from @priced_orders"

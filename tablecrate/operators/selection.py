@@ -129,7 +129,7 @@ class Selection:
         """The selected rows of `source`, in the order asked for. Filter, sort and limit may
         use columns that are not selected."""
         outputs = self.effective_columns(source.columns)
-        kept = source.where(spark_text(self.where)) if self.where is not None else source
+        kept = source.where(spark_text(hashed_exclusions(self.where))) if self.where is not None else source
         if self.limit is not None:
             kept = settled(kept)
         keys = [item.sort_key(kept, outputs) for item in self.sort_items]
@@ -214,6 +214,40 @@ def spark_text(expression: str) -> str:
     )
 
 
+_EXCLUSION = re.compile(r"(?P<lead>\s*)(?P<value>[^()=<>!]*?)(?<!\w)not\s+in\s*(?P<list>\0+)\s*", _FLAGS)
+_QUERY = re.compile(r"\(\s*(?:select|with)(?!\w).*\)", _FLAGS)
+# Words that bind looser than NOT IN, or make it part of something else.
+_OTHER_WORDS = re.compile(r"(?<!\w)(?:or|not|between|like|rlike|is|case|when|then|else|end|exists)(?!\w)", _FLAGS)
+
+
+def hashed_exclusions(where: str) -> str:
+    """`where` with each condition `value NOT IN (SELECT ...)` in its three-valued meaning.
+
+    Spark runs NOT IN as a broadcast of the whole list, or as a nested loop. Here one aggregate
+    tells whether the list is empty or holds a NULL, and the rest is a lookup of equal values,
+    which Spark hashes or sorts. Only conditions joined by AND at the top are rewritten;
+    elsewhere the text stays.
+    """
+    masked = _mask(where)
+    cuts = [(0, 0), *(m.span() for m in re.finditer(r"(?<!\w)and(?!\w)", masked, _FLAGS)), (len(where), len(where))]
+    parts = []
+    for (_, start), (end, after) in zip(cuts, cuts[1:]):
+        found = _EXCLUSION.fullmatch(masked, start, end)
+        value, query = (where[slice(*found.span(g))] for g in ("value", "list")) if found else ("", "")
+        plain = value.strip() and not _OTHER_WORDS.search(found["value"]) and _QUERY.fullmatch(query)
+        parts.append((f" {_excluded(value.strip(), query)} " if plain else where[start:end]) + where[end:after])
+    return "".join(parts)
+
+
+def _excluded(value: str, query: str) -> str:
+    listed = f"{query} AS listed__(item__)"
+    return (
+        f"((SELECT count(*) FROM {listed}) = 0 OR (({value}) IS NOT NULL"
+        f" AND (SELECT count(*) = count(item__) FROM {listed})"
+        f" AND NOT EXISTS (SELECT 1 FROM {listed} WHERE item__ = ({value}))))"
+    )
+
+
 def _mask(text: str) -> str:
     """Blank out quoted text and parentheses, keeping every offset."""
 

@@ -202,3 +202,27 @@ def test_hot_sort_key_is_spread(spark, tmp_path, columns):
     sizes = [row["count"] for row in counted]
     assert sum(sizes) == 20_000
     assert max(sizes) < 12_000
+
+
+NOT_IN = [
+    ("k not in (select v from {s}.listed where v < 3)", [3, 4]),
+    ("k not in (select v from {s}.listed)", []),  # the list holds a NULL
+    ("k not in (select v from {s}.listed where v > 99)", [None, 1, 2, 3, 4]),  # an empty list
+    ("k > 0 and K Not  In (select v from {s}.listed where v = 1) and k < 4", [2, 3]),
+    ("k between 2 and 4 and k not in (with w as (select 3 as x) select x from w)", [2, 4]),
+    ("k + 1 not in (select v from {s}.listed where v = 2)", [2, 3, 4]),
+    ("k not in (1, 2)", [3, 4]),
+    ("k = 1 or k not in (select v from {s}.listed where v < 4)", [1, 3, 4]),
+    ("k not in (select v from {s}.listed where v < 3 and v = k)", [3, 4, None]),  # refers to the row
+    ("k is null and 'a and b not in (c)' not in (select 'x')", [None]),
+]
+
+
+@pytest.mark.parametrize(("where", "expected"), NOT_IN)
+def test_not_in(spark, schema, where, expected):
+    spark.createDataFrame([(k,) for k in (None, 1, 2, 3, 4)], "k int").write.saveAsTable(f"{schema}.t")
+    spark.createDataFrame([(v,) for v in (1, 2, None)], "v int").write.saveAsTable(f"{schema}.listed")
+    rows = parse(f"select k from {schema}.t where {where.format(s=schema)}").rows(spark.table(f"{schema}.t"))
+    assert sorted((r["k"] for r in rows.collect()), key=str) == sorted(expected, key=str)
+    if "or k" not in where and "v = k" not in where:
+        assert "NestedLoop" not in rows._jdf.queryExecution().executedPlan().toString()
