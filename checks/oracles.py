@@ -203,20 +203,35 @@ def _outside() -> str:
     )
 
 
-def _reconciled() -> str:
-    columns = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
-
+def _reconciled(columns: str, before: str, after: str) -> str:
     def missing(left: str, right: str, side: str) -> str:
         return (
             f"SELECT {columns}, '{side}' AS side, count(*) AS copies FROM"
             f" (SELECT * FROM {left} EXCEPT ALL SELECT * FROM {right}) GROUP BY ALL"
         )
 
+    return _views(after) + missing(before, after, "left") + " UNION ALL " + missing(after, before, "right")
+
+
+def _reconciled_nested() -> str:
+    def items(side: str, whole: str, label: str, where: str) -> list[str]:
+        return [
+            f"SELECT vec_id, '{side}' AS side, {place} AS position, '{name}' AS name, {part} AS part"
+            f" FROM embeddings WHERE {where}"
+            for place, (name, part) in enumerate((("whole", whole), ("label", label)))
+        ]
+
+    value = "CAST(label AS float)"
+    parts = [
+        *items("left", "embedding", f"[{value}]", "vec_id % 5 < 3"),
+        *items("right", "embedding", "NULL", "vec_id % 5 = 0"),
+        *items("right", "list_prepend(CAST(0 AS float), embedding)", f"[{value}]", "vec_id % 5 = 1"),
+        *items("right", f"list_append(embedding, {value})", "CAST([] AS float[])", "vec_id % 5 = 2"),
+        *items("right", "embedding", f"[{value}]", "vec_id % 50 = 3"),
+    ]
     return (
-        _views("changed_orders")
-        + missing("orders", "changed_orders", "left")
-        + " UNION ALL "
-        + missing("changed_orders", "orders", "right")
+        f"WITH items AS ({_union(parts)}) SELECT vec_id, side, CAST(1 AS bigint) AS copies, position, name,"
+        " CAST(len(part) AS integer) AS size, CAST(part[1] AS double) AS first_value FROM items"
     )
 
 
@@ -312,6 +327,14 @@ def all_oracles() -> dict[str, str]:
         """,
         "check_violations": _views("discounted_lines")
         + "SELECT * FROM discounted_lines WHERE NOT (l_discount <= 0.08)",
-        "reconcile_diff": _reconciled(),
+        "reconcile_diff": _reconciled(
+            "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority",
+            "orders", "changed_orders",
+        ),
+        "reconcile_scattered": _reconciled(
+            "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,"
+            " l_returnflag, l_linestatus, l_shipdate", "lineitem", "recounted_lines",
+        ),
+        "reconcile_nested": _reconciled_nested(),
     }
     return oracles

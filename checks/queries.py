@@ -579,3 +579,20 @@ def check_violations(tables: Tables) -> DataFrame:
 @_query
 def reconcile_diff(tables: Tables) -> DataFrame:
     return reconcile(tables.rows("orders"), tables.rows("changed_orders"))
+
+
+@_query
+def reconcile_scattered(tables: Tables) -> DataFrame:
+    """Changes all over a table: one row in twelve has another quantity."""
+    return reconcile(tables.rows("lineitem"), tables.rows("recounted_lines"))
+
+
+@_query
+def reconcile_nested(tables: Tables) -> DataFrame:
+    """Arrays inside structs inside an array, changed in one element or nulled."""
+    found = reconcile(tables.rows("nested_vectors"), tables.rows("changed_vectors"))
+    items = F.posexplode("items").alias("position", "item")
+    return found.select("vec_id", "side", "copies", items).select(
+        "vec_id", "side", "copies", "position", F.col("item.name").alias("name"),
+        F.size("item.part").alias("size"), F.get("item.part", F.lit(0)).cast("double").alias("first_value"),
+    )

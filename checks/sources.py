@@ -64,12 +64,38 @@ VIEWS = {
                o_orderdate, o_orderpriority
         FROM {orders} WHERE o_totalprice > 5000
         UNION ALL SELECT * FROM {orders} WHERE o_totalprice > 490000""",
+    "recounted_lines": """
+        SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
+               CASE WHEN (l_orderkey * 7 + l_linenumber) % 12 = 0 THEN l_quantity + 1
+                    ELSE l_quantity END AS l_quantity,
+               l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate
+        FROM {lineitem}""",
     "order_targets": """
         SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS decimal(12,2)) AS o_totalprice
         FROM {orders}""",
 }
 
 
+# Nested values have no SQL that both engines read; the oracle says the same in its own.
+NESTED_VIEWS = {
+    "nested_vectors": """
+        SELECT vec_id, array(named_struct('name', 'whole', 'part', embedding),
+                             named_struct('name', 'label', 'part', array(CAST(label AS float)))) AS items
+        FROM {embeddings}""",
+    "changed_vectors": """
+        SELECT vec_id, CASE vec_id % 5
+            WHEN 0 THEN array(named_struct('name', 'whole', 'part', embedding),
+                              named_struct('name', 'label', 'part', CAST(NULL AS array<float>)))
+            WHEN 1 THEN array(named_struct('name', 'whole', 'part', concat(array(CAST(0 AS float)), embedding)),
+                              items[1])
+            WHEN 2 THEN array(named_struct('name', 'whole', 'part', concat(embedding, items[1].part)),
+                              named_struct('name', 'label', 'part', CAST(array() AS array<float>)))
+            ELSE items END AS items
+        FROM {nested_vectors} JOIN {embeddings} USING (vec_id)
+        UNION ALL SELECT * FROM {nested_vectors} WHERE vec_id % 50 = 3""",
+}
+
+
 @dataclass(frozen=True)
 class Tables:
     spark: SparkSession
@@ -90,18 +116,18 @@ class Tables:
 
 
 def view_body(name: str, qualify: str) -> str:
-    names = {key: f"{qualify}{key}" for key in (*TABLES, *VIEWS)}
-    return VIEWS[name].format(**names)
+    names = {key: f"{qualify}{key}" for key in (*TABLES, *VIEWS, *NESTED_VIEWS)}
+    return (VIEWS | NESTED_VIEWS)[name].format(**names)
 
 
 def open_tables(spark: SparkSession, sf_dir: str) -> Tables:
     session = job_session(spark)
     sf_dir = sf_dir.rstrip("/")
     # A catalog that outlives the session must not serve older view bodies.
-    schema = f"sf_{zlib.crc32(repr((sf_dir, VIEWS)).encode()):08x}"
+    schema = f"sf_{zlib.crc32(repr((sf_dir, VIEWS, NESTED_VIEWS)).encode()):08x}"
     if not session.catalog.databaseExists(schema):
         files = {name: f"{sf_dir}/{name}.parquet" for name in TABLES}
         relations.register_files(session, schema, files, scratch_dir(session, schema))
-        for name in VIEWS:
+        for name in (*VIEWS, *NESTED_VIEWS):
             session.sql(f"CREATE VIEW {schema}.{name} AS {view_body(name, schema + '.')}")
     return Tables(session, schema, sf_dir)

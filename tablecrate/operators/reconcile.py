@@ -1,51 +1,101 @@
-"""Compare two tables as bags of rows."""
+"""Compare two tables as bags of rows.
+
+A row belongs to the bucket that the leading bits of its hash name. Buckets are compared by
+row count and hash sum, and only those that differ are split again, by `SPLIT_BITS` more
+bits, until they hold few rows. What is shuffled before the last step is one digest a bucket
+and task; the last step shuffles the rows of buckets that still differ, which are about the
+rows that differ themselves.
+"""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablecrate.errors import CrateError
 from tablecrate.functions.digest import comparable, hash_sum, holds_map, row_hash
 from tablecrate.functions.names import backtick
+from tablecrate.session import scratch_dir
+
+HASH_BITS = 64
+SPLIT_BITS = 8  # a differing bucket is split into 256; the first level has 256 times 256
+FEW_ROWS = 4  # a differing bucket holds two rows at least, unless one side lacks it whole
+
+
+@dataclass(frozen=True)
+class Differing:
+    """Buckets of `bits` bits whose digests differ, one row each (`__bucket`, `rows`)."""
 
-BUCKETS = 4_096  # a power of two
+    bits: int
+    buckets: DataFrame
+    count: int
+    rows: int  # of both sides, in these buckets
 
 
-def _bucket(row_hashes: Column) -> Column:
-    # A mask of a hash is never NULL. A modulo might be, and the optimizer would then push
+def _bucket(hashes: Column, bits: int) -> Column:
+    # A shifted hash is never NULL. A modulo might be, and the optimizer would then push
     # an "is not NULL" with the whole hash expression down and track it column by column.
-    return row_hashes.bitwiseAND(F.lit(BUCKETS - 1)).alias("__bucket")
+    return F.shiftrightunsigned(hashes, HASH_BITS - bits)
 
 
-def _hashed(df: DataFrame) -> DataFrame:
+def _hashed(df: DataFrame, bits: int) -> DataFrame:
     columns = [
         comparable(df, field.name).alias(field.name)
         if holds_map(field.dataType)
         else df[backtick(field.name)]
         for field in df.schema
     ]
-    return df.select(*columns, _bucket(row_hash(df)))
+    return df.select(*columns, _bucket(row_hash(df), bits).alias("__bucket"))
 
 
-def _digests(df: DataFrame, side: str) -> DataFrame:
-    return (
-        df.select(row_hash(df).alias("__hash"))
-        .groupBy(_bucket(F.col("__hash")))
-        .agg(
-            F.count(F.lit(1)).alias(f"{side}_rows"),
-            hash_sum(F.col("__hash")).alias(f"{side}_sum"),
-        )
+def _hashes(left: DataFrame, right: DataFrame) -> DataFrame:
+    return left.select(row_hash(left).alias("__hash"), F.lit(True).alias("__left")).unionAll(
+        right.select(row_hash(right).alias("__hash"), F.lit(False).alias("__left"))
     )
 
 
-def differing_buckets(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Hash buckets whose row count or hash sum differs: at most `BUCKETS` rows."""
-    joined = _digests(left, "left").join(_digests(right, "right"), "__bucket", "full_outer")
-    same = F.col("left_rows").eqNullSafe(F.col("right_rows")) & F.col("left_sum").eqNullSafe(
-        F.col("right_sum")
+def _compared(hashes: DataFrame, bits: int) -> Differing:
+    """One aggregate of both sides by bucket; the buckets that differ are written down, so
+    Spark knows their size when it joins them."""
+    of_left = F.col("__left")
+    digests = hashes.groupBy(_bucket(F.col("__hash"), bits).alias("__bucket")).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(of_left).alias("left_rows"),
+        hash_sum(F.when(of_left, F.col("__hash"))).alias("left_sum"),
+        hash_sum(F.when(~of_left, F.col("__hash"))).alias("right_sum"),
     )
-    return joined.where(~same).select("__bucket")
+    same = (F.col("rows") == 2 * F.col("left_rows")) & (F.col("left_sum") == F.col("right_sum"))
+    spark = hashes.sparkSession
+    path = scratch_dir(spark, "buckets")
+    digests.where(~same).select("__bucket", "rows").write.parquet(path)
+    schema = T.StructType().add("__bucket", T.LongType()).add("rows", T.LongType())
+    buckets = spark.read.schema(schema).parquet(path)
+    found = buckets.agg(F.count(F.lit(1)).alias("buckets"), F.sum("rows").alias("rows")).first()
+    return Differing(bits, buckets, found["buckets"], found["rows"] or 0)
+
+
+def differing_buckets(left: DataFrame, right: DataFrame) -> Differing:
+    """Hash buckets whose row count or hash sum differs, split until they hold few rows.
+
+    A bucket is split as long as its rows are many on average and the last split at least
+    halved them: where it did not, most rows do differ, or are copies, and no split of
+    the hash would tell more. Every level reads both tables once.
+    """
+    hashes = _hashes(left, right)
+    found = _compared(hashes, 2 * SPLIT_BITS)
+    while found.rows > FEW_ROWS * found.count and found.bits < HASH_BITS:
+        inside = hashes.join(
+            found.buckets, _bucket(hashes["__hash"], found.bits) == found.buckets["__bucket"], "left_semi"
+        )
+        finer = _compared(inside, found.bits + SPLIT_BITS)
+        stuck = 2 * finer.rows > found.rows
+        found = finer
+        if stuck:
+            break
+    return found
 
 
 def _unused(df: DataFrame, name: str) -> str:
@@ -60,19 +110,19 @@ def reconcile(left: DataFrame, right: DataFrame) -> DataFrame:
     how many `copies` are missing on the other side. Tables that have such columns get
     `side_` and `copies_` (with as many underscores as it takes).
 
-    Digests per hash bucket come first and shuffle next to nothing. Only rows of
-    differing buckets are then counted by value. Copies stay a number: a row missing a
-    billion times is one result row.
+    Digests per hash bucket come first and shuffle next to nothing (`differing_buckets`).
+    Only rows of differing buckets are then counted by value. Copies stay a number: a row
+    missing a billion times is one result row. Both tables are read several times, so
+    their rows must be the same each time.
     """
     if left.columns != right.columns:
         raise CrateError(f"cannot compare columns {left.columns} with {right.columns}")
     side, copies = _unused(left, "side"), _unused(left, "copies")
-    buckets = differing_buckets(left, right)
-    tagged = _hashed(left).withColumn("__delta", F.lit(1)).unionAll(
-        _hashed(right).withColumn("__delta", F.lit(-1))
+    found = differing_buckets(left, right)
+    tagged = _hashed(left, found.bits).withColumn("__delta", F.lit(1)).unionAll(
+        _hashed(right, found.bits).withColumn("__delta", F.lit(-1))
     )
-    # At most BUCKETS rows are broadcast, whatever the size of the tables.
-    suspect = tagged.join(F.broadcast(buckets), "__bucket", "left_semi")
+    suspect = tagged.join(found.buckets, "__bucket", "left_semi")
     return (
         suspect.groupBy(*[suspect[backtick(name)] for name in left.columns])
         .agg(F.sum("__delta").alias("__delta"))

@@ -9,7 +9,7 @@ from tablecrate import CrateError
 from tablecrate.config import Constraint
 from tablecrate.operators import keys, quality
 from tablecrate.operators.numbering import with_positions
-from tablecrate.operators.reconcile import reconcile
+from tablecrate.operators.reconcile import SPLIT_BITS, differing_buckets, reconcile
 
 
 def _bag(df):
@@ -44,6 +44,30 @@ def test_reconcile_tells_null_positions_apart(spark):
         reconcile(left, right.select("y", "x"))
 
 
+def test_scattered_differences_are_narrowed_down(spark):
+    """Few rows besides the changed ones reach the last step, wherever the changes lie."""
+    left = spark.range(300_000).selectExpr("id", "id % 97 AS v")
+    right = left.selectExpr("id", "CASE WHEN id % 60 = 0 THEN v + 1 ELSE v END AS v")
+    found = differing_buckets(left, right)
+    assert 10_000 <= found.rows <= 14_000  # 5,000 changes on either side
+    assert found.bits > 2 * SPLIT_BITS
+    result = reconcile(left, right)
+    assert result.count() == 10_000
+    assert result.where("side = 'left'").agg({"id": "sum"}).first()[0] == sum(range(0, 300_000, 60))
+    assert result.where("id % 60 <> 0 OR copies <> 1").count() == 0
+
+
+def test_reconcile_where_everything_differs_or_repeats(spark):
+    many = spark.range(20_000).selectExpr("1 AS v")
+    few = spark.range(50).selectExpr("1 AS v")
+    assert _bag(reconcile(many, few)) == {(1, "left", 19_950): 1}
+    other = spark.range(20_000).selectExpr("id")
+    found = differing_buckets(other, other.selectExpr("id + 20000"))
+    assert found.rows == 40_000 and found.bits <= 4 * SPLIT_BITS
+    empty = other.limit(0)
+    assert reconcile(other, empty).count() == 20_000 and reconcile(empty, empty).count() == 0
+
+
 def test_reconcile_maps(spark):
     left = spark.createDataFrame([({"a": 1, "b": 2}, [{"x": 1}])], "m map<string,int>, n array<map<string,int>>")
     right = spark.createDataFrame([({"b": 2, "a": 1}, [{"x": 2}])], "m map<string,int>, n array<map<string,int>>")
