@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.queries import COMMON, FOREIGN_KEYS, LABELLED, PROFILED, SELECTED, SELECTIONS
+from checks.queries import COMMON, FOREIGN_KEYS, LABELLED, ODD_PARTS, PROFILED, SELECTED, SELECTIONS
 from checks.sources import TABLES, view_body
 
 # The given tables' columns, in order, with their Spark types.
@@ -336,5 +336,15 @@ def all_oracles() -> dict[str, str]:
             " l_returnflag, l_linestatus, l_shipdate", "lineitem", "recounted_lines",
         ),
         "reconcile_nested": _reconciled_nested(),
+        "pinned_inputs": "SELECT CASE o_orderpriority "
+        + " ".join(f"WHEN '{name}' THEN '{part}'" for name, part in ODD_PARTS.items())
+        + " END AS part, count(*) AS \"rows\", true AS pinned FROM orders GROUP BY o_orderpriority",
+        "damaged_files": _views("changed_orders")
+        + "SELECT 'orders' AS relation, 'missing' AS status, count(*) AS rows_before,"
+        " CAST(NULL AS bigint) AS rows_after FROM orders"
+        " UNION ALL SELECT 'orders', 'unlisted', NULL, count(*) FROM changed_orders",
+        "import_view": view_body("nation_revenue", ""),
+        "import_defaults": "SELECT o_orderkey, 'shop' AS channel, CAST(1 AS integer) AS points FROM orders"
+        " UNION ALL SELECT o_orderkey, 'web', 5 FROM orders",
     }
     return oracles

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.sources import TABLES, Tables, open_tables
+from checks.sources import TABLES, Tables, open_tables, view_body
 from tablecrate.config import Constraint, General, JobConfig, ObjectConfig, select_objects
 from tablecrate.errors import CrateError
 from tablecrate.operators import keys, loading, profile, quality, sketches
@@ -16,9 +16,11 @@ from tablecrate.operators.reconcile import reconcile
 from tablecrate.operators.selection import parse
 from tablecrate.reports import describe
 from tablecrate.session import scratch_dir
+from tablecrate.sinks import export as exports
 from tablecrate.sinks import load as loads
 from tablecrate.sinks.export import export_snapshot
-from tablecrate.sources import manifests, relations
+from tablecrate.sources import ledger, manifests, relations
+from tablecrate.sources.files import MetadataFiles
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -596,3 +598,83 @@ def reconcile_nested(tables: Tables) -> DataFrame:
         "vec_id", "side", "copies", "position", F.col("item.name").alias("name"),
         F.size("item.part").alias("size"), F.get("item.part", F.lit(0)).cast("double").alias("first_value"),
     )
+
+
+# --- files of a snapshot ----------------------------------------------------------------
+
+# Partition names that a path spells in another way.
+ODD_PARTS = {"1-URGENT": "a b", "2-HIGH": "50%", "3-MEDIUM": "[x]", "4-NOT SPECIFIED": "{é,2}", "5-LOW": "q?*"}
+
+
+@_query
+def pinned_inputs(tables: Tables) -> DataFrame:
+    """Rows of a table by partition, and whether the files of each partition are pinned."""
+    spark = tables.spark
+    schema, warehouse = _new_schema(tables)
+    names = F.create_map(*[F.lit(text) for pair in ODD_PARTS.items() for text in pair])
+    place = f"{warehouse}/parted"
+    rows = tables.rows("orders").withColumn("part", names[F.col("o_orderpriority")])
+    rows.write.partitionBy("part").parquet(place)
+    spark.sql(f"CREATE SCHEMA {schema} LOCATION '{warehouse}/{schema}'")
+    spark.sql(f"CREATE TABLE {schema}.parted USING parquet LOCATION '{place}'")
+    spark.sql(f"MSCK REPAIR TABLE {schema}.parted")
+    path = scratch_dir(spark, "snapshot")
+    export_snapshot(spark, select_objects(f"select * from {schema}.parted"), path)
+    snapshot = manifests.open_snapshot(spark, path)
+    written = F.regexp_extract("path", "/part=([^/]*)/", 1)
+    pinned = exports.pinned_inputs(spark, snapshot).select(F.url_decode(written).alias("part")).distinct()
+    read = loads.read_object(spark, snapshot, snapshot.manifest.objects[0])
+    counted = read.groupBy("part").agg(F.count(F.lit(1)).alias("rows"))
+    return counted.join(pinned.withColumn("pinned", F.lit(True)), "part", "full_outer")
+
+
+@_query
+def damaged_files(tables: Tables) -> DataFrame:
+    """A snapshot whose orders were deleted and replaced by others, by file status."""
+    spark = tables.spark
+    path = _export(tables, "select * from @orders", "select * from @lineitem", file_ledger=True)
+    snapshot = manifests.open_snapshot(spark, path)
+    payload = f"{path}/{loads.find_object(snapshot, 'orders').payload}"
+    MetadataFiles(spark).delete_tree(payload)
+    tables.rows("changed_orders").write.option("compression", "zstd").parquet(payload)
+    found = ledger.damaged_files(spark, snapshot)
+    return found.groupBy(F.substring_index("object", ".", -1).alias("relation"), "status").agg(
+        F.sum("rows_before").alias("rows_before"), F.sum("rows_after").alias("rows_after")
+    )
+
+
+@_query
+def import_view(tables: Tables) -> DataFrame:
+    """A view and the tables below it, dropped and loaded again."""
+    spark = tables.spark
+    schema, warehouse = _new_schema(tables)
+    files = {name: f"{tables.sf_dir}/{name}.parquet" for name in ("nation", "customer", "orders", "lineitem")}
+    relations.register_files(spark, schema, files, f"{warehouse}/{schema}")
+    spark.sql(f"CREATE VIEW {schema}.nation_revenue AS {view_body('nation_revenue', schema + '.')}")
+    path = scratch_dir(spark, "snapshot")
+    item = ObjectConfig(parse(f"select * from {schema}.nation_revenue"), export_as="view")
+    export_snapshot(spark, JobConfig(objects=(item,)), path)
+    spark.sql(f"DROP VIEW {schema}.nation_revenue")
+    for name in files:
+        spark.sql(f"DROP TABLE {schema}.{name}")
+    _load(tables, path, warehouse)
+    return relations.rows(spark, schema, "nation_revenue")
+
+
+@_query
+def import_defaults(tables: Tables) -> DataFrame:
+    """Defaults travel: rows added to a loaded table without a channel get the first one's."""
+    spark = tables.spark
+    schema, warehouse = _new_schema(tables)
+    spark.sql(f"CREATE SCHEMA {schema} LOCATION '{warehouse}/{schema}'")
+    spark.sql(
+        f"CREATE TABLE {schema}.sold (o_orderkey BIGINT, channel STRING DEFAULT 'web', points INT DEFAULT 2 + 3)"
+        f" USING parquet LOCATION '{warehouse}/{schema}/sold'"
+    )
+    path = scratch_dir(spark, "snapshot")
+    spark.sql(f"INSERT INTO {schema}.sold SELECT o_orderkey, 'shop', 1 FROM {tables.schema}.orders")
+    item = ObjectConfig(parse(f"select * from {schema}.sold"), target=(schema, "sold_again"))
+    export_snapshot(spark, JobConfig(objects=(item,)), path)
+    _load(tables, path, warehouse)
+    spark.sql(f"INSERT INTO {schema}.sold_again (o_orderkey) SELECT o_orderkey FROM {tables.schema}.orders")
+    return relations.rows(spark, schema, "sold_again")

@@ -1,4 +1,4 @@
-"""`python -m tablecrate export|import|info|describe`: a thin shell over the job functions."""
+"""`python -m tablecrate export|import|info|verify|describe|check`: a thin shell over the job functions."""
 
 from __future__ import annotations
 
@@ -13,12 +13,14 @@ from pyspark.sql import SparkSession
 from tablecrate import config as configs
 from tablecrate.errors import CrateError
 from tablecrate.functions.seal import password_from
+from tablecrate.operators.quality import constraint_report
 from tablecrate.plans.export_plan import describe_plan
 from tablecrate.reports.describe import describe
 from tablecrate.reports.info import render_info
 from tablecrate.reports.render import render
 from tablecrate.session import job_session
 from tablecrate.sources.jdbc import Connection
+from tablecrate.sources.ledger import damaged_files
 from tablecrate.sinks.export import export_snapshot
 from tablecrate.sinks.load import load_snapshot
 from tablecrate.sources.manifests import open_snapshot
@@ -55,6 +57,13 @@ def _arguments() -> argparse.ArgumentParser:
     info.add_argument("--format", choices=["text", "json"], default="text")
     info.add_argument("--password")
 
+    verify = commands.add_parser("verify", help="name the payload files that are not as exported")
+    verify.add_argument("--in", dest="snapshot", required=True)
+    verify.add_argument("--password")
+
+    check = commands.add_parser("check", help="count what breaks the configured constraints")
+    check.add_argument("--config", required=True)
+
     facts = commands.add_parser("describe", help="describe the configured source relations")
     facts.add_argument("--config", required=True)
     facts.add_argument("--out")
@@ -113,9 +122,22 @@ def run(arguments: list[str], spark: SparkSession | None = None) -> str:
         password = password_from(options.password, dict(os.environ))
         snapshot = open_snapshot(spark, options.snapshot, password)
         return render_info(snapshot, options.format, options.objects)
+    if options.command == "verify":
+        password = password_from(options.password, dict(os.environ))
+        damage = damaged_files(spark, open_snapshot(spark, options.snapshot, password))
+        return _lines(damage.orderBy("object", "file"))
+    if options.command == "check":
+        return _check(spark, options)
     return _describe(spark, options)
 
 
+def _check(spark: SparkSession, options: argparse.Namespace) -> str:
+    constraints = configs.load(options.config).constraints
+    if options.dry_run:
+        return "".join(f"{'.'.join(c.relation)} {c.kind} {c.name}\n" for c in constraints)
+    return _lines(constraint_report(spark, constraints).orderBy("relation", "constraint", "kind"))
+
+
 def _export(spark: SparkSession, options: argparse.Namespace) -> str:
     config = configs.load(options.config)
     general = config.general.override(

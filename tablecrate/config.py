@@ -28,12 +28,15 @@ class General:
     attempts: int = 3
     retry_delay_ms: int = 1000
     attempt_timeout_ms: int = 0
+    file_ledger: bool = False  # a digest of each payload file; reads what was written once more
 
     def __post_init__(self) -> None:
         _one_of("data_format", self.data_format, ("binary", "csv"))
         _one_of("compression", str(self.compression).lower(), ("zstd",))
         if not isinstance(self.consistent_snapshot, bool):
             raise CrateError("general.consistent_snapshot must be true or false")
+        if not isinstance(self.file_ledger, bool):
+            raise CrateError("general.file_ledger must be true or false")
         if self.concurrency is not None:
             _at_least("concurrency", self.concurrency, 1)
         _at_least("attempts", self.attempts, 1)

@@ -1,6 +1,7 @@
 """Export: many selected tables and views as one verified snapshot folder.
 
-Layout: `<out>/<id>/ddl/NNNN__schema.name.sql`, `<out>/<id>/data/NNNN__schema.name/` and
+Layout: `<out>/<id>/ddl/NNNN__schema.name.sql`, `<out>/<id>/data/NNNN__schema.name/`,
+`<out>/<id>/inputs/` (the pinned source files), `<out>/<id>/files/` (file ledgers) and
 `<out>/manifest.json`. The manifest is written last and replaces its predecessor in one
 step, so a failed export leaves the former snapshot as it was.
 """
@@ -24,15 +25,17 @@ from tablecrate.functions import seal
 from tablecrate.functions.digest import row_hash_sum
 from tablecrate.functions.names import backtick_path, spark_literal
 from tablecrate.plans.export_plan import expand
-from tablecrate.plans.pins import pin, require_unchanged
+from tablecrate.plans.pins import Pin, pin, read_pins, require_unchanged
 from tablecrate.session import scratch_scope, sized_shuffles
 from tablecrate.sinks.parallel import in_parallel
-from tablecrate.sources import manifests, payload, relations
+from tablecrate.sources import ledger, manifests, payload, relations
 from tablecrate.sources.files import MetadataFiles
 from tablecrate.sources.lookup import find_source
 from tablecrate.sources.manifests import Inputs, Manifest, ManifestObject, ObjectColumn, Place, ViewDefinition
 from tablecrate.sources.relations import Column, Relation
 
+INPUTS = "inputs"  # the run's table of pinned source files
+
 
 @dataclass(frozen=True)
 class _Source:
@@ -71,8 +74,8 @@ def export_snapshot(
     # All inputs are analyzed before the first row is written; see plans.pins.
     sources = [resolve(item) for item in planned]
     inputs = [source.rows for source in sources if source.item.export_as == "table"]
-    before = pin(spark, inputs) if pinned else None
     run_id = uuid.uuid4().hex
+    before = _pinned(spark, inputs, f"{out}/{run_id}", key) if pinned else None
     read_bytes = 0 if before is None else before.bytes
 
     def export_one(position: int) -> ManifestObject:
@@ -88,7 +91,7 @@ def export_snapshot(
             positions = range(1, len(planned) + 1)
             objects = in_parallel(spark, export_one, positions, general.workers())
         if before is not None:
-            require_unchanged(spark, inputs, before)
+            require_unchanged(spark, before, key)
     except BaseException:
         MetadataFiles(spark).delete_tree(f"{out}/{run_id}")
         raise
@@ -106,6 +109,23 @@ def export_snapshot(
     return manifest
 
 
+def _pinned(spark: SparkSession, inputs: list[DataFrame], run: str, key: bytes | None) -> Pin:
+    try:
+        return pin(spark, inputs, f"{run}/{INPUTS}", key)
+    except BaseException:
+        MetadataFiles(spark).delete_tree(run)
+        raise
+
+
+def pinned_inputs(spark: SparkSession, snapshot: manifests.Snapshot) -> DataFrame:
+    """path, bytes, modified: the source files a consistent snapshot was read from."""
+    run = manifests.run_folder(spark, snapshot.path)
+    place = f"{snapshot.path}/{run}/{INPUTS}"
+    if not MetadataFiles(spark).exists(f"{place}/_SUCCESS"):
+        raise CrateError(f"{snapshot.path} was exported without pinned inputs")
+    return read_pins(spark, place, snapshot.key)
+
+
 def _has_files(source: _Source) -> bool:
     """Whether pinned files prove the rows: a view may have none, such as one of rand()."""
     stored = source.item.export_as == "view" or source.relation.kind == "table"
@@ -151,6 +171,9 @@ def _write_object(
                 seen, F.count(F.lit(1)).alias("rows"), row_hash_sum(selected).alias("checksum")
             )
             payload.write(observed, f"{out}/{data_path}", general.data_format, key)
+        if general.file_ledger:
+            stored = selected.schema, general.data_format, key is not None
+            ledger.write(spark, out, data_path, *stored, ".".join(item.target_or_source))
         counts = {"rows": seen.get["rows"], "checksum": str(seen.get["checksum"])}
 
     is_view = item.export_as == "view"

@@ -24,7 +24,7 @@ from tablecrate.operators.keys import key_watermark, next_value
 from tablecrate.operators.loading import compatibility, require_not_null
 from tablecrate.sinks.export import version_number
 from tablecrate.sinks.parallel import in_parallel
-from tablecrate.sources import manifests, payload, relations
+from tablecrate.sources import ledger, manifests, payload, relations
 from tablecrate.sources.files import MetadataFiles
 from tablecrate.sources.manifests import ManifestObject, Snapshot
 
@@ -201,11 +201,13 @@ def _write_version(
         seen, F.count(F.lit(1)).alias("rows"), row_hash_sum(rows).alias("checksum"), *marks
     )
     observed.write.option("compression", payload.COMPRESSION).parquet(location)
-    _compare(item, seen.get["rows"], str(seen.get["checksum"]))
+    _compare(spark, snapshot, item, seen.get["rows"], str(seen.get["checksum"]))
     return seen.get["rows"], {key: seen.get[f"next_{i}"] for i, key in enumerate(item.keys)}
 
 
-def _compare(item: ManifestObject, rows: int, checksum: str) -> None:
+def _compare(
+    spark: SparkSession, snapshot: Snapshot, item: ManifestObject, rows: int, checksum: str
+) -> None:
     for what, expected, found in (
         ("row count", item.rows, rows),
         ("checksum", item.checksum, checksum),
@@ -213,6 +215,7 @@ def _compare(item: ManifestObject, rows: int, checksum: str) -> None:
         if expected is not None and expected != found:
             raise CrateError(
                 f"{'.'.join(item.target)}: the {what} is {found}, the manifest says {expected}"
+                + ledger.damage_of(spark, snapshot, item)
             )
 
 
@@ -257,7 +260,7 @@ def _append(
     rows = read_object(spark, snapshot, item)
     # Appended rows are visible at once, so they are proven before the insert starts.
     proof = rows.agg(F.count(F.lit(1)).alias("rows"), row_hash_sum(rows).alias("checksum")).first()
-    _compare(item, proof["rows"], str(proof["checksum"]))
+    _compare(spark, snapshot, item, proof["rows"], str(proof["checksum"]))
     required = [c.name for c in present.columns if c.not_null and c.name in item.column_names]
     checked = require_not_null(rows, required, f"{schema}.{name}")
     if batch_id is not None:

@@ -46,13 +46,19 @@ def write(df: DataFrame, path: str, data_format: str, key: bytes | None = None)
         writer.option("compression", COMPRESSION).parquet(path)
 
 
+def sealed_schema(data_format: str) -> T.StructType:
+    """What an encrypted payload stores: one column."""
+    kind = T.StringType() if data_format == "csv" else T.BinaryType()
+    return T.StructType([T.StructField(_SEALED, kind)])
+
+
 def read(
     spark: SparkSession, path: str, schema: T.StructType, data_format: str, key: bytes | None = None
 ) -> DataFrame:
     """Rows with the manifest's schema; text or bytes that do not fit fail the job."""
     is_csv = data_format == "csv"
     if key is not None:
-        stored = T.StructType([T.StructField(_SEALED, T.StringType() if is_csv else T.BinaryType())])
+        stored = sealed_schema(data_format)
     elif is_csv:
         stored = T.StructType([T.StructField(field.name, T.StringType()) for field in schema])
     else:
