@@ -1,7 +1,10 @@
 """Load a snapshot into the catalog: replace, append or schema only.
 
-Tables are external: each replace writes a new version folder and then swaps the
-catalog entry, so the old rows stay readable until the new ones are proven.
+Tables are external: each replace writes a new version folder and then points the catalog
+entry to it, so the old rows stay readable until the new ones are proven. Where columns
+agree that is one step (`SET LOCATION`). What a replace is about to do is noted in the catalog
+first (a property, or the name of the table set aside), so the next load can finish it
+or take it back (`recover`).
 """
 
 from __future__ import annotations
@@ -30,6 +33,15 @@ from tablecrate.sources.manifests import ManifestObject, Snapshot
 
 NEXT_VALUE_PROPERTY = "tablecrate.next_value"
 BATCH_PROPERTY = "tablecrate.batch"
+INTENT_PROPERTY = "tablecrate.intent"
+_OWN_PROPERTIES = (
+    relations.NOT_NULL_PROPERTY,
+    relations.KEYS_PROPERTY,
+    relations.LABELS_PROPERTY,
+    NEXT_VALUE_PROPERTY,
+)
+
+_ASIDE = "__old_"  # a table set aside is named after the one it was
 
 RESULT_SCHEMA = "schema string, name string, export_as string, rows bigint"
 
@@ -143,6 +155,7 @@ def _load_object(
     schema, name = item.target
     place = f" LOCATION {spark_literal(f'{warehouse}/{schema}')}" if warehouse else ""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {backtick(schema)}{place}")
+    recover(spark, schema, name)
     present = relations.find(spark, schema, name)
     if not item.has_data:
         _create_view(spark, item, present)
@@ -182,6 +195,9 @@ def _replace(
     }
     if batch_id is not None:
         properties[f"{BATCH_PROPERTY}.{batch_id}"] = "done"
+    if present is not None and _is_version_of(present, item):
+        _repoint(spark, present, location, properties)
+        return Loaded(schema, name, item.export_as, rows)
     _create_table(spark, schema, staged, item, location, properties)
     _swap(spark, schema, staged, name, present)
     return Loaded(schema, name, item.export_as, rows)
@@ -362,12 +378,12 @@ def _swap(
     tables."""
 
     def rename(what: str, old: str, new: str) -> None:
-        spark.sql(f"ALTER {what} {backtick_path(schema, old)} RENAME TO {backtick_path(schema, new)}")
+        _run(spark, _renaming(what, schema, old, new))
 
     if present is None:
         rename(kind, staged, name)
         return
-    aside = f"{name}__old_{uuid.uuid4().hex}"
+    aside = f"{name}{_ASIDE}{uuid.uuid4().hex}"
     old_kind = "VIEW" if present.kind == "view" else "TABLE"
     rename(old_kind, name, aside)
     try:
@@ -375,7 +391,90 @@ def _swap(
     except Exception:
         rename(old_kind, aside, name)
         raise
-    spark.sql(f"DROP {old_kind} {backtick_path(schema, aside)}")
+    _run(spark, f"DROP {old_kind} {backtick_path(schema, aside)}")
+
+
+def _renaming(kind: str, schema: str, old: str, new: str) -> str:
+    return f"ALTER {kind} {backtick_path(schema, old)} RENAME TO {backtick_path(schema, new)}"
+
+
+def _is_version_of(present: relations.Relation, item: ManifestObject) -> bool:
+    """Whether an earlier replace made the table, with the columns and comments of `item`."""
+    if present.kind != "table" or present.managed or present.location is None:
+        return False
+    parent, folder = present.location.rstrip("/").rsplit("/", 1)
+    if NEXT_VALUE_PROPERTY not in present.properties or len(folder) != 32:
+        return False
+    if parent.rsplit("/", 1)[-1] != present.name:
+        return False
+    now = [(c.name, c.type_text, c.default, c.comment or None) for c in present.columns]
+    then = [(c.name, c.type, c.default, c.comment or None) for c in item.columns]
+    return now == then and (present.comment or None) == (item.comment or None)
+
+
+def _repoint(
+    spark: SparkSession, present: relations.Relation, location: str, properties: dict[str, str]
+) -> None:
+    """Give the table another version folder: the rows change in one step, and the intent
+    noted before it tells a later load which properties belong to them."""
+    table = backtick_path(present.schema, present.name)
+    intent = json.dumps({"location": location, "properties": properties})
+    _run(spark, f"ALTER TABLE {table} SET TBLPROPERTIES ({_property_list({INTENT_PROPERTY: intent})})")
+    _run(spark, f"ALTER TABLE {table} SET LOCATION {spark_literal(location)}")
+    _settle(spark, present, properties)
+
+
+def _settle(
+    spark: SparkSession, present: relations.Relation, properties: dict[str, str]
+) -> None:
+    """The properties of the rows the table points to now; marks of older rows go. The
+    intent goes last, so this can be repeated."""
+    table = backtick_path(present.schema, present.name)
+    old = [
+        key
+        for key in present.properties
+        if key not in properties and (key in _OWN_PROPERTIES or key.startswith(f"{BATCH_PROPERTY}."))
+    ]
+    _run(spark, f"ALTER TABLE {table} SET TBLPROPERTIES ({_property_list(properties)})")
+    dropped = ", ".join(spark_literal(key) for key in old)
+    if dropped:
+        _run(spark, f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ({dropped})")
+    _run(spark, f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ({spark_literal(INTENT_PROPERTY)})")
+    spark.catalog.refreshTable(table)
+
+
+def recover(spark: SparkSession, schema: str, name: str) -> None:
+    """Finish or take back a replace of `schema.name` that was interrupted. Every load calls
+    this first; one load of a table at a time."""
+    prefix = f"{name}{_ASIDE}".lower()
+    found = F.lower("tableName")
+    # Only names that `_swap` makes: any other table of the schema is someone's own.
+    made = F.startswith(found, F.lit(prefix)) & F.substring(found, len(prefix) + 1, 1_000).rlike("^[0-9a-f]{32}$")
+    for row in spark.sql(f"SHOW TABLES IN {backtick(schema)}").where(made & ~F.col("isTemporary")).collect():  # one at most, unless catalog entries could not be dropped
+        aside = relations.get(spark, schema, row["tableName"])
+        kind = "VIEW" if aside.kind == "view" else "TABLE"
+        if relations.find(spark, schema, name) is None:
+            _run(spark, _renaming(kind, schema, aside.name, name))
+        else:
+            _run(spark, f"DROP {kind} {backtick_path(schema, aside.name)}")
+    present = relations.find(spark, schema, name)
+    if present is None or INTENT_PROPERTY not in present.properties:
+        return
+    intent = json.loads(present.properties[INTENT_PROPERTY])
+    if _same_place(present.location, intent["location"]):
+        _settle(spark, present, intent["properties"])
+    else:
+        table = backtick_path(schema, name)
+        _run(spark, f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ({spark_literal(INTENT_PROPERTY)})")
+
+
+def _same_place(one: str | None, other: str) -> bool:
+    """Version folders have names of their own, whatever form the path before them takes."""
+    return one is not None and one.rstrip("/").rsplit("/", 1)[-1] == other.rstrip("/").rsplit("/", 1)[-1]
+
+
+def _run(spark: SparkSession, statement: str) -> None:
+    spark.sql(statement)
 
 
 def _set_properties(spark: SparkSession, table: str, properties: dict[str, str]) -> None:
@@ -388,6 +487,7 @@ def _property_list(properties: dict[str, str]) -> str:
 
 def next_values(spark: SparkSession, schema: str, name: str) -> dict[str, int]:
     """The next key of every key column, as kept up to date by loads."""
+    recover(spark, schema, name)
     found = relations.get(spark, schema, name).properties.get(NEXT_VALUE_PROPERTY, "{}")
     return json.loads(found)
 

@@ -259,12 +259,61 @@ def test_failed_swap_restores_the_old_table(spark, src, target, tmp_path, monkey
         create_table(session, schema, name, *rest)
         session.sql(f"DROP TABLE {schema}.`{name}`")
 
+    # Other columns: a replace with the same ones has no swap.
+    _one(spark, out, f"select * except (metres) from {src}.reefs", target, "reefs")
     monkeypatch.setattr(load, "_create_table", forgetful)
     with pytest.raises(Exception):
         load_snapshot(spark, out, warehouse=warehouse)
     assert spark.table(f"{target}.reefs").count() == 4
 
 
+@pytest.mark.parametrize("columns", ["*", "* except (metres)"])
+def test_a_killed_replace_is_finished_or_taken_back(spark, src, target, tmp_path, monkeypatch, columns):
+    """Killed before each of its steps in turn: the rows are the old or the new ones, and
+    properties are those of the rows again after the next load began."""
+    from tablecrate.sinks import load
+
+    class Killed(BaseException):
+        pass
+
+    old, new, warehouse = str(tmp_path / "old"), str(tmp_path / "new"), str(tmp_path / "wh")
+    _one(spark, old, f"select * from {src}.reefs", target, "reefs")
+    _one(spark, new, f"select {columns} from {src}.reefs limit 1", target, "reefs")
+    own = f"{target}.reefs__old_notes"
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {target} LOCATION '{warehouse}/{target}'")
+    spark.sql(f"CREATE TABLE {own} (x INT) USING parquet LOCATION '{tmp_path}/own'")  # only looks like one set aside
+    run, outcomes = load._run, []
+    while not outcomes or outcomes[-1] != "done":
+        load_snapshot(spark, old, warehouse=warehouse, batch_id="first")
+        left = [len(outcomes)]
+
+        def dying(session, statement):
+            if left[0] == 0:
+                raise Killed
+            left[0] -= 1
+            run(session, statement)
+
+        monkeypatch.setattr(load, "_run", dying)
+        try:
+            load_snapshot(spark, new, warehouse=warehouse, batch_id="second")
+            outcomes.append("done")
+        except Killed:
+            outcomes.append("killed")
+        monkeypatch.setattr(load, "_run", run)
+        if columns == "*":
+            spark.catalog.refreshTable(f"{target}.reefs")
+            assert spark.table(f"{target}.reefs").count() in (1, 3)  # readable at once
+        load.recover(spark, target, "reefs")
+        table = relations.get(spark, target, "reefs")
+        rows = spark.table(f"{target}.reefs").count()
+        batch = {3: "first", 1: "second"}[rows]
+        assert [k for k in table.properties if k.startswith(load.BATCH_PROPERTY)] == [f"{load.BATCH_PROPERTY}.{batch}"]
+        assert load.INTENT_PROPERTY not in table.properties
+        names = {row["tableName"] for row in spark.sql(f"SHOW TABLES IN {target}").collect()}
+        assert {name for name in names if "__old_" in name} == {"reefs__old_notes"}
+    assert len(outcomes) >= 4 and rows == 1
+
+
 def test_purge_keeps_the_current_version(spark, src, target, tmp_path):
     out, warehouse = str(tmp_path / "snap"), str(tmp_path / "wh")
     _one(spark, out, f"select * from {src}.reefs", target, "reefs")
