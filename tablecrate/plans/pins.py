@@ -19,7 +19,8 @@ from pyspark.sql import types as T
 
 from tablecrate.errors import CrateError
 from tablecrate.functions.digest import row_hash_sum
-from tablecrate.sources import payload
+from tablecrate.sources.payload import read as read_rows
+from tablecrate.sources.payload import write as write_rows
 
 _MOST_NAMED = 5
 _GLOB_SIGNS = re.compile(r"([*?\[\]{}\\])")
@@ -64,7 +65,7 @@ def pin(spark: SparkSession, sources: Iterable[DataFrame], table: str, key: byte
     """
     paths = sorted({plain_path(uri) for df in sources for uri in df.inputFiles()})
     listing = _listing(spark, paths) if paths else spark.createDataFrame([], SCHEMA)
-    payload.write(listing, table, "binary", key)
+    write_rows(listing, table, "binary", key)
     pinned = read_pins(spark, table, key)
     found = pinned.agg(
         F.count(F.lit(1)).alias("files"),
@@ -76,7 +77,7 @@ def pin(spark: SparkSession, sources: Iterable[DataFrame], table: str, key: byte
 
 def read_pins(spark: SparkSession, table: str, key: bytes | None = None) -> DataFrame:
     """path, bytes, modified: the source files a snapshot was read from."""
-    return payload.read(spark, table, SCHEMA, "binary", key)
+    return read_rows(spark, table, SCHEMA, "binary", key)
 
 
 def changed_inputs(spark: SparkSession, pinned: DataFrame) -> DataFrame:
