@@ -94,3 +94,37 @@ def test_wide_signatures_find_pairs_at_the_threshold():
         values = rnd.integers(0, 1 << 64, 100, np.uint64)  # 80 shared of 100
         met += any(x == y for x, y in zip(similar.bands(np.sort(values[:90])), similar.bands(np.sort(values[10:]))))
     assert met >= 297
+
+
+def test_links_inside_a_crowd(spark):
+    """Pairs at the threshold whose every band is also one of texts that are like neither."""
+    rnd = random.Random(8)
+    words = [f"w{i}" for i in range(300)]
+    texts = []
+    for _ in range(200):
+        one = edited(rnd, words, 8)
+        texts += [one, edited(rnd, one.split(), 6)]
+    sets = [set_by_hand(t) for t in texts]
+    root = classes(sorted(set(sets)), alike)
+    firsts = {}
+    for i, found in enumerate(sets):
+        firsts.setdefault(root[found], i)
+    assert len(firsts) == 200
+    assert kept(spark, [(i, t, None, None) for i, t in enumerate(texts)]) == sorted(firsts.values())
+
+
+def test_points_meet_at_the_threshold():
+    """Every pair, of any sizes, as far apart as the similarity allows."""
+    import numpy as np
+
+    rnd = np.random.default_rng(4)
+    for a in [*range(1, 400), 818, 819, 1023, 1024, 1279, 1280, 4096, 5119, 5120, 9000]:
+        for b in {a, (a + a * 5 // 4) // 2, a * 5 // 4}:
+            common = -(-4 * (a + b) // 9)
+            if common > a:
+                continue
+            values = rnd.integers(0, 1 << 64, a + b - common, np.uint64)
+            x, y = np.sort(values[:a]), np.sort(values[a - common :])
+            assert (x == y).all() if a == b == common else set(similar.points(x)) & set(similar.points(y))
+            unlike = np.bitwise_count((similar.parities(x) ^ similar.parities(y)).view(np.uint64)).sum()
+            assert unlike <= a + b - 2 * common
