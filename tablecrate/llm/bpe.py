@@ -14,8 +14,9 @@ from __future__ import annotations
 import heapq
 import json
 import re
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,8 @@ ASCII_WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+"
 NOT_SPACE = re.compile("[\x1c-\x1f]")
 SPACES = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 
-# What a worker remembers of each kind before it forgets what it has not met lately.
+# What a worker remembers of each kind before it forgets what it has not met lately; jobs with
+# room for it ask for several times as much.
 CHUNKS, WORDS, FRAGMENTS = 60_000, 120_000, 30_000
 LONGEST_REMEMBERED = 48
 # Fragments of more symbols are merged with a heap.
@@ -69,7 +71,7 @@ class Memory(dict):
 class WordBpe:
     """The encoder and decoder of one tokenizer file."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memory: int = 1):
         with open(path, encoding="utf-8") as file:
             parsed = json.load(file)
         model = parsed["model"]
@@ -90,9 +92,9 @@ class WordBpe:
         self.normalizer, self.pre_tokenizer = library.normalizer, library.pre_tokenizer
         self.ascii_word = re.compile(ASCII_WORD)
         # Ids are kept as the bytes of 32-bit integers: joining them is one copy.
-        self.chunks = Memory(CHUNKS, self.encode_chunk)
-        self.known_words = Memory(WORDS, self.encode_word)
-        self.fragments = Memory(FRAGMENTS, self.encode_fragment)
+        self.chunks = Memory(memory * CHUNKS, self.encode_chunk)
+        self.known_words = Memory(memory * WORDS, self.encode_word)
+        self.fragments = Memory(memory * FRAGMENTS, self.encode_fragment)
 
     def symbols(self, token: str) -> list[str]:
         """One symbol a byte; the last one carries the word end if `token` does."""
@@ -109,15 +111,14 @@ class WordBpe:
         normal = self.normalizer.normalize_str(chunk)
         return [word for word, _ in self.pre_tokenizer.pre_tokenize_str(normal)]
 
-    def cut(self, word: str) -> Iterator[tuple[str, ...]]:
+    def cut(self, word: str) -> list[tuple[str, ...]]:
         """The fragments of a word: cut at every pair that stands inside no token."""
-        symbols = self.symbols(word + self.end)
-        start = 0
-        for at, pair in enumerate(zip(symbols, symbols[1:]), 1):
-            if pair not in self.inside:
-                yield tuple(symbols[start:at])
-                start = at
-        yield tuple(symbols[start:])
+        symbols = (*word[:-1], word[-1] + self.end) if word else ()
+        held = list(map(self.inside.__contains__, zip(symbols, symbols[1:])))
+        if all(held):
+            return [symbols]
+        cuts = [at for at, inside in enumerate(held, 1) if not inside]
+        return [symbols[a:b] for a, b in zip([0, *cuts], [*cuts, len(symbols)])]
 
     def merge(self, fragment: tuple[str, ...]) -> list[str]:
         """The tokens of one fragment: the best ranked pair is joined first, of equal
@@ -125,7 +126,7 @@ class WordBpe:
         if len(fragment) > SHORT:
             return self.merge_long(fragment)
         parts, rank = list(fragment), self.ranks.get
-        ranks = [rank(pair, NEVER) for pair in zip(parts, parts[1:])]
+        ranks = list(map(rank, zip(parts, parts[1:]), repeat(NEVER)))
         while ranks and (best := min(ranks)) < NEVER:
             at = ranks.index(best)
             parts[at] += parts.pop(at + 1)
@@ -164,7 +165,7 @@ class WordBpe:
         return np.array([self.ids[token] for token in self.merge(fragment)], np.int32).tobytes()
 
     def encode_word(self, word: str) -> bytes:
-        cut = list(self.cut(word))
+        cut = self.cut(word)
         if len(cut) == 1:  # remembered as a word
             return self.encode_fragment(cut[0])
         return b"".join(map(self.fragments.__getitem__, cut))
@@ -204,9 +205,9 @@ class WordBpe:
 
 
 @lru_cache(maxsize=4)
-def tokenizer(path: str) -> WordBpe:
-    """One per worker process and file."""
-    return WordBpe(path)
+def tokenizer(path: str, memory: int = 1) -> WordBpe:
+    """One per worker process, file and size of memory."""
+    return WordBpe(path, memory)
 
 
 def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -227,11 +228,14 @@ def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded")
     return with_computed(df, compute, f"`{decoded}` string")
 
 
-def round_trip(df: DataFrame, path: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """`df` (or its columns `keep`) with `ids` and `decoded`, made in one visit to Python."""
+def round_trip(
+    df: DataFrame, path: str, text: str = "text", keep: list[str] | None = None, memory: int = 1
+) -> DataFrame:
+    """`df` (or its columns `keep`) with `ids` and `decoded`, made in one visit to Python. Workers
+    remember `memory` times as much as usual: results are the same, rare words cost less."""
 
     def compute(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        bpe = tokenizer(path)
+        bpe = tokenizer(path, memory)
         ids = bpe.encode_all(batch.column(text).to_pylist())
         return {"ids": ids, "decoded": bpe.decode_all(ids)}
 

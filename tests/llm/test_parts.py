@@ -28,6 +28,20 @@ def test_fragments_join_to_the_whole_word():
         assert joined == made.merge_long(whole)
 
 
+def test_larger_memories_encode_alike_and_less_often(monkeypatch):
+    monkeypatch.setattr(bpe, "CHUNKS", 40)
+    texts = [" ".join(f"word{i % 50}" for i in range(200)), "thañeá \x1c<|x", None, ""]
+    made, found = [], []
+    for memory in (1, 3):
+        one, times = bpe.WordBpe(PATH, memory), []
+        words = one.words
+        one.words = lambda chunk, words=words, times=times: times.append(chunk) or words(chunk)
+        found.append(one.encode_all(texts).to_pylist())
+        made.append(len(times))
+    assert found[0] == found[1]
+    assert made[1] < 60 < made[0]
+
+
 def test_decode_leaves_out_unknown_ids():
     made = bpe.WordBpe(PATH)
     ids = pa.array([[0, 10**6, 1, -1, None], None, []], pa.list_(pa.int32()))
