@@ -1,17 +1,17 @@
 """Compare two tables as bags of rows.
 
 A row belongs to the bucket that the leading bits of its hash name. Buckets are compared by
-row count and hash sum, and only those that differ are split again, by `SPLIT_BITS` more
-bits, until they hold few rows. What is shuffled before the last step is one digest a bucket
-and task; the last step shuffles the rows of buckets that still differ, which are about the
-rows that differ themselves.
+row count and hash sum; where those that differ hold many rows, these rows are counted by whole
+hash. The first step shuffles one digest a bucket and task, the second a hash a row of differing
+buckets. The last step counts the rows themselves whose hash differs. Whatever is dealt by hash
+goes to as many tasks as its rows ask for, so a task's memory does not grow with the tables.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,8 +21,11 @@ from tablecrate.functions.names import backtick
 from tablecrate.session import scratch_dir
 
 HASH_BITS = 64
-SPLIT_BITS = 8  # a differing bucket is split into 256; the first level has 256 times 256
+SPLIT_BITS = 16  # of the first buckets
 FEW_ROWS = 4  # a differing bucket holds two rows at least, unless one side lacks it whole
+PART_ROWS = 5 << 19  # hashes that one task counts, or four times the rows
+LEAST_ROWS = 1 << 17  # fewer are not worth a task
+MOST_BROADCAST = 1 << 20  # buckets
 
 
 @dataclass(frozen=True)
@@ -33,6 +36,9 @@ class Differing:
     buckets: DataFrame
     count: int
     rows: int  # of both sides, in these buckets
+    most: int  # rows of the largest
+    crowds: DataFrame | None = None  # hashes with too many rows for a task, differing or not
+    searched: int = 0  # rows of the first buckets that differ
 
 
 def _bucket(hashes: Column, bits: int) -> Column:
@@ -57,9 +63,19 @@ def _hashes(left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
+def _written(found: DataFrame, bits: int, columns: str) -> tuple[Differing, DataFrame]:
+    """What is found, and all that is written: `found` is made once, and its size is known."""
+    spark = found.sparkSession
+    path = scratch_dir(spark, "buckets")
+    found.write.parquet(path)
+    held = spark.read.schema(T.StructType.fromDDL(columns)).parquet(path)
+    buckets = held.where("delta <> 0") if "delta" in held.columns else held
+    total = buckets.agg(F.count(F.lit(1)).alias("buckets"), F.sum("rows").alias("rows"), F.max("rows").alias("most")).first()
+    return Differing(bits, buckets.select("__bucket", "rows"), total["buckets"], total["rows"] or 0, total["most"] or 0), held
+
+
 def _compared(hashes: DataFrame, bits: int) -> Differing:
-    """One aggregate of both sides by bucket; the buckets that differ are written down, so
-    Spark knows their size when it joins them."""
+    """One aggregate of both sides by bucket; it holds 2^`bits` entries a task at most."""
     of_left = F.col("__left")
     digests = hashes.groupBy(_bucket(F.col("__hash"), bits).alias("__bucket")).agg(
         F.count(F.lit(1)).alias("rows"),
@@ -68,34 +84,74 @@ def _compared(hashes: DataFrame, bits: int) -> Differing:
         hash_sum(F.when(~of_left, F.col("__hash"))).alias("right_sum"),
     )
     same = (F.col("rows") == 2 * F.col("left_rows")) & (F.col("left_sum") == F.col("right_sum"))
-    spark = hashes.sparkSession
-    path = scratch_dir(spark, "buckets")
-    digests.where(~same).select("__bucket", "rows").write.parquet(path)
-    schema = T.StructType().add("__bucket", T.LongType()).add("rows", T.LongType())
-    buckets = spark.read.schema(schema).parquet(path)
-    found = buckets.agg(F.count(F.lit(1)).alias("buckets"), F.sum("rows").alias("rows")).first()
-    return Differing(bits, buckets, found["buckets"], found["rows"] or 0)
+    return _written(digests.where(~same).select("__bucket", "rows"), bits, "__bucket bigint, rows bigint")[0]
 
 
-def differing_buckets(left: DataFrame, right: DataFrame) -> Differing:
-    """Hash buckets whose row count or hash sum differs, split until they hold few rows.
+def _parts(spark: SparkSession, rows: int) -> int:
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, -(-rows // PART_ROWS), min(usual, rows // LEAST_ROWS))
+
 
-    A bucket is split as long as its rows are many on average and the last split at least
-    halved them: where it did not, most rows do differ, or are copies, and no split of
-    the hash would tell more. Every level reads both tables once.
+def _split(hashes: DataFrame, found: Differing) -> Differing:
+    """The whole hashes that differ, among rows of buckets that do.
+
+    Hashes are dealt as they are: in aggregates before the shuffle nearly each would be an
+    entry. Only in buckets far above the mean, where copies meet, a hash is first counted
+    apart for each task that read it.
     """
+    limit = max(PART_ROWS, 16 * found.rows // found.count)
+    first = F.broadcast(found.buckets)  # 2^SPLIT_BITS rows at most
+    inside = hashes.join(first, _bucket(hashes["__hash"], found.bits) == first["__bucket"])
+    share = F.when(F.col("rows") > limit, F.spark_partition_id() + 1).otherwise(0)
+    inside = inside.select(
+        F.col("__hash").alias("__bucket"), F.when(F.col("__left"), 1).otherwise(-1).alias("delta"), share.alias("share")
+    )
+    parts = _parts(hashes.sparkSession, found.rows)
+    counts = [F.count(F.lit(1)).alias("rows"), F.sum("delta").alias("delta")]
+    sums = [F.sum("rows").alias("rows"), F.sum("delta").alias("delta")]
+    if found.most > limit:
+        apart = inside.repartition(parts, "__bucket", "share").groupBy("__bucket", "share").agg(*counts)
+        some = apart.where("delta <> 0 OR share > 0").select("__bucket", "rows", "delta")
+        counted = some.repartition(parts, "__bucket").groupBy("__bucket").agg(*sums)
+    else:
+        counted = inside.drop("share").repartition(parts, "__bucket").groupBy("__bucket").agg(*counts)
+    kept = counted.where((F.col("delta") != 0) | (F.col("rows") > limit)).select("__bucket", "rows", "delta")
+    finer, held = _written(kept, HASH_BITS, "__bucket bigint, rows bigint, delta bigint")
+    crowds = held.where(F.col("rows") > limit) if found.most > limit else None
+    return replace(finer, crowds=crowds, searched=found.rows)
+
+
+def differing_buckets(left: DataFrame, right: DataFrame) -> Differing:
+    """Hash buckets whose row count or hash sum differs: of `SPLIT_BITS` bits if they hold few
+    rows each, else of the whole hash. Each of the two steps reads both tables once."""
     hashes = _hashes(left, right)
-    found = _compared(hashes, 2 * SPLIT_BITS)
-    while found.rows > FEW_ROWS * found.count and found.bits < HASH_BITS:
-        inside = hashes.join(
-            found.buckets, _bucket(hashes["__hash"], found.bits) == found.buckets["__bucket"], "left_semi"
-        )
-        finer = _compared(inside, found.bits + SPLIT_BITS)
-        stuck = 2 * finer.rows > found.rows
-        found = finer
-        if stuck:
-            break
-    return found
+    found = _compared(hashes, SPLIT_BITS)
+    return _split(hashes, found) if found.rows > FEW_ROWS * found.count else found
+
+
+def _balances(rows: DataFrame, names: list[str]) -> DataFrame:
+    columns = [rows[backtick(name)] for name in names]
+    return rows.groupBy(*columns).agg(F.sum("__delta").alias("__delta")).where(F.col("__delta") != 0)
+
+
+def _counted(tagged: DataFrame, found: Differing, names: list[str]) -> DataFrame:
+    """Rows of differing buckets that one side has more often. The buckets are broadcast if
+    there are not too many; else rows are dealt by hash, save those of crowds: few hashes."""
+    if found.count <= MOST_BROADCAST:
+        return _balances(tagged.join(F.broadcast(found.buckets), "__bucket", "left_semi"), names)
+    spark, buckets, crowded = tagged.sparkSession, found.buckets, None
+    if found.crowds is not None:
+        crowds = F.broadcast(found.crowds.select("__bucket"))
+        differing = F.broadcast(found.crowds.where("delta <> 0").select("__bucket"))
+        crowded = tagged.join(differing, "__bucket", "left_semi")
+        tagged = tagged.join(crowds, "__bucket", "left_anti")
+        buckets = buckets.join(crowds, "__bucket", "left_anti")
+    # The rows follow the partitions of the buckets.
+    dealt = buckets.repartition(_parts(spark, found.searched), "__bucket").hint("shuffle_hash")
+    rest = tagged.join(dealt, "__bucket", "left_semi")
+    rest = rest.repartition(_parts(spark, 4 * found.rows), *[rest[backtick(name)] for name in names])
+    balances = _balances(rest, names)
+    return balances if crowded is None else balances.unionAll(_balances(crowded, names))
 
 
 def _unused(df: DataFrame, name: str) -> str:
@@ -122,14 +178,8 @@ def reconcile(left: DataFrame, right: DataFrame) -> DataFrame:
     tagged = _hashed(left, found.bits).withColumn("__delta", F.lit(1)).unionAll(
         _hashed(right, found.bits).withColumn("__delta", F.lit(-1))
     )
-    suspect = tagged.join(found.buckets, "__bucket", "left_semi")
-    return (
-        suspect.groupBy(*[suspect[backtick(name)] for name in left.columns])
-        .agg(F.sum("__delta").alias("__delta"))
-        .where(F.col("__delta") != 0)
-        .select(
-            *[F.col(backtick(name)) for name in left.columns],
-            F.when(F.col("__delta") > 0, "left").otherwise("right").alias(side),
-            F.abs("__delta").alias(copies),
-        )
+    return _counted(tagged, found, left.columns).select(
+        *[F.col(backtick(name)) for name in left.columns],
+        F.when(F.col("__delta") > 0, "left").otherwise("right").alias(side),
+        F.abs("__delta").alias(copies),
     )

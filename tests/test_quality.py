@@ -68,6 +68,34 @@ def test_reconcile_where_everything_differs_or_repeats(spark):
     assert reconcile(other, empty).count() == 20_000 and reconcile(empty, empty).count() == 0
 
 
+@pytest.mark.parametrize("most_broadcast", [0, 1 << 20])
+def test_reconcile_deals_by_size(spark, monkeypatch, most_broadcast):
+    """Tasks by the rows they get, whatever the session says; copies beyond a task's share are
+    counted where they are read."""
+    from tablecrate.operators import reconcile as module
+
+    monkeypatch.setattr(module, "PART_ROWS", 300)
+    monkeypatch.setattr(module, "MOST_BROADCAST", most_broadcast)
+    same = spark.range(0, 8_000, 1, 5).selectExpr("-1L AS id", "'hot' AS s", "0.0D AS d")
+    more = spark.range(0, 4_000, 1, 3).selectExpr("-2L AS id", "'hot' AS s", "double('nan') AS d")
+    left = spark.range(9_000).selectExpr("id", "CAST(id % 7 AS string) AS s", "CAST(id AS double) / 4 AS d")
+    right = left.selectExpr("id", "CASE WHEN id % 9 > 0 THEN s END AS s", "d").unionAll(more)
+    right = right.unionAll(same.selectExpr("id", "s", "-0.0D AS d"))
+    left = left.unionAll(same).unionAll(more).unionAll(more)
+    found = differing_buckets(left, right)
+    assert (found.bits, found.count, found.rows) == (64, 2_001, 14_000)
+    crowds = {(r["rows"], r["delta"]) for r in found.crowds.collect()}
+    assert crowds == {(12_000, 4_000)}
+    result = reconcile(left, right)
+    if not most_broadcast:
+        assert result.rdd.getNumPartitions() >= found.rows * 4 // 300
+    rows = [tuple(r) for r in result.collect()]
+    assert [r[3:] for r in rows if r[0] < 0] == [("left", 4_000)]
+    plain = Counter(r for r in rows if r[0] >= 0)
+    expected = [(i, str(i % 7) if side == "left" else None, i / 4, side, 1) for i in range(0, 9_000, 9) for side in ("left", "right")]
+    assert plain == Counter(expected)
+
+
 def test_reconcile_maps(spark):
     left = spark.createDataFrame([({"a": 1, "b": 2}, [{"x": 1}])], "m map<string,int>, n array<map<string,int>>")
     right = spark.createDataFrame([({"b": 2, "a": 1}, [{"x": 2}])], "m map<string,int>, n array<map<string,int>>")
