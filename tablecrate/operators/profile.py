@@ -8,7 +8,7 @@ values come from a summary of counters, whose bound tells which values to count
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from tablecrate.functions import textform
 from tablecrate.functions.names import backtick
-from tablecrate.session import scratch_dir
+from tablecrate.session import row_parts, scratch_dir
 
 # 2^14 registers: about 0.8 % standard error, 16 KB per column and task.
 SKETCH_LOG2_REGISTERS = 14
@@ -25,6 +25,8 @@ SHARES = 256
 # Counters of a column's summary of values.
 COUNTERS = 1 << 16
 LEAST_CANDIDATES = 256
+# Hashes that one task counts.
+PART_HASHES = 1 << 20
 
 # Bytes of one value, by type.
 _FIXED_WIDTHS: dict[type[T.DataType], int] = {
@@ -43,6 +45,11 @@ _FIXED_WIDTHS: dict[type[T.DataType], int] = {
 }
 
 
+_HASHED_AS_THEY_ARE = (
+    T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType, T.DateType, T.TimestampNTZType,
+)
+
+
 def _fixed_width(data_type: T.DataType) -> int | None:
     if isinstance(data_type, T.DecimalType):
         return 8 if data_type.precision <= 18 else 16
@@ -172,13 +179,30 @@ def _by_rows() -> list[Column]:
     return [F.col("rows").desc(), F.col("value").asc()]
 
 
+def _value_hash(column: Column, data_type: T.DataType) -> Column:
+    """Equal for equal texts; of the value itself where values and texts differ together."""
+    if isinstance(data_type, (T.FloatType, T.DoubleType)):
+        return F.xxhash64(column + F.lit(0.0).cast(data_type))
+    if isinstance(data_type, _HASHED_AS_THEY_ARE):
+        return F.xxhash64(column)
+    return F.xxhash64(_value_text(column, data_type))
+
+
 def _cells(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """(ordinal, value, hash): every value of every column as text, without NULLs."""
-    cells = []
-    for ordinal, name in enumerate(names, start=1):
-        value = _value_text(df[backtick(name)], df.schema[name].dataType)
-        cells.append(F.struct(F.lit(ordinal).alias("ordinal"), value.alias("value"), F.xxhash64(value).alias("hash")))
-    return df.select(F.inline(F.array(*cells))).where(F.col("value").isNotNull())
+    """(ordinal, value, hash): every value of every column as text, without NULLs. Texts are
+    made only where a query asks for them, and after its joins by hash."""
+    kinds = [df.schema[name].dataType for name in names]
+    held = [df[backtick(name)].alias(f"c{i}") for i, name in enumerate(names)]
+    each = df.select(*held, F.explode(F.array(*[F.lit(i + 1) for i in range(len(names))])).alias("ordinal"))
+
+    def of_column(form: Callable[[Column, T.DataType], Column]) -> Column:
+        found = F
+        for i, kind in enumerate(kinds):
+            found = found.when(F.col("ordinal") == i + 1, form(F.col(f"c{i}"), kind))
+        return found
+
+    present = each.where(of_column(lambda column, _: column.isNotNull()))
+    return present.select("ordinal", of_column(_value_text).alias("value"), of_column(_value_hash).alias("hash"))
 
 
 def counters(cells: DataFrame, columns: Sequence[str] = ("ordinal",)) -> DataFrame:
@@ -204,9 +228,9 @@ def heavy_values(cells: DataFrame, top: int) -> DataFrame:
     asked = max(4 * top, LEAST_CANDIDATES)
     place = Window.partitionBy("ordinal").orderBy(F.col("rows").desc(), "counter")
     ranked = summary.withColumn("place", F.row_number().over(place))  # at most COUNTERS rows an ordinal
-    chosen = ranked.where(F.col("place") <= asked).select("ordinal", "counter")
-    # At most `asked` counters a column.
-    counter = F.col("hash").bitwiseAND(F.lit(COUNTERS - 1)).alias("counter")
+    # At most `asked` counters a column. Two ints make a key that is looked up as one long.
+    chosen = ranked.where(F.col("place") <= asked).select("ordinal", F.col("counter").cast("int").alias("counter"))
+    counter = F.col("hash").bitwiseAND(F.lit(COUNTERS - 1)).cast("int").alias("counter")
     counted = _written(
         cells.select("*", counter)
         .join(F.broadcast(chosen), ["ordinal", "counter"], "left_semi")
@@ -224,18 +248,21 @@ def heavy_values(cells: DataFrame, top: int) -> DataFrame:
     if not left:
         return counted
     rest = cells.where(F.col("ordinal").isin(left))
-    wide = rest.groupBy("ordinal", "hash").agg(F.count(F.lit(1)).alias("rows"))
+    # Nearly each hash would be an entry of an aggregate before the shuffle, so they are dealt
+    # as they are; those of the largest counters, which may crowd a task, are counted already.
+    rows = summary.where(F.col("ordinal").isin(left)).agg(F.sum("rows")).first()[0]
+    hashes = rest.select("ordinal", "hash", counter).join(F.broadcast(chosen), ["ordinal", "counter"], "left_anti")
+    dealt = hashes.select("ordinal", "hash").repartition(row_parts(cells.sparkSession, rows, PART_HASHES), "ordinal", "hash")
+    wide = dealt.groupBy("ordinal", "hash").agg(F.count(F.lit(1)).alias("rows"))
     more, early = F.lit(False), F.lit(False)
     for ordinal in left:
         fewest, last = least[ordinal]
         more = more | ((F.col("ordinal") == ordinal) & (F.col("rows") > fewest))
         early = early | ((F.col("ordinal") == ordinal) & (F.col("value") < F.lit(last)))
     # Written first, so that its size is known when the join is planned.
-    above = _written(wide.where(more).select("ordinal", "hash"), "above")
-    rows = F.count(F.lit(1)).alias("rows")
-    found = rest.where(~early).join(above, ["ordinal", "hash"], "left_semi").groupBy("ordinal", "value").agg(rows)
-    first = rest.where(early).groupBy("ordinal", "value").agg(rows)
-    both = counted.unionAll(found).unionAll(first)
+    above = _written(wide.where(more).select("ordinal", "hash"), "above").withColumn("above", F.lit(True))
+    found = rest.join(above, ["ordinal", "hash"], "left").where(F.col("above").isNotNull() | early)
+    both = counted.unionAll(found.groupBy("ordinal", "value").agg(F.count(F.lit(1)).alias("rows")))
     return both.groupBy("ordinal", "value").agg(F.max("rows").alias("rows"))
 
 

@@ -18,13 +18,12 @@ from pyspark.sql import types as T
 from tablecrate.errors import CrateError
 from tablecrate.functions.digest import comparable, hash_sum, holds_map, row_hash
 from tablecrate.functions.names import backtick
-from tablecrate.session import scratch_dir
+from tablecrate.session import row_parts, scratch_dir
 
 HASH_BITS = 64
 SPLIT_BITS = 16  # of the first buckets
 FEW_ROWS = 4  # a differing bucket holds two rows at least, unless one side lacks it whole
 PART_ROWS = 5 << 19  # hashes that one task counts, or four times the rows
-LEAST_ROWS = 1 << 17  # fewer are not worth a task
 MOST_BROADCAST = 1 << 20  # buckets
 
 
@@ -88,8 +87,7 @@ def _compared(hashes: DataFrame, bits: int) -> Differing:
 
 
 def _parts(spark: SparkSession, rows: int) -> int:
-    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, -(-rows // PART_ROWS), min(usual, rows // LEAST_ROWS))
+    return row_parts(spark, rows, PART_ROWS)
 
 
 def _split(hashes: DataFrame, found: Differing) -> Differing:

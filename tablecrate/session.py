@@ -29,6 +29,7 @@ JOB_CONF = {
 # spill. The ceiling keeps the number of shuffle blocks in hand.
 BYTES_PER_SHUFFLE_PARTITION = 256 * 1024 * 1024
 MOST_SHUFFLE_PARTITIONS = 50_000
+LEAST_PART_ROWS = 1 << 17  # fewer are not worth a task
 
 _SCOPE: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
 
@@ -77,6 +78,13 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
             MetadataFiles(spark).delete_tree(path)
 
 
+def row_parts(spark: SparkSession, rows: int, most: int) -> int:
+    """Tasks for a shuffle of so many rows, of which one task shall get `most`: the session's
+    partitions or more, but fewer where rows are few."""
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, -(-rows // most), min(usual, rows // LEAST_PART_ROWS))
+
+
 @contextmanager
 def sized_shuffles(spark: SparkSession, source_bytes: int) -> Iterator[None]:
     """Enough shuffle partitions for this much input. Adaptive execution joins partitions

@@ -117,6 +117,28 @@ def test_common_values_without_counting_all(spark, monkeypatch, tmp_path, column
     assert profiles.heavy_values(cells, 4).count() < 3_000  # of 4,000 values
 
 
+def test_texts_are_made_only_of_candidates(spark, monkeypatch):
+    """Counters read values as they are, and every type still has its common values exactly."""
+    monkeypatch.setattr(profiles, "COUNTERS", 16)
+    monkeypatch.setattr(profiles, "LEAST_CANDIDATES", 4)
+    monkeypatch.setattr(profiles, "PART_HASHES", 100)
+    df = spark.range(0, 900, 1, 4).selectExpr(
+        "id AS l", "CAST(id % 70 AS tinyint) AS t", "CAST(id % 50 AS decimal(9,2)) / 8 AS m", "id % 5 = 0 AS o",
+        "CASE id % 9 WHEN 0 THEN -0.0D WHEN 1 THEN 0.0D WHEN 2 THEN double('nan') WHEN 3 THEN NULL ELSE id / 64 END AS d",
+        "CAST(id % 41 AS float) / 3 AS f", "date_add(DATE'1999-12-01', CAST(id % 61 AS int)) AS dt",
+        "CASE WHEN id % 3 > 0 THEN TIMESTAMP_NTZ'2020-01-01 00:00:00' + make_dt_interval(0, 0, 0, id % 37) END AS n",
+        "TIMESTAMP'2020-01-01 00:00:00' + make_dt_interval(0, 0, id % 53) AS ts", "array(id % 31, NULL) AS a",
+        "if(id % 4 = 0, 'four', concat('s', id % 90)) AS s", "CAST(NULL AS string) AS none",
+    )
+    found = profiles.common_values(df, 1).select("ordinal", "rank", "value", "rows")
+    every = profiles.value_counts(df).where("value IS NOT NULL").select("ordinal", "value", "rows")
+    best = profiles._ranked(every, profiles._by_rows(), 1).select("ordinal", "rank", "value", "rows")
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, best.collect()))
+    plain = profiles._cells(df, ["l", "t", "m", "o", "d", "f", "dt", "n"])
+    plan = profiles.counters(plain)._jdf.queryExecution().executedPlan().toString()
+    assert "as string" not in plan
+
+
 def test_counters_add_up(data):
     """The summaries of two parts make the summary of the whole."""
     _, df = data
